@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_local: list[str] = []  # the folder of a local session without a setting
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -30,8 +31,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not at:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="cairn-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not _local:
+            _local.append("file://" + tempfile.mkdtemp(prefix="cairn-"))
+        at = _local[0]
     return at.rstrip("/")
 
 
