@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, pieces, quality, secrets, simhash
+from . import decontaminate, language, media, pieces, quality, secrets, simhash, substrings, suffixes, trees
 from .common import fold
 
 
@@ -25,14 +25,31 @@ def op2_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "feature")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(suffixes.dedup_suffixes(table(spark, sf_dir, "documents")))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.verdicts(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = trees.score_documents(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 10) != 0)
+    return found.select("doc_id", (fold(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op8_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs.where(fold(F.col("doc_id"), 4) != 2)))
@@ -43,5 +60,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op5_decontamination, op7_sentencepiece, op9_language_id, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op3_substring_dedup, op4_suffix_array_dedup, op5_decontamination, op6_suffix_tree_scores, op7_sentencepiece, op8_media_chunks, op9_language_id, op10_secret_scan)}
 ORACLES: dict[str, str] = {}
