@@ -1,14 +1,14 @@
 """Quality classifier by compression: how much shorter a text gets with a dictionary of good than of bad texts.
 
-Two zstandard dictionaries hold raw text of each class. The difference of the two compressed sizes, divided
-by their sum, is the feature; a logistic curve fitted on labelled documents outside the dictionaries turns
-it into a probability.
+Zstandard dictionaries hold raw text of each class, once as it is and once as its shape (letters, capitals
+and digits each as one sign), which all languages share. The difference of the two compressed sizes, divided
+by their sum, is a feature of the text and one of its shape; a third is the mean compressed size by byte,
+which is low for text that repeats itself. A logistic curve fitted on labelled documents outside the
+dictionaries turns them into a probability.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -39,56 +39,68 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", n: in
     return sorted({(r["doc_id"], bytes(r["body"]), r["label"]) for r in rows}, key=lambda r: (r[0] * 2654435761 % (1 << 32), r[0], r[1]))[: 2 * n]
 
 
+#: Shape of a text: lower-case and other letters, capitals, digits; the rest stays.
+SHAPE = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
+
+
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    known = zstandard.ZstdCompressionDict(content or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+
 class Compressors:
-    """Sizes of a text under the two dictionaries."""
+    """Features of a text from its sizes under the dictionaries."""
 
     def __init__(self, bad: bytes, good: bytes):
-        self.both = [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(x or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False) for x in (bad, good)]
+        self.plain = _compressor(bad), _compressor(good)
+        self.shape = _compressor(bad.translate(SHAPE)), _compressor(good.translate(SHAPE))
 
-    def feature(self, body: bytes) -> float:
+    def features(self, body: bytes) -> list[float]:
+        """Normalised size difference of the text and of its shape, and the text's mean size by byte; zeros if empty."""
         if not body:
-            return 0.0
-        b, g = (len(x.compress(body)) - 7 for x in self.both)  # without what every frame has
-        return (b - g) / max(1, b + g)
-
-
-def curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by Newton's method, with a small ridge."""
+            return [0.0, 0.0, 0.0]
+        out = []
+        for both, x in ((self.plain, body), (self.shape, body.translate(SHAPE))):
+            b, g = (len(c.compress(x)) - 7 for c in both)  # without what every frame has
+            out.append((b - g) / max(1, b + g))
+            if x is body:
+                rate = (b + g) / 2 / len(body)
+        return [*out, rate]
+
+
+def curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[list[float], float]:
+    """Weights and offset of a logistic curve by Newton's method, with a small ridge."""
     if not len(x):
-        return 0.0, 0.0
-    scale = float(np.abs(x).max()) or 1.0
-    rows = np.stack((x / scale, np.ones(len(x))), 1)
-    w = np.zeros(2)
+        return [0.0] * 3, 0.0
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    rows = np.column_stack(((x - mean) / scale, np.ones(len(x))))
+    w = np.zeros(rows.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
-        grad = rows.T @ (p - y) + 1e-3 * w
-        hess = (rows * (p * (1 - p))[:, None]).T @ rows + 1e-3 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(hess, grad), -5, 5)
-    return float(w[0] / scale), float(w[1])
-
-
-def fit(rows: list[tuple[int, bytes, int]], dict_bytes: int = DICT_BYTES) -> dict:
-    """Dictionaries from every other document of each class, the curve from the rest."""
-    kept: dict[int, list[bytes]] = {0: [], 1: []}
-    held: list[tuple[bytes, int]] = []
-    for k in (0, 1):
-        own = [b for _, b, label in rows if label == k]
-        kept[k] = own[::2]
-        held += [(b, k) for b in own[1::2]]
-    piece = 2000  # of each text, so that many texts fit in
-    bad, good = (b"\n".join(x[:piece] for x in kept[k])[:dict_bytes] for k in (0, 1))
-    n = min(len(bad), len(good))
-    model = {"bad": bad[:n] if n else bad, "good": good[:n] if n else good}
+        grad = rows.T @ (p - y) + 1e-2 * w
+        hess = (rows * (p * (1 - p))[:, None]).T @ rows + 1e-2 * np.eye(len(w))
+        w = w - np.clip(np.linalg.solve(hess, grad), -3, 3)
+    weights = w[:-1] / scale
+    return weights.tolist(), float(w[-1] - weights @ mean)
+
+
+def fit(rows: list[tuple[int, bytes, int]], dict_bytes: int = DICT_BYTES, piece: int = 2000) -> dict:
+    """Dictionaries from every other document of each class, a stretch from each one's middle; the curve from the rest."""
+    own = {k: [b for _, b, label in rows if label == k] for k in (0, 1)}
+    cut = lambda x: x[max(0, len(x) - piece) // 2 :][:piece]
+    bad, good = (b"\n".join(cut(x) for x in own[k][::2])[:dict_bytes] for k in (0, 1))
+    n = min(len(bad), len(good)) or dict_bytes  # equally long, if there are both
+    model = {"bad": bad[:n], "good": good[:n]}
     sizes = Compressors(model["bad"], model["good"])
-    x, y = np.array([sizes.feature(b) for b, _ in held]), np.array([k for _, k in held], float)
-    slope, offset = curve(x, y)
-    return model | {"slope": slope, "offset": offset}
+    held = [(b, k) for k in (0, 1) for b in own[k][1::2]]
+    weights, offset = curve(np.array([sizes.features(b) for b, _ in held]), np.array([k for _, k in held], float))
+    return model | {"weights": weights, "offset": offset}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, feature, score) of every whole text; no shuffle.
+    """(doc_id, feature, score) of every whole text; no shuffle. feature: the text's normalised size difference.
 
-    Null and empty texts have feature 0, so the curve's offset decides. Without any training rows every
+    Null and empty texts have all features 0, so the curve's offset decides. Without any training rows every
     score is 0.5."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -96,8 +108,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         m = shared.value
         sizes = Compressors(m["bad"], m["good"])
         for batch in batches:
-            x = [sizes.feature(b) for b in batch["body"].to_pylist()]
-            p = [1 / (1 + math.exp(-max(-30.0, min(30.0, m["slope"] * v + m["offset"])))) for v in x]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(x, pa.float64()), pa.array(p, pa.float64())], ["doc_id", "feature", "score"])
+            x = np.array([sizes.features(b) for b in batch["body"].to_pylist()]).reshape(-1, 3)
+            p = 1 / (1 + np.exp(-np.clip(x @ np.array(m["weights"]) + m["offset"], -30, 30)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(x[:, 0]), pa.array(p)], ["doc_id", "feature", "score"])
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, feature double, score double")
