@@ -124,6 +124,14 @@ def unpack_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
 
 
+def grouped(number: np.ndarray):
+    """(number, its places in order) for each distinct number."""
+    order = np.argsort(number, kind="stable")
+    edge = np.flatnonzero(np.diff(number[order])) + 1
+    for own in np.split(order, edge) if len(order) else ():
+        yield int(number[own[0]]), own
+
+
 def _ordered(table: pa.Table) -> list[tuple[int, bytes]]:
     """A block's documents in the same order in every job."""
     return sorted((LATE if i is None else i, b) for i, b in zip(table["doc_id"].to_pylist(), table["body"].to_pylist()))
@@ -162,10 +170,8 @@ def _answer(hot: int):
         again = total > 1
         order, part = order[again], part[again]
         out = []
-        for p in range(len(blocks)):
-            mine = place[order] == p
-            if mine.any():
-                out.append((blocks[p], pack_keys(keys[order[mine]]), pack(part[mine].astype(np.uint32))))
+        for p, mine in grouped(place[order]):  # each blob's keys stay sorted
+            out.append((blocks[p], pack_keys(keys[order[mine]]), pack(part[mine].astype(np.uint32))))
         return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "keys": pa.array([x[1] for x in out], pa.binary()), "parts": pa.array([x[2] for x in out], pa.binary())})
 
     return run
@@ -195,11 +201,9 @@ def _stretches(unit: Unit, n_groups: int):
             return pa.table({"grp": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
         key, part, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
         group = (_mix(key + part.astype(np.uint64) * np.uint64(MULT)) % np.uint64(n_groups)).astype(np.int64)
-        order = np.lexsort((key, group))
-        edge = np.flatnonzero(np.concatenate(([True], np.diff(group[order]) > 0)))
         block, out = docs["block"][0].as_py(), []
-        for own in np.split(order, edge[1:]):
-            out.append((int(group[own[0]]), pack(key[own], part[own], doc[own], row[own], start[own], off[own], np.array([len(bodies[i]) for i in own], np.int64), b"".join([bodies[i] for i in own]))))
+        for grp, own in grouped(group):
+            out.append((grp, pack(key[own], part[own], doc[own], row[own], start[own], off[own], np.array([len(bodies[i]) for i in own], np.int64), b"".join([bodies[i] for i in own]))))
         return pa.table({"grp": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
 
     return run
@@ -276,10 +280,8 @@ def _settle(unit: Unit):
             for x in out:
                 out[x].append(row_.get(x))
 
-        for b in np.unique(of[who]).tolist():
-            mine = who[of[who] == b]
-            sel = of[who] == b
-            add(kind=0, block=b, blob=pack(row[mine], lo[sel], hi[sel]))
+        for b, sel in grouped(of[who]):
+            add(kind=0, block=b, blob=pack(row[who[sel]], lo[sel], hi[sel]))
         # split anchors: windows that stay open go on by their text, one for each distinct text
         split = np.flatnonzero(part[firsts] > 0)
         if len(split):
