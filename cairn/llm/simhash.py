@@ -201,7 +201,8 @@ def components(edges: DataFrame) -> DataFrame:
     cur = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
     while True:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # as a table, so that Spark can split the join's share of a node with very many neighbours
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "components-least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -223,7 +224,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, h
     classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = components(links(classes.select("fp"), bits, hot))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
     owned = rooted.join(ids, "root").select("fp", "component_id")
     return prints.join(owned, "fp").select("doc_id", "fp", "component_id")
 
