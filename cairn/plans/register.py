@@ -175,7 +175,7 @@ def reject_rows(s, d):
 @query(f"with labels_ as ({LABELS_SQL}) select k, v.class_sv, coalesce(l.class_en, v.class_sv) as class_en from (select k, {CLASS_SV} as class_sv from keyed) v left join labels_ l on v.class_sv = l.class_sv")
 def class_translate(s, d):
     f = view(s, d, "keyed").selectExpr("k", f"{CLASS_SV} as class_sv")
-    return tables.lookup(f, class_labels(s), "class_sv", "class_sv", "class_en", "class_en").select("k", "class_sv", "class_en")
+    return tables.lookup(f, F.broadcast(class_labels(s)), "class_sv", "class_sv", "class_en", "class_en").select("k", "class_sv", "class_en")
 
 
 @query("""select k, '#d1' as ref, concat('text ', k) as content from fetched where k % 11 < 7 or k % 11 = 10 and true
@@ -446,7 +446,7 @@ CAPTION_SQL = f"""case when k % 31 = 0 or k % 29 = 0 or k % 5 = 0 then '' else c
 def _inputs(s, d) -> DataFrame:
     f = _lines(s, d, ["class", "placement", "description_sv", "terrain", "orientation"])
     dim = class_labels(s).withColumnRenamed("class_sv", "_sv")
-    f = f.join(dim, f["class"] == dim["_sv"], "left")
+    f = f.join(F.broadcast(dim), f["class"] == dim["_sv"], "left")
     return f.withColumn("given", captions.caption_input(F.col("class"), F.col("class_en"), F.col("description_sv"), F.col("terrain"), F.col("orientation")))
 
 
