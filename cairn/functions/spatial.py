@@ -65,6 +65,10 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     return 2 * EARTH_KM * F.asin(F.sqrt(a))
 
 
+def circle_km2(km: float) -> Column:
+    return F.pi() * km * km
+
+
 def in_box(x: Column, y: Column, minx, miny, maxx, maxy) -> Column:
     """Inside or on the edge."""
     return x.between(minx, maxx) & y.between(miny, maxy)

@@ -54,6 +54,12 @@ def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, ar
     return dealt.mapInPandas(run, "k string, status string, body string, error string").withColumnRenamed("k", key)
 
 
+def fetch_batch(requests: DataFrame, client: Callable[[str], str | None], order: str, argument: str, **how) -> DataFrame:
+    """fetch in the order of a number column; failed requests have a null body."""
+    got = fetch(requests, client, order, argument, **how)
+    return got.withColumn(order, F.col(order).cast("bigint")).orderBy(order)
+
+
 def generate(prompts: DataFrame, client: Callable[[str], str], key: str, prompt: str, at_once: int = 4, **retry) -> DataFrame:
     """(key, reply, error) of a text model for each prompt; at_once partitions are in flight."""
     got = fetch(prompts, client, key, prompt, at_once, None, **retry)

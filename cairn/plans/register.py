@@ -326,14 +326,15 @@ def enrich_outcome(s, d):
 
 @query(LL + f""", h as (select id, 2 * {spatial.EARTH_KM} * asin(sqrt(pow(sin(radians(lat - {CENTRE[1]}) / 2), 2) + cos(radians({CENTRE[1]})) * cos(radians(lat)) * pow(sin(radians(lon - {CENTRE[0]}) / 2), 2))) as km from ll),
     n as (select (select count(*) from features) as a, (select count(*) from points) as b, (select count(distinct legalfoundationdocument) from points) as c, (select count(*) from h where km <= {RADIUS_KM}) as e)
-    select 'features' as stage, a as "rows", cast(0 as bigint) as removed, 1.0::double as kept from n union all select 'points', b, a - b, round(b::double / a, 6) from n union all select 'deduplicated', c, b - c, round(c::double / b, 6) from n union all select 'radius', e, c - e, round(e::double / c, 6) from n""")
+    select 'features' as stage, a as "rows", cast(0 as bigint) as removed, 1.0::double as kept, cast(null as double) as coverage_km2 from n union all select 'points', b, a - b, round(b::double / a, 6), null from n union all select 'deduplicated', c, b - c, round(c::double / b, 6), null from n union all select 'radius', e, c - e, round(e::double / c, 6), round(pi() * 400, 3) from n""")
 def stage_retention(s, d):
     f, p = view(s, d, "features"), view(s, d, "points")
     a = f.agg(F.count("*").alias("a"), F.count_if(F.col("geom_type") == "Point").alias("b"))
     c = p.agg(F.count_distinct("legalfoundationdocument").alias("c"))
     e = spatial.within_km(p, *CENTRE, RADIUS_KM).agg(F.count("*").alias("e"))
     kept = "stack(4, 'features', a, 0L, 1D, 'points', b, a - b, round(b / a, 6), 'deduplicated', c, b - c, round(c / b, 6), 'radius', e, c - e, round(e / c, 6)) as (stage, rows, removed, kept)"
-    return a.crossJoin(c).crossJoin(e).select(F.expr(kept))
+    out = a.crossJoin(c).crossJoin(e).select(F.expr(kept))
+    return out.withColumn("coverage_km2", F.when(F.col("stage") == "radius", F.round(spatial.circle_km2(RADIUS_KM), 3)))
 
 
 @query(f"select count(*) as total, count(distinct geom_type) as geom_types, {AREA_SQL} as area_km2, min(x) as min_x, max(x) as max_x, count(distinct sitename) as names from features")

@@ -271,5 +271,7 @@ def test_fetch(spark):
     assert got == {"1": ("ok", "<a>"), "2": ("error", None), "3": ("missing", None), "4": ("error", None)}
     paced = clients.fetch(df.limit(3), lambda u: u, "id", "uuid", 1, 20.0)
     assert paced.count() == 3
+    batch = spark.createDataFrame([(2, "b"), (1, "a"), (10, "bad")], "ord int, uuid string")
+    assert [tuple(r) for r in clients.fetch_batch(batch, client, "ord", "uuid", per_second=None).select("ord", "body").collect()] == [(1, "<a>"), (2, "<b>"), (10, None)]
     replies = {r["id"]: (r["reply"], r["error"]) for r in clients.generate(df, client, "id", "uuid", 2).collect()}
     assert replies["1"] == ("<a>", None) and replies["3"] == (None, "no response")
