@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: list[str] = []  # the folder of a local session without a setting
+_made: list[str] = []  # tables that this session has staged
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -53,11 +54,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     The shuffle files of the job that wrote it go at once; the table itself stays until the folder is cleared."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     with _tidy(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables that this session has staged; results that read them must have been written before."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def total_bytes(docs: DataFrame) -> int:
     """Bytes of all bodies (one row reaches the driver)."""
     return docs.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("n")).first()["n"]
