@@ -90,13 +90,13 @@ def entropy_spans(text: Column, window: int = WINDOW) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, entropy: bool = True) -> DataFrame:
     """(doc_id, kept columns, base, spans): arrays of (start, kind, end), kind an index of KINDS, by start, then kind.
 
-    base has the three patterns' spans; spans adds those of kind entropy that touch no base span. Null and
+    base has the three patterns' spans; spans adds those of kind entropy that no base span covers. Null and
     empty texts have none. Rows stay as they are, repeated ids too; no shuffle, no Python on executors."""
     text = F.coalesce(F.col("scanned"), F.lit(""))
     base = F.array_sort(F.concat(spans_of(text, ASSIGN, 0, 2, 6), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2)))
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("scanned"), *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep or [])])
     rows = rows.withColumn("base", base)
-    more = F.filter(entropy_spans(text), lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))) if entropy else F.array().cast(SPANS)
+    more = F.filter(entropy_spans(text), lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"]))) if entropy else F.array().cast(SPANS)
     rows = rows.withColumn("spans", F.array_sort(F.concat("base", more)))
     return rows.select("doc_id", *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep or [])], "base", "spans")
 
