@@ -61,7 +61,6 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 def _scores(texts: list[str], matrix: np.ndarray) -> np.ndarray:
     """Sum of the n-grams' log-probabilities, by document and language."""
     parts = [codes_of(x) for x in texts]
-    ends = np.cumsum([len(x) for x in parts])
     codes = np.concatenate(parts)
     doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     out = np.zeros((len(parts), matrix.shape[1]))
@@ -71,7 +70,6 @@ def _scores(texts: list[str], matrix: np.ndarray) -> np.ndarray:
         h, d = h[inside], doc[: len(h)][inside]
         for j in range(matrix.shape[1]):
             out[:, j] += np.bincount(d, matrix[:, j][h], len(parts))
-    del ends
     return out
 
 

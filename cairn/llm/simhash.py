@@ -231,6 +231,3 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, h
 
 def report(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-__all__ = ["components", "fingerprint", "fingerprints", "links", "near_duplicates", "report"]
