@@ -239,10 +239,8 @@ def test_tree_is_a_distribution(spark):
         for d in range(min(3, len(ctx)), -1, -1):
             s, number = ctx[len(ctx) - d :], 0
             if d:
-                number = s[0]
-                for k in range(2, d + 1):
-                    number = strings.next[k - 1][number * 256 + s[k - 1]] if number >= 0 else -1
-                if number < 0 or not tree.kept[d][number]:
+                number = int(strings.number(np.array([list(s)]))[0])
+                if not tree.kept[d][number]:
                     continue
             return 10.0 ** float(tree.tables[d][number][tree.column[byte]])
 
