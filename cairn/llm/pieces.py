@@ -11,15 +11,18 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 MODEL_LIMIT = 32 << 20  # a model file above this isn't sent to the executors
-WORDS_KEPT = 250_000  # chunks whose encoding a Python worker remembers; then it starts anew
+LETTER = re.compile(r"[^\W\d_]")
+WORDS_KEPT = 400_000  # chunks whose encoding a Python worker remembers; then it starts anew
 PAIRS_KEPT = 2_000_000
 
 
@@ -75,8 +78,10 @@ class PieceModel:
             self.chunks = re.compile(r"[\s\S]+")
         elif any("\n" in x for x in self.id):
             self.chunks = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        else:  # no piece has a line end, or a space after something else: merging never crosses these
+        elif any(bool(LETTER.match(a)) != bool(LETTER.match(b)) for x in self.id for a, b in zip(x, x[1:]) if SPACE not in (a, b)):
             self.chunks = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+        else:  # no piece goes over a line end, from a letter to something else or back, or from something to a space
+            self.chunks = re.compile(rf"{SPACE}*[^\W\d_]+|{SPACE}*(?:(?![{SPACE}\n])[\W\d_])+|{SPACE}+|\n")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple] = {}
         self.shorter: dict[str, str | None] = {}
@@ -164,12 +169,15 @@ class PieceModel:
                 piece = shorter.get(gone)
         return out
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str]:
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        """(ids as 32-bit numbers, decoded text); remembered."""
+        if chunk in self.known:
+            return self.known[chunk]
         if len(self.known) >= WORDS_KEPT:
             self.known.clear()
         parts, known = self.cover(chunk), self.id
         try:
-            out = [known[x] for x in parts], "".join(parts).replace(SPACE, " ")
+            out = array("i", [known[x] for x in parts]).tobytes(), "".join(parts).replace(SPACE, " ")
         except KeyError:
             ids: list[int] = []
             for x in parts:
@@ -179,7 +187,7 @@ class PieceModel:
                     ids.extend(self.bytes[b] for b in x.encode())
                 else:
                     ids.append(self.unknown)
-            out = ids, self._plain(ids)
+            out = array("i", ids).tobytes(), self._plain(ids)
         if len(chunk) <= 64:
             self.known[chunk] = out
         return out
@@ -207,15 +215,19 @@ class PieceModel:
 
     def both(self, text: str) -> tuple[list[int], str]:
         """(ids, decoded text)."""
+        ids, plain = self.raw(text)
+        return array("i", ids).tolist(), plain
+
+    def raw(self, text: str) -> tuple[bytes, str]:
+        """(ids as 32-bit numbers, decoded text)."""
         if not text:
-            return [], ""
-        known, ids, plain = self.known, [], []
-        for c in self.chunks.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE)):
-            got = known.get(c) or self._chunk(c)
-            ids += got[0]
-            plain.append(got[1])
-        out = "".join(plain)
-        return ids, out[1:] if self.prefix and out[:1] == " " else out
+            return b"", ""
+        parts = self.chunks.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE))
+        got = list(map(self.known.get, parts))
+        if None in got:
+            got = [g or self._chunk(c) for g, c in zip(got, parts)]
+        out = "".join([g[1] for g in got])
+        return b"".join([g[0] for g in got]), out[1:] if self.prefix and out[:1] == " " else out
 
 
 _models: dict[bytes, PieceModel] = {}
@@ -245,8 +257,10 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                out = [model.both(x) for x in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([x[0] for x in out], pa.list_(pa.int32())), pa.array([x[1] for x in out], pa.string())], ["doc_id", "token_ids", "decoded"])
+                out = [model.raw(x) for x in part["text"].to_pylist()]
+                ends = np.cumsum([0, *[len(x[0]) // 4 for x in out]]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([x[0] for x in out]), np.int32)))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], ids, pa.array([x[1] for x in out], pa.string())], ["doc_id", "token_ids", "decoded"])
 
     plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return plain.mapInArrow(run, "doc_id bigint, token_ids array<int>, decoded string")
