@@ -1,7 +1,7 @@
 """Media columns: payloads cut into content-defined chunks, each chunk stored once.
 
 A gear hash rolls over the payload; a chunk ends where its top bits are zero, so equal stretches are cut
-alike wherever they lie. A chunk's SHA-256 is its key. The store has one row for each digest; the manifest
+alike wherever they lie. Half of a chunk's SHA-256 is its key, and half of a payload's. The store has one row for each digest; the manifest
 has each distinct payload's ordered digests. Joined again and put in order they give the payload back,
 which is checked chunk by chunk and as a whole.
 """
@@ -27,6 +27,11 @@ HOT = 256  # references to one chunk that are joined in one place
 GEAR = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(29)).astype(np.uint32)
 
 
+def key_of(data: bytes) -> bytes:
+    """128 bits of the SHA-256."""
+    return hashlib.sha256(data).digest()[:16]
+
+
 def payload(body: bytes) -> bytes:
     return body + PAD * (max(1, -(-len(body) // FRAME)) * FRAME - len(body))
 
@@ -54,12 +59,12 @@ def chunks(data: bytes) -> list[bytes]:
 
 
 def _names(batches):
-    """Each document's payload digest, and its ordered chunk digests."""
+    """Each document's payload key, and its ordered chunk keys."""
     for b in batches:
         out = []
         for body in b["body"].to_pylist():
             data = payload(body)
-            out.append((len(body), hashlib.sha256(data).digest(), [hashlib.sha256(x).digest() for x in chunks(data)]))
+            out.append((len(body), key_of(data), [key_of(x) for x in chunks(data)]))
         yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.list_(pa.binary()))], ["doc_id", "n_bytes", "pay", "digests"])
 
 
@@ -70,7 +75,7 @@ def _bodies(batches):
         keys, stored = [], []
         for body in b["body"].to_pylist():
             for x in chunks(payload(body)):
-                key = hashlib.sha256(x).digest()
+                key = key_of(x)
                 if key not in sent:
                     if len(sent) > 200_000:
                         sent.clear()
@@ -81,13 +86,13 @@ def _bodies(batches):
 
 
 def feature(data: bytes, n_chunks: int) -> str:
-    """Samples, chunks, mean and entropy of the samples."""
+    """Number of chunks, mean and entropy of the samples."""
     n = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     p = n[n > 0] / len(data)
-    return f"samples={len(data)};chunks={n_chunks};mean={(n * np.arange(256)).sum() / len(data):.4f};entropy={abs(-(p * np.log2(p)).sum()):.4f}"
+    return f"chunks={n_chunks};mean={(n * np.arange(256)).sum() / len(data):.2f};entropy={abs(-(p * np.log2(p)).sum()):.3f}"
 
 
-RESULT = "pay binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+RESULT = "pay binary, payload_bytes bigint, payload_sha256 binary, tail_crc32 bigint, media_bytes bigint, media_sha256 binary, feature string"
 
 
 def _rebuild(batches):
@@ -98,14 +103,14 @@ def _rebuild(batches):
 
     def close():
         data = b"".join(parts)
-        if hashlib.sha256(data).digest() != now:
+        whole = hashlib.sha256(data).digest()
+        if whole[:16] != now:
             raise ValueError("a payload doesn't come back as it was")
-        media = form.digest().hex()
-        out.append([now, len(data), now.hex(), zlib.crc32(data[-32:]), size, media, feature(data, len(parts))])
+        out.append([now, len(data), whole, zlib.crc32(data[-32:]), size, form.digest(), feature(data, len(parts))])
 
     def batch():
         cols = list(zip(*out)) if out else [[]] * 7
-        kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     size = 0
@@ -116,8 +121,8 @@ def _rebuild(batches):
                     close()
                 now, parts, form, size = pay, [], hashlib.sha256(), 0
             x = bz2.decompress(stored)
-            if hashlib.sha256(x).digest() != digest:
-                raise ValueError("a chunk doesn't have its digest")
+            if key_of(x) != digest:
+                raise ValueError("a chunk doesn't have its key")
             record = digest + struct.pack("<II", len(x), len(stored)) + stored
             form.update(record)
             size += len(record)
@@ -156,4 +161,6 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     many = kept.join(packs.where("pack > 0"), "digest").repartition(n, "digest", "pack").withColumn("place", F.explode("places")).select(*place)
     parts = few.unionByName(many).repartition(n, "pay").sortWithinPartitions("pay", "ord")
     rebuilt = parts.mapInArrow(_rebuild, RESULT)
-    return named.select("doc_id", "n_bytes", "pay").join(rebuilt, "pay").drop("pay")
+    out = named.select("doc_id", "n_bytes", "pay").join(rebuilt, "pay").drop("pay")
+    hexed = lambda c: F.lower(F.hex(c))
+    return out.withColumns({c: hexed(c) for c in ("payload_sha256", "media_sha256")})
