@@ -214,6 +214,13 @@ def components(edges: DataFrame) -> DataFrame:
         cur = new
 
 
+def _rooted(prints: DataFrame, bits: int, hot: int) -> DataFrame:
+    """(fp, root, least): each fingerprint with its component's smallest one, and its own least `rank`."""
+    classes = staged(prints.groupBy("fp").agg(F.min("rank").alias("least")), "simhash-classes")
+    roots = components(links(classes.select("fp"), bits, hot))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest doc_id reachable over links.
 
@@ -221,13 +228,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, h
     their own fingerprint. A null doc_id is no candidate for component_id, which is null where a component
     has no other. An empty table gives none."""
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    roots = components(links(classes.select("fp"), bits, hot))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    rooted = _rooted(prints.withColumn("rank", F.col("doc_id")), bits, hot)
     ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
     owned = rooted.join(ids, "root").select("fp", "component_id")
     return prints.join(owned, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One whole row of each component: that with the smallest doc_id, null last; of several, the one whose row hashes smallest.
+
+    Components are told apart by their fingerprints, so null and repeated ids are rows like others."""
+    kept = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)]
+    plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("body"), *kept)
+    carried = [c for c in plain.columns if c != "body"]
+    kinds = ", ".join(f"{c} {plain.schema[c].dataType.simpleString()}" for c in carried)
+
+    def run(batches):
+        for b in batches:
+            fp = np.array([fingerprint(x, shingle) for x in b["body"].to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in carried], pa.array(fp)], [*carried, "fp"])
+
+    # the row's number holds once the table is written
+    rows = staged(plain.mapInArrow(run, f"{kinds}, fp bigint").withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*[f"kept_{i}" for i in range(len(kept))]).alias("hash"), "row")
+    rooted = _rooted(rows.select("fp", rank.alias("rank")), bits, hot)
+    first = staged(rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row")), "simhash-first")
+    # nearly as many as the rows: never to be broadcast, however small the table
+    return rows.join(first.hint("merge"), "row").select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def report(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import decontaminate, language, pieces, secrets, simhash
@@ -23,13 +23,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; one row, if several have that id."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("copies")).withColumnRenamed("doc_id", "kept_id")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    single = rows.where("copies = 1").select(*docs.columns)
-    return single.unionByName(rows.where("copies > 1").withColumn("nth", first).where("nth = 1").select(*docs.columns))
+    """One row of each group: that with the smallest id, null last."""
+    return simhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,3 +118,15 @@ def test_stages_keep_columns_and_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, DIR)
     assert empty.count() == 0
+
+
+def test_one_row_of_each_group(spark):
+    a, b, c, d, e = (" ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:6] for i in range(80)) for k in "abcde")
+    near = d + " tail"
+    assert (simhash.fingerprint(d.encode()) ^ simhash.fingerprint(near.encode())).bit_count() <= 4
+    rows = [(None, a), (None, b), (None, c), (None, a), (7, d), (9, near), (9, e), (9, e), (8, a + "!"), (12, b), (20, c[::-1]), (20, e[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, DIR).collect()), key=str)
+    linked = (simhash.fingerprint(a.encode()) ^ simhash.fingerprint((a + "!").encode())).bit_count() <= 4
+    assert linked
+    assert got == sorted([(None, c), (7, d), (9, e), (8, a + "!"), (12, b), (20, c[::-1]), (20, e[::-1])], key=str)
