@@ -6,6 +6,9 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +83,30 @@ def block_count(spark: SparkSession, n_bytes: int, block_bytes: int) -> int:
 def in_blocks(docs: DataFrame, n_blocks: int) -> DataFrame:
     """Adds block, by the id's hash: the same id lies in the same block in every job."""
     return docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int"))
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(counts, "<i8").tobytes())
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i8")
+
+
+def add_blobs(rows: DataFrame, keys: str, levels: tuple[int, ...] = (4096, 64, 1)) -> DataFrame:
+    """rows: columns keys (name and type) and blob, counts of equal length for the same keys; their sums by keys.
+
+    Tasks are added up in levels, so no group holds the blobs of all tasks."""
+    names = [x.split()[0] for x in keys.split(",")]
+
+    def add(table: pa.Table) -> pa.Table:
+        total = None
+        for x in table["blob"]:
+            one = unpack_counts(x.as_py())
+            total = one.copy() if total is None else total + one
+        return pa.table({**{c: table[c][:1] for c in (*names, "salt")}, "blob": pa.array([pack_counts(total)], pa.binary())})
+
+    rows = rows.withColumn("salt", F.spark_partition_id())
+    for n in levels:
+        rows = rows.withColumn("salt", F.col("salt") % n).groupBy(*names, "salt").applyInArrow(add, f"{keys}, salt int, blob binary")
+    return rows.drop("salt")

@@ -1,82 +1,131 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-A bounded sample of labelled documents gives counts of n-grams in 2**BITS buckets for each language;
-their smoothed log-probabilities form a matrix that is broadcast. Documents are scored in batches: the
-n-grams' rows of the matrix are summed by document in numpy.
+Every labelled document counts: each task sums its n-grams in 2**bits buckets for each language, Spark adds
+the tasks' sums up, and their smoothed log-probabilities form a matrix that is broadcast. Documents are
+scored in batches: the n-grams' rows of the matrix are summed by document in numpy.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import add_blobs, pack_counts, unpack_counts
+
 BITS = 16
+LEAST_BITS = 10
+ENTRIES = 1 << 24  # numbers in the matrix at most (64 MB): with over 256 languages there are fewer buckets
 ORDERS = (1, 2, 3)
-SAMPLE = 400  # expected training documents for each language, chosen by a hash of id and text
-SAMPLE_CHARS = 20_000  # longer texts aren't taken for training
-LANGUAGES = 1000  # more than this is refused: the matrix's bound
 SMOOTH = 0.5
+SLICE = 4096  # buckets whose counts are added up together
 UNKNOWN = "und"
 
 
-def grams(codes: np.ndarray, order: int) -> np.ndarray:
+def grams(codes: np.ndarray, order: int, bits: int = BITS) -> np.ndarray:
     """Bucket of the n-gram that starts at each place of a UTF-32 text."""
     n = len(codes) - order + 1
     h = np.full(max(n, 0), order * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
     for k in range(order):
         h = (h ^ codes[k : k + n]) * np.uint32(0x85EBCA6B)
         h ^= h >> np.uint32(15)
-    return h >> np.uint32(32 - BITS)
+    return h >> np.uint32(32 - bits)
 
 
 def codes_of(text: str) -> np.ndarray:
-    """Code points of the lower-cased text between blanks; other white space as blanks, digits as 0."""
+    """Code points of the lower-cased text between blanks; runs of white space as one blank."""
     return np.frombuffer((" " + " ".join(text.lower().split()) + " ").encode("utf-32-le", "replace"), np.uint32)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> tuple[list[str], np.ndarray]:
-    """(languages, matrix of log-probabilities 2**BITS x languages).
+def _buckets(texts: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, text) of every n-gram, one order after another."""
+    parts = [codes_of(x) for x in texts]
+    codes = np.concatenate(parts)
+    doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    for o in ORDERS:
+        inside = doc[: len(codes) - o + 1] == doc[o - 1 :]  # not over the border of two texts
+        yield grams(codes, o, bits)[inside], doc[: len(codes) - o + 1][inside]
+
+
+def _batched(texts: list[str], limit: int = 1 << 20) -> Iterator[slice]:
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= limit):
+            size += len(texts[hi])
+            hi += 1
+        yield slice(lo, hi)
+        lo = hi
+
 
-    Counts every labelled row by language, then takes about `sample` documents of each (all, if there are
-    fewer), by a hash, so the same rows for the same table. Rows without language or text teach nothing."""
-    known = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("text is not null and lang is not null").where(F.length("text") <= SAMPLE_CHARS)
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    langs = sorted(sizes)
-    counts = np.full((1 << BITS, max(1, len(langs))), SMOOTH)
+def _count(bits: int, held: int = 1 << 22):
+    """Each task's counts by language and slice; at most about `held` numbers are kept before they are sent."""
+
+    def run(batches):
+        counts: dict[str, np.ndarray] = {}
+
+        def send():
+            rows = [(lang, k // SLICE, pack_counts(c[k : k + SLICE])) for lang, c in counts.items() for k in range(0, 1 << bits, SLICE) if c[k : k + SLICE].any()]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.binary()))], ["lang", "part", "blob"])
+
+        for batch in batches:
+            texts, langs = batch["text"].to_pylist(), batch["lang"].to_pylist()
+            for part in _batched(texts):
+                names = sorted(set(langs[part]))
+                if counts and (len(counts.keys() | names) << bits) > held:
+                    yield send()
+                number = np.array([names.index(x) for x in langs[part]])
+                for name in names:
+                    counts.setdefault(name, np.zeros(1 << bits, np.int64))
+                for bucket, doc in _buckets(texts[part], bits):
+                    of = number[doc]
+                    for k, name in enumerate(names):
+                        counts[name] += np.bincount(bucket[of == k], minlength=1 << bits)
+        yield send()
+
+    return run
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> tuple[list[str], np.ndarray]:
+    """(languages, matrix of log-probabilities, buckets x languages) from the whole texts of all labelled rows.
+
+    Rows without language or text teach nothing; repeated rows count as often as they occur. There are
+    2**bits buckets, or fewer, down to 2**LEAST_BITS, if the matrix would have over ENTRIES numbers; labels
+    for which even that is too many are refused. id_col isn't read."""
+    known = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("text is not null and lang is not null")
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().limit((ENTRIES >> LEAST_BITS) + 1).collect())
+    while bits > LEAST_BITS and len(langs) << bits > ENTRIES:
+        bits -= 1
+    if len(langs) << bits > ENTRIES:
+        raise ValueError(f"more than {ENTRIES >> LEAST_BITS} languages")
+    counts = np.full((1 << bits, max(1, len(langs))), SMOOTH)
     if langs:
-        share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample / sizes[k])))])
-        u = F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-        for r in known.where(u < share[F.col("lang")]).select("lang", "text").toLocalIterator():
-            c = codes_of(r["text"])
-            for o in ORDERS:
-                counts[:, langs.index(r["lang"])] += np.bincount(grams(c, o), minlength=1 << BITS)
+        place = {x: i for i, x in enumerate(langs)}
+        got = add_blobs(known.mapInArrow(_count(bits), "lang string, part int, blob binary"), "lang string, part int")
+        for r in got.collect():  # no more numbers than the matrix has
+            part = unpack_counts(bytes(r["blob"]))
+            counts[r["part"] * SLICE : r["part"] * SLICE + len(part), place[r["lang"]]] += part
     return langs, np.log(counts / counts.sum(0)).astype(np.float32)
 
 
 def _scores(texts: list[str], matrix: np.ndarray) -> np.ndarray:
     """Sum of the n-grams' log-probabilities, by document and language."""
-    parts = [codes_of(x) for x in texts]
-    codes = np.concatenate(parts)
-    doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    out = np.zeros((len(parts), matrix.shape[1]))
-    for o in ORDERS:
-        h = grams(codes, o)
-        inside = doc[: len(h)] == doc[o - 1 :]  # not over the border of two documents
-        h, d = h[inside], doc[: len(h)][inside]
+    out = np.zeros((len(texts), matrix.shape[1]))
+    for bucket, doc in _buckets(texts, len(matrix).bit_length() - 1):
         for j in range(matrix.shape[1]):
-            out[:, j] += np.bincount(d, matrix[:, j][h], len(parts))
+            out[:, j] += np.bincount(doc, matrix[:, j][bucket], len(texts))
     return out
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text, with the columns in keep; no shuffle.
 
-    score: the language's posterior probability. A text that is null or has no letter is `und` with score
+    score: the language's posterior probability; of equal ones the first in order is taken. A text that is null or has no letter is `und` with score
     0; so is every text if nothing was learned."""
     langs, matrix = model
     shared = docs.sparkSession.sparkContext.broadcast(matrix)
@@ -87,18 +136,13 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
             letters = pc.fill_null(pc.match_substring_regex(batch["text"], r"\p{L}"), False).to_pylist()
             texts = batch["text"].to_pylist()
             preds, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            todo, lo = [i for i, x in enumerate(letters) if x and langs], 0
-            while lo < len(todo):
-                hi, size = lo, 0
-                while hi < len(todo) and (hi == lo or size < 1 << 20):
-                    size += len(texts[todo[hi]])
-                    hi += 1
-                got = _scores([texts[i] for i in todo[lo:hi]], table)
+            todo = [i for i, x in enumerate(letters) if x and langs]
+            for part in _batched([texts[i] for i in todo]):
+                got = _scores([texts[i] for i in todo[part]], table)
                 best = got.argmax(1)
                 p = 1 / np.exp(got - got[np.arange(len(best)), best][:, None]).sum(1)
-                for i, b, s in zip(todo[lo:hi], best.tolist(), p.tolist()):
+                for i, b, s in zip(todo[part], best.tolist(), p.tolist()):
                     preds[i], scores[i] = langs[b], s
-                lo = hi
             rest = [batch[c] for c in batch.schema.names if c not in ("text",)]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*[c for c in batch.schema.names if c != "text"], "lang_pred", "score"])
 

@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 from .common import texts
 
 SAMPLE = 1200  # labelled documents of each class that are looked at, the first by a hash of the id
-SAMPLE_BYTES = 32_768  # a longer text isn't taken for training
+SAMPLE_BYTES = 32_768  # of a longer text, so much from its middle is taken for training
 DICT_BYTES = 160_000  # of text in each dictionary
+PIECE = 2000  # bytes from the middle of a document that go into a dictionary
 LEVEL = 3
 
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", n: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", allowed=None) -> list[tuple[int, bytes, int]]:
-    """(id, text, label) of at most n labelled documents of each class, in a fixed order.
+    """(id, text, label) of at most n labelled documents of each class, in a fixed order: at most 2 n rows reach the driver.
 
-    allowed: a condition on the column doc_id. Documents with contradictory or null labels are left out."""
+    allowed: a condition on the column doc_id. Documents with contradictory or null labels are left out. Of
+    a text over SAMPLE_BYTES its middle stands for it, so no class loses its long texts; of rows with the same
+    doc_id the smallest text stands for all. Extra columns of either table aren't read."""
     marks = labels.select(F.col("`doc_id`").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
     if allowed is not None:
         marks = marks.where(allowed)
@@ -35,8 +38,10 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", n: in
     for k in (0, 1):
         own = marks.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         picked = own if picked is None else picked.unionByName(own)
-    rows = texts(docs, id_col, text_col).where(F.octet_length("body") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id").collect()  # at most 2 n rows
-    return sorted({(r["doc_id"], bytes(r["body"]), r["label"]) for r in rows}, key=lambda r: (r[0] * 2654435761 % (1 << 32), r[0], r[1]))[: 2 * n]
+    middle = F.expr(f"substring(body, cast(greatest(0, octet_length(body) - {SAMPLE_BYTES}) div 2 as int) + 1, {SAMPLE_BYTES})")
+    rows = texts(docs, id_col, text_col).select("doc_id", middle.alias("body")).join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("body").alias("body")).collect()
+    return sorted(((r["doc_id"], bytes(r["body"]), r["label"]) for r in rows), key=lambda r: (r[0] * 2654435761 % (1 << 32), r[0]))
 
 
 #: Shape of a text: lower-case and other letters, capitals, digits; the rest stays.
@@ -84,7 +89,7 @@ def curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[list[float],
     return weights.tolist(), float(w[-1] - weights @ mean)
 
 
-def fit(rows: list[tuple[int, bytes, int]], dict_bytes: int = DICT_BYTES, piece: int = 2000) -> dict:
+def fit(rows: list[tuple[int, bytes, int]], dict_bytes: int = DICT_BYTES, piece: int = PIECE) -> dict:
     """Dictionaries from every other document of each class, a stretch from each one's middle; the curve from the rest."""
     own = {k: [b for _, b, label in rows if label == k] for k in (0, 1)}
     cut = lambda x: x[max(0, len(x) - piece) // 2 :][:piece]
@@ -101,7 +106,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """(doc_id, feature, score) of every whole text; no shuffle. feature: the text's normalised size difference.
 
     Null and empty texts have all features 0, so the curve's offset decides. Without any training rows every
-    score is 0.5."""
+    score is 0.5. Rows stay as they are: equal texts have equal scores, rows with the same or a null doc_id
+    are scored each, and extra columns of any name aren't read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

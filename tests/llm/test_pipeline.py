@@ -2,61 +2,17 @@
 
 import hashlib
 import re
-from collections import Counter
-from math import log2
 
 import corpus_pipeline
 import sentencepiece
 from pyspark.sql import functions as F
 
-from cairn.llm import secrets, simhash
+from cairn.llm import simhash
 
-from .test_operators import PATH, brute_secrets
+from .test_operators import PATH
+from .test_secrets import redacted
 
 DIR = "/root/testdata/sf0.001"
-head, tail = secrets.ALLOWED.split("|(?i)", 1)
-ALLOWED = re.compile(head + "|(?i:" + tail.replace("(?i)", "") + ")")
-
-
-def brute_entropy(text, base):
-    taken = [tuple(map(int, x.split(":")[1:])) for x in base]
-    out = set()
-    for pattern, alphabet, least in secrets.CLASSES.values():
-        for m in re.finditer(pattern, text):
-            if ALLOWED.search(m[0]):
-                continue
-            w = secrets.WINDOW
-            hot = [i for i in range(len(m[0]) - w + 1) if -sum(c / w * log2(c / w) for c in Counter(m[0][i : i + w]).values()) >= least - 1e-9]
-            if hot:
-                a, b = m.start() + hot[0], m.start() + hot[-1] + w
-                if not any(x <= a and b <= y for x, y in taken):
-                    out.add((a, b))
-    return [f"entropy:{a}:{b}" for a, b in sorted(out)]
-
-
-def redacted(text):
-    base = brute_secrets(text)
-    runs = []
-    for a, b in sorted(tuple(map(int, x.split(":")[1:])) for x in [*base, *brute_entropy(text, base)]):
-        if runs and runs[-1][1] >= a:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
-    out, at = "", 0
-    for a, b in runs:
-        out += text[at:a] + "[REDACTED]"
-        at = b
-    return out + text[at:]
-
-
-def test_entropy_spans(spark):
-    texts = ["key Zk3vQ9xL1mP7sT2wR8yB4nC6hJ0dF5gA and ABCDEFGHIJKLMNOPQRSTUVWXYZ1", "hex 9F86D081884C7D659A2FEAA0C55AD015 end", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "a1" * 30 + "q8Zr2Lw9Xc4Vb7Nm1Kj5Hg3Fd6Sa0Po" + "b2" * 30, "é😀 q8Zr2Lw9Xc4Vb7Nm1Kj5Hg3Fd6Sa0Po", "some/path/with/many/words/in/it and-hyphens-between-many-words"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r["doc_id"]: r["spans"] for r in secrets.report(secrets.scan(df)).collect()}
-    for i, t in enumerate(texts):
-        base = brute_secrets(t)
-        assert sorted(got[i].split(",") if got[i] else []) == sorted(base + brute_entropy(t, base)), t
-    assert all("entropy" in got[i] for i in (0, 1, 3, 4)) and "entropy" not in got[2] + got[5]
 
 
 def test_run(spark):
