@@ -63,10 +63,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Delete the tables that this session has staged; results that read them must have been written before."""
+def staged_so_far() -> int:
+    return len(_made)
+
+
+def clear_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables that this session has staged, but for the first `keep`; results that read them must have been written before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
+    while len(_made) > keep:
         path = jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(conf).delete(path, True)
 

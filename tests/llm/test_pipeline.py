@@ -76,6 +76,29 @@ def test_stages_keep_columns_and_odd_rows(spark):
     assert empty.count() == 0
 
 
+def test_language_stage_names_languages(spark):
+    rows = [(i, "der hund und die katze " * 3, "de", 1) for i in range(8)] + [(20 + i, "the dog and the cat " * 3, "en", 2) for i in range(8)]
+    rows += [(40, "die hund", None, 3), (40, "the dog", None, 4), (None, "dog the", None, 5), (41, "12", "en", 6), (42, None, None, 7), (43, "the cat", "xx", 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int").withColumn("lang_pred", F.lit("mine"))
+    got = {r["score"]: r for r in corpus_pipeline.keep_languages(spark, docs, DIR).where("score > 2").collect()}
+    assert {k: (r["doc_id"], r["lang"], r["lang_pred"]) for k, r in got.items()} == {3: (40, "de", "mine"), 4: (40, "en", "mine"), 5: (None, "en", "mine"), 8: (43, "xx", "mine")}
+
+
+def test_hard_texts_in_the_secret_stage(spark):
+    rows = [(1, "ab-" * 8000 + "1"), (2, "see a" + "-" * 60 + "1b end"), (1, "other row, same id, token=abcdefgh")]
+    got = corpus_pipeline.redact_secrets(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), DIR).collect()
+    assert sorted(r["text"] for r in got) == sorted([rows[0][1], rows[1][1], "other row, same id, [REDACTED]"])
+
+
+def test_rows_with_the_same_id_stay_apart(spark):
+    bench = spark.read.parquet(f"{DIR}/benchmark.parquet").first()["text"]
+    rows = [(1, "clean text of its own, some words long"), (1, bench), (None, "another text without any id at all"), (None, bench + " " + bench)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.drop_contaminated(spark, docs, DIR).collect()
+    assert sorted(r["text"] for r in got) == sorted(t for _, t in rows if t.startswith(("clean", "another")))
+    assert corpus_pipeline.encode(spark, docs, DIR).groupBy("doc_id").count().where("count = 2").count() == 2
+
+
 def test_one_row_of_each_group(spark):
     a, b, c, d, e = (" ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:6] for i in range(80)) for k in "abcde")
     near = d + " tail"
