@@ -1,6 +1,6 @@
 """Training-data pipeline over documents: five stages, each written as Parquet and read by the next.
 
-Language ID drops documents without any letter; SimHash keeps one document of each near-duplicate group;
+Language ID drops documents without any letter and names the language where none is given; SimHash keeps one document of each near-duplicate group;
 documents that benchmark phrases contaminate go; secrets are replaced by a mark; SentencePiece encodes.
 """
 
@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import decontaminate, language, pieces, secrets, simhash
-from cairn.llm.common import fold, shared_dir
+from cairn.llm.common import clear_staged, fold, shared_dir, staged_so_far
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; null texts and texts without any letter are rejected."""
-    found = language.identify(docs, language.fit(docs.where(fold(F.col("doc_id"), 4) != 2)), keep=[c for c in docs.columns if c != "doc_id"])
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    """Documents in a language; null texts and texts without any letter are rejected. A null lang becomes the predicted one."""
+    found = language.identify(docs, language.fit(docs.where(fold(F.col("doc_id"), 4) != 2)), keep=docs.columns)
+    # kept columns may be called as the prediction is, so they are told apart by their place
+    found = found.toDF("id", *[f"kept_{i}" for i in range(len(docs.columns))], "lang_pred", "score").where(F.col("lang_pred") != language.UNKNOWN)
+    return found.select(*[(F.coalesce(f"kept_{i}", "lang_pred") if c == "lang" else F.col(f"kept_{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret in a text becomes a mark, and n_chars follows."""
     found = secrets.scan(docs, keep=[c for c in docs.columns if c != "doc_id"])
-    clean = secrets.redact(F.coalesce("text", F.lit("")), F.col("spans"))
+    clean = secrets.redact("coalesce(text, '')", "spans")
     changed = F.size("spans") > 0
     out = found.withColumn("text", F.when(changed, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
@@ -60,6 +62,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
+        before = staged_so_far()
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        clear_staged(spark, before)  # what the stage wrote for itself; its own table stays
     return docs
