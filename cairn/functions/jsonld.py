@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 #: Fixed value: what a site entity's @id starts with; documentation entities likewise.
 SITE_PREFIX = "http://kulturarvsdata.se/raa/lamning/"
 DOC_PREFIX = "http://kulturarvsdata.se/raa/dokumentation/"
@@ -23,9 +25,19 @@ def main_entity(g: Column, prefix: str = SITE_PREFIX) -> Column:
     return F.get(F.filter(g, lambda e: F.startswith(e["@id"], F.lit(prefix))), F.lit(0))
 
 
+def index(g: Column) -> Column:
+    """struct(ids, entities), last entity first, for look-ups by @id; null without a graph."""
+    return let(F.reverse(g), lambda r: F.when(r.isNotNull(), F.struct(F.transform(r, lambda e: e["@id"]).alias("ids"), r.alias("entities"))))
+
+
+def pointed(known: Column, at: Column) -> Column:
+    """The last entity with an @id, null where it points to nothing; known: the graph's index."""
+    return F.get(known["entities"], F.array_position(known["ids"], at).cast("int") - 1)
+
+
 def entity(g: Column, at: Column) -> Column:
-    """The last entity with an @id, null where it points to nothing."""
-    return F.try_element_at(F.filter(g, lambda e: e["@id"] == at), F.lit(-1))
+    """pointed for a single look-up in a graph."""
+    return let(index(g), lambda known: pointed(known, at))
 
 
 def value(c: Column) -> Column:
@@ -44,50 +56,72 @@ def refs(c: Column) -> Column:
     return F.filter(F.transform(many, lambda r: r["@id"]), lambda x: x.isNotNull())
 
 
+def _contents(known: Column, ids: Column, content: str) -> Column:
+    """array<struct<type, text>> of the entities with these @ids; empty contents left out."""
+    read = lambda at: let(pointed(known, at), lambda e: F.struct(F.coalesce(value(e["ksam:type"]), F.lit("Unknown")).alias("type"), F.coalesce(value(e[content]), F.lit("")).alias("text")))
+    got = F.coalesce(F.transform(ids, read), F.array().cast("array<struct<type:string,text:string>>"))
+    return F.filter(got, lambda x: x["text"] != "")
+
+
 def labelled(g: Column, main: Column, field: str, content: str) -> Column:
     """array<struct<type, text>> of the entities that a list names; empty contents left out."""
+    return let(index(g), lambda known: _contents(known, refs(main[field]), content))
 
-    def read(at: Column) -> Column:
-        found = F.transform(F.array(entity(g, at)), lambda e: F.struct(F.coalesce(value(e["ksam:type"]), F.lit("Unknown")).alias("type"), F.coalesce(value(e[content]), F.lit("")).alias("text")))
-        return F.get(found, F.lit(0))
 
-    got = F.coalesce(F.transform(refs(main[field]), read), F.array().cast("array<struct<type:string,text:string>>"))
-    return F.filter(got, lambda x: x["text"] != "")
+def _filled(label: Column, text: Column) -> Column:
+    return F.concat(label, F.lit(": "), text)
 
 
-def places(g: Column, main: Column) -> Column:
-    """struct of array of labelled place names from the context entity."""
+def _places(known: Column, main: Column) -> Column:
+    """Labelled place names from the context entity; empty without one."""
     ctx = F.when(F.startswith(F.ltrim(main["ksam:context"]), F.lit("{")), F.get_json_object(main["ksam:context"], "$['@id']"))
+    given = lambda e: F.filter(F.array(*[F.struct(F.lit(n).alias("label"), value(e[f]).alias("text")) for n, f in PLACES]), lambda x: x["text"] != "")
+    return F.transform(let(pointed(known, ctx), given), lambda x: _filled(x["label"], x["text"]))
 
-    def names(e: Column) -> Column:
-        return F.array_compact(F.array(*[F.when(value(e[f]) != "", F.concat(F.lit(f"{n}: "), value(e[f]))) for n, f in PLACES]))
 
-    return F.get(F.transform(F.array(entity(g, ctx)), names), F.lit(0))
+def places(g: Column, main: Column) -> Column:
+    """Labelled place names from the context entity; empty without one."""
+    return let(index(g), lambda known: _places(known, main))
 
 
-def parts(g: Column, main: Column) -> Column:
-    """array<struct<field, text>> of a description, in its fixed order; field is null for title and class."""
-    kind = "struct<field:string,text:string>"
+def _lists(main: Column) -> Column:
+    """struct of the @ids that each of LISTS names."""
+    return F.struct(*[refs(main[field]).alias(f"l{i}") for i, (field, _) in enumerate(LISTS)])
+
 
-    def one(label: str, c: Column, field: str | None) -> Column:
-        return F.when(c != "", F.array(F.struct(F.lit(field).cast("string").alias("field"), F.concat(F.lit(f"{label}: "), c).alias("text")))).otherwise(F.array().cast(f"array<{kind}>"))
+def _parts(known: Column, main: Column, lists: Column) -> Column:
+    def ones(*rows: tuple[str, Column, str | None]) -> Column:
+        all_ = F.array(*[F.struct(F.lit(field).cast("string").alias("field"), F.lit(label).alias("label"), c.alias("text")) for label, c, field in rows])
+        return F.transform(F.filter(all_, lambda x: x["text"] != ""), lambda x: F.struct(x["field"].alias("field"), _filled(x["label"], x["text"]).alias("text")))
 
-    def many(field: str, content: str) -> Column:
-        return F.transform(labelled(g, main, field, content), lambda x: F.struct(x["type"].alias("field"), F.concat(x["type"], F.lit(": "), x["text"]).alias("text")))
+    def many(i: int) -> Column:
+        return F.transform(_contents(known, lists[f"l{i}"], LISTS[i][1]), lambda x: F.struct(x["type"].alias("field"), _filled(x["type"], x["text"]).alias("text")))
 
-    line = F.array_join(F.coalesce(places(g, main), F.array().cast("array<string>")), " | ")
-    where = F.when(line != "", F.array(F.struct(F.lit("geographic").alias("field"), line.alias("text")))).otherwise(F.array().cast(f"array<{kind}>"))
+    line = F.array(F.struct(F.lit("geographic").alias("field"), F.array_join(F.coalesce(_places(known, main), F.array().cast("array<string>")), " | ").alias("text")))
     return F.concat(
-        one("Title", main["ksam:itemTitle"], None), one("Class", value(main["ksam:itemClassName"]), None), many(*LISTS[0]), where, many(*LISTS[1]), many(*LISTS[2]),
-        one("Organization", value(main["ksam:serviceOrganization"]), "organization"), one("Build Date", main["ksam:buildDate"], "buildDate"), one("Last Changed", main["ksam:lastChangedDate"], "lastChanged"), one("URL", main["ksam:url"], "url"),
+        ones(("Title", main["ksam:itemTitle"], None), ("Class", value(main["ksam:itemClassName"]), None)), many(0), F.filter(line, lambda x: x["text"] != ""), many(1), many(2),
+        ones(("Organization", value(main["ksam:serviceOrganization"]), "organization"), ("Build Date", main["ksam:buildDate"], "buildDate"), ("Last Changed", main["ksam:lastChangedDate"], "lastChanged"), ("URL", main["ksam:url"], "url")),
     )
 
 
+def parts(g: Column, main: Column) -> Column:
+    """array<struct<field, text>> of a description, in its fixed order; field is null for title and class."""
+    return let(index(g), lambda known: let(_lists(main), lambda lists: _parts(known, main, lists)))
+
+
+def _read(body: Column, prefix: str, use) -> Column:
+    """use(index, main entity, lists) of a body, which is parsed once."""
+    return let(index(graph(body)), lambda known: let(main_entity(F.reverse(known["entities"]), prefix), lambda main: let(_lists(main), lambda lists: use(known, main, lists))))
+
+
+def _description(known: Column, main: Column, lists: Column) -> Column:
+    text = F.array_join(F.transform(_parts(known, main, lists), lambda x: x["text"]), "\n\n")
+    found = let(text, lambda t: F.when(t == "", "No description available").otherwise(t))
+    return F.when(known.isNull(), "No data available").when(main.isNull(), "Main entity not found").otherwise(found)
+
+
 def description(body: Column, prefix: str = SITE_PREFIX) -> Column:
-    g = graph(body)
-    main = main_entity(g, prefix)
-    text = F.array_join(F.transform(parts(g, main), lambda x: x["text"]), "\n\n")
-    return F.when(g.isNull(), "No data available").when(main.isNull(), "Main entity not found").when(text == "", "No description available").otherwise(text)
+    return _read(body, prefix, _description)
 
 
 def keywords(main: Column) -> Column:
@@ -108,15 +142,20 @@ def enrichment(body: Column, prefix: str = SITE_PREFIX) -> Column:
 
     All null without a main entity. Something else in an object's place makes the whole record null and
     sets error."""
-    g = graph(body)
-    main = main_entity(g, prefix)
-    wrong = misplaced(main["ksam:itemClassName"]) | misplaced(main["ksam:serviceOrganization"])
-    for field, content in LISTS:
-        at = F.coalesce(refs(main[field]), F.array().cast("array<string>"))
-        wrong = wrong | _bad_targets(g, at, content)
-    ok = main.isNotNull() & ~F.coalesce(wrong, F.lit(False))
-    return F.struct(F.when(ok, keywords(main)).alias("itemKeyword"), F.when(ok, main["ksam:itemTitle"]).alias("itemTitle"), F.when(ok, description(body, prefix)).alias("description"), (main.isNotNull() & F.coalesce(wrong, F.lit(False))).alias("error"))
-
-
-def _bad_targets(g: Column, at: Column, content: str) -> Column:
-    return F.exists(F.transform(at, lambda x: entity(g, x)), lambda e: F.coalesce(misplaced(e["ksam:type"]) | misplaced(e[content]), F.lit(False)))
+
+    def record(known: Column, main: Column, lists: Column) -> Column:
+        wrong = misplaced(main["ksam:itemClassName"]) | misplaced(main["ksam:serviceOrganization"])
+        for i, (_, content) in enumerate(LISTS):
+            wrong = wrong | _bad_targets(known, F.coalesce(lists[f"l{i}"], F.array().cast("array<string>")), content)
+
+        def fields(bad: Column) -> Column:
+            ok = main.isNotNull() & ~bad
+            return F.struct(F.when(ok, keywords(main)).alias("itemKeyword"), F.when(ok, main["ksam:itemTitle"]).alias("itemTitle"), F.when(ok, _description(known, main, lists)).alias("description"), (main.isNotNull() & bad).alias("error"))
+
+        return let(F.coalesce(wrong, F.lit(False)), fields)
+
+    return _read(body, prefix, record)
+
+
+def _bad_targets(known: Column, at: Column, content: str) -> Column:
+    return F.exists(F.transform(at, lambda x: pointed(known, x)), lambda e: F.coalesce(misplaced(e["ksam:type"]) | misplaced(e[content]), F.lit(False)))

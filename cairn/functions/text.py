@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,12 +28,18 @@ LINE_FIELDS = {
 URL_FREE = ("description_sv", "terrain", "orientation", "placement", "reference", "tradition", "title")
 DISCLAIMERS = r"(?iuU)Beskrivningen är inte kvalitetssäkrad\.?|Information kan saknas, vara felaktig eller inaktuell\.?|Se även\s+Inventeringsbok\.?"
 
-SECTIONS = "array<struct<key:string,value:string>>"
+#: White space of any kind, and the byte order mark.
+SPACES = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f\x{feff}]+|[\s\x1c-\x1f\x{feff}]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def strip_urls(c: Column) -> Column:
@@ -59,24 +67,33 @@ def blocks(description: Column) -> Column:
     return F.transform(F.split(description, "\n\n", -1), cut)
 
 
-def block_columns(description: Column, strict: bool = False) -> dict[str, Column]:
-    """Columns of the known blocks, the last of equal names, and rest with the others.
+def block_names(strict: bool = False) -> dict[str, str]:
+    """Label -> column of the known blocks; strict: only those whose normalised label is their name, as the register's own guard lets through."""
+    low = str.maketrans("åäö ", "aao_")
+    return {k: c for k, c in BLOCK_COLUMNS.items() if not strict or k.translate(low).lower() == c}
+
+
+def block_columns(description: Column, strict: bool = False) -> Column:
+    """struct of the known blocks, the last of equal names, rest with the others, and rejected.
 
-    A null or empty description gives nulls. strict: only columns whose normalised label is their name,
-    as the register's own guard lets through."""
-    parts = blocks(description)
+    A null or empty description gives nulls. strict: see block_names; rejected lists the labels that occur
+    and that the guard keeps out, with their normalised names. The text is parsed once for all fields."""
+    allowed = block_names(strict)
     known = F.array(*[F.lit(k) for k in BLOCK_COLUMNS])
-    given = description.isNotNull() & (description != "")
+    refused = F.array(*[F.lit(k) for k in BLOCK_COLUMNS if k not in allowed]).cast("array<string>")
 
-    def last(label: str) -> Column:
-        hit = F.filter(parts, lambda b: b["key"] == label)
-        return F.when(given, F.try_element_at(hit, F.lit(-1))["value"])
+    def rest(others: Column) -> Column:
+        first = F.array_position(F.transform(others, lambda e: e == ""), F.lit(False)).cast("int")  # empty ones before it go
+        return F.when(first > 0, F.array_join(F.slice(others, F.greatest(first, F.lit(1)), F.size(others)), "\n\n")).otherwise(F.lit(""))
 
-    low = str.maketrans("åäö ", "aao_")
-    out = {c: last(k) for k, c in BLOCK_COLUMNS.items() if not strict or k.translate(low).lower() == c}
-    others = F.filter(parts, lambda b: ~F.array_contains(known, b["key"]))
-    rest = F.aggregate(others, F.lit(""), lambda a, b: F.when(a == "", b["entry"]).otherwise(F.concat(a, F.lit("\n\n"), b["entry"])))
-    return out | {"rest": F.when(given, rest)}
+    def fields(parts: Column, keys: Column) -> Column:
+        last = lambda label: F.get(parts, F.array_position(keys, F.lit(label)).cast("int") - 1)["value"]
+        others = F.transform(F.filter(F.reverse(parts), lambda b: ~F.array_contains(known, b["key"])), lambda b: b["entry"])
+        out = F.transform(F.filter(refused, lambda k: F.array_contains(keys, k)), lambda k: F.struct(k.alias("label"), normalise(k).alias("name")))
+        return F.struct(*[last(k).alias(c) for k, c in allowed.items()], let(others, rest).alias("rest"), out.alias("rejected"))
+
+    got = let(F.reverse(blocks(description)), lambda parts: let(F.transform(parts, lambda b: b["key"]), lambda keys: fields(parts, keys)))
+    return F.when(description.isNotNull() & (description != ""), got)
 
 
 def sections(text: Column) -> Column:
@@ -88,15 +105,17 @@ def sections(text: Column) -> Column:
         key = F.when(at > 0, names[strip(F.substring(line, F.lit(1), at - 1))])
         return F.struct(key.alias("key"), F.when(key.isNotNull(), strip(F.substring(line, at + 1, F.length(line)))).otherwise(line).alias("value"))
 
-    def gather(acc: Column, x: Column) -> Column:
-        head = F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))
-        end = F.try_element_at(acc, F.lit(-1))
-        longer = F.struct(end["key"].alias("key"), F.concat(end["value"], F.lit("\n"), x["value"]).alias("value"))
-        return F.when(x["key"].isNotNull(), F.concat(acc, F.array(x))).when(F.size(acc) > 0, F.concat(head, F.array(longer))).otherwise(acc)
+    def gather(lines: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i)["key"].isNotNull())
+
+        def section(at: Column, i: Column, j: Column) -> Column:
+            own = F.slice(lines, i + 1, F.coalesce(F.get(at, j + 1), F.size(lines)) - i)
+            return F.struct(F.get(lines, i)["key"].alias("key"), strip(F.array_join(F.transform(own, lambda x: x["value"]), "\n")).alias("value"))
+
+        return let(starts, lambda at: F.transform(at, lambda i, j: section(at, i, j)))
 
-    lines = F.transform(F.split(text, r"\R|[\x1c-\x1e]", -1), lambda s: read(strip(s)))
-    got = F.aggregate(lines, F.array().cast(SECTIONS), gather)
-    return F.filter(F.transform(got, lambda s: F.struct(s["key"].alias("key"), strip(s["value"]).alias("value"))), lambda s: s["value"] != "")
+    lines = F.transform(F.split(text, r"\R|[\x1c-\x1e]", -1), lambda s: let(strip(s), read))
+    return F.when(text.isNotNull(), F.filter(let(lines, gather), lambda s: s["value"] != ""))
 
 
 def line_fields(found: Column, names: list[str] | None = None, fix_first: bool = False) -> dict[str, Column]:
@@ -107,8 +126,8 @@ def line_fields(found: Column, names: list[str] | None = None, fix_first: bool =
     wanted = names or list(dict.fromkeys(LINE_FIELDS.values()))
 
     def joined(field: str) -> Column:
-        own = F.filter(found, lambda s: s["key"] == field)
-        text = F.when(F.size(own) > 0, F.array_join(F.transform(own, lambda s: s["value"]), "\n"))
+        own = F.transform(F.filter(found, lambda s: s["key"] == field), lambda s: s["value"])
+        text = let(own, lambda v: F.when(F.size(v) > 0, F.array_join(v, "\n")))
         return strip_urls(text) if field in URL_FREE else text
 
     out = {n: joined(n) for n in wanted if n not in ("province", "county", "municipality", "parish")}
@@ -118,8 +137,7 @@ def line_fields(found: Column, names: list[str] | None = None, fix_first: bool =
     for n in ("province", "county", "municipality", "parish"):
         if names is None or n in names:
             own = F.filter(parts, lambda p: F.lower(strip(F.substring_index(p, ":", 1))) == n)  # noqa: B023
-            hit = F.try_element_at(own, F.lit(-1))
-            out[n] = strip(F.substring(hit, F.instr(hit, ":") + 1, F.length(hit)))
+            out[n] = let(F.try_element_at(own, F.lit(-1)), lambda hit: strip(F.substring(hit, F.instr(hit, ":") + 1, F.length(hit))))
     return out
 
 

@@ -95,6 +95,10 @@ VIEWS = {
 }
 
 
+#: Views whose rows are some hundred times as wide as the key that they are made from: the keys are dealt out first.
+WIDE = ("descriptions", "fetched")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view, or one of the driver's tables."""
     if name not in VIEWS:
@@ -103,6 +107,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = view(spark, sf_dir, source)
     if where:
         df = df.where(where)
+    if name in WIDE:
+        df = df.select("k").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")
     return df.selectExpr(*[f"{e} as `{c}`" for c, e in cols])
 
 

@@ -404,9 +404,14 @@ FULL_BODY = f"concat({BODY}, {URL_LINE_CLEAN}, case when k % 4 = 1 and k % 7 = 0
 @query(f"""select k, {_blank(CLASS_SV)} as class, {_blank(PLACING)} as location, {_blank(GEO)} as province, {_blank("concat('Lerum ', k, ':1')")} as raa_number, {_blank("concat('Site ', k)")} as title,
     {_blank("'Skog'")} as vegetation, cast(null as varchar) as url, {_blank("concat('inga uppgifter ', k)")} as rest, {_blank("k % 5 <> 0")} as has_description from descriptions""")
 def parse_blocks(s, d):
-    cols = text.block_columns(F.col("description"))
-    f = view(s, d, "descriptions")
-    return f.select("k", *[cols[c].alias(c) for c in ("class", "location", "province", "raa_number", "title", "vegetation", "url", "rest")], F.when(cols["rest"].isNotNull(), cols["description_swedish"].isNotNull()).alias("has_description"))
+    f = view(s, d, "descriptions").select("k", text.block_columns(F.col("description")).alias("b"))
+    return f.select("k", *[f"b.{c}" for c in ("class", "location", "province", "raa_number", "title", "vegetation", "url", "rest")], F.when(F.col("b").isNotNull(), F.col("b.description_swedish").isNotNull()).alias("has_description"))
+
+
+@query("""select k, case when k % 31 <> 0 and k % 29 <> 0 then 'Site ' || k end as title, case when k % 31 <> 0 and k % 29 <> 0 then case when k % 5 <> 0 then 'Placering=placering,Beskrivning=beskrivning,RAÄ-nummer=raä-nummer' else 'Placering=placering,RAÄ-nummer=raä-nummer' end end as rejected from descriptions""")
+def guarded_blocks(s, d):
+    f = view(s, d, "descriptions").select("k", text.block_columns(F.col("description"), strict=True).alias("b"))
+    return f.select("k", "b.title", F.array_join(F.transform("b.rejected", lambda x: F.concat_ws("=", x["label"], x["name"])), ",").alias("rejected"))
 
 
 @query("""select k, label, lower(replace(replace(replace(replace(label, 'å', 'a'), 'ä', 'a'), 'ö', 'o'), ' ', '_')) as name from (select k, case when k % 3 = 0 then 'RAÄ-nummer' when k % 3 = 1 then 'Antikvarisk bedömning' else 'Undersökningsstatus Å' end as label from keyed)""")

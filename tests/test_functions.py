@@ -24,17 +24,43 @@ def column(df, expr):
 
 def test_blocks(spark):
     texts = ["Class: Röse\n\nrest one\n\nClass: Hög\n\n Title :  a: b \n\nUnknown: x\n\nnocolon", "Classx", "", None, "RAÄ-nummer: A\xa0\n\nURL: https://x.y/z"]
-    cols = text.block_columns(F.col("c"))
-    rows = one(spark, texts).select(*[c.alias(n) for n, c in cols.items()]).collect()
+    df = one(spark, texts).select(text.block_columns(F.col("c")).alias("b"), text.block_columns(F.col("c"), strict=True).alias("s"))
+    rows = df.select("b.*").collect()
     assert rows[0]["class"] == "Hög" and rows[0]["title"] == "a: b" and rows[0]["rest"] == "rest one\n\nUnknown: x\n\nnocolon"
     assert rows[1]["class"] == "Classx" and rows[1]["rest"] == ""  # the key is the entry less its last character
     assert rows[2]["rest"] is None and rows[3]["class"] is None
     assert rows[4]["raa_number"] == "A" and rows[4]["url"] == "https://x.y/z"
+    assert all(r["rejected"] in ([], None) for r in rows)
+    strict = df.select("s.*").collect()
+    assert "raa_number" not in strict[4] and strict[4]["url"] == "https://x.y/z"
+    assert [tuple(x) for x in strict[4]["rejected"]] == [("RAÄ-nummer", "raä-nummer")] and strict[0]["rejected"] == []
+
+
+def test_rest_of_blocks(spark):
+    def plain(t):
+        out = ""
+        for e in t.split("\n\n"):
+            out = e if out == "" else out + "\n\n" + e
+        return out
+
+    texts = ["x", "\n\nx", "\n\n\n\nx\n\n\n\ny\n\n", "a\n\n\n\n", "\n\n", " \n\nb"]
+    assert column(one(spark, texts), text.block_columns(F.col("c"))["rest"]) == [plain(t) for t in texts]
+
+
+def test_parsers_name_the_text_once(spark):
+    """However many columns are taken, blocks are split once, and a body is parsed once."""
+    df = one(spark, ["x"])
+    b = df.select(text.block_columns(F.col("c")).alias("b")).select("b.class", "b.title", "b.url", "b.rest")
+    assert b._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    for c in (jsonld.description(F.col("c")), jsonld.enrichment(F.col("c"))):
+        plan = df.select(c.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField(@graph") == 1 and plan.count("from_json") <= 6
 
 
 def test_strict_names():
     low = str.maketrans("åäö ", "aao_")
     kept = [c for k, c in text.BLOCK_COLUMNS.items() if k.translate(low).lower() == c]
+    assert list(text.block_names(strict=True).values()) == kept
     assert kept == ["class", "province", "organization", "build_date", "last_changed", "url", "title", "vegetation", "tradition"]
 
 
