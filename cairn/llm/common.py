@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: list[str] = []  # the folder of a local session without a setting
-_made: list[str] = []  # tables that this session has staged
+_made: list[str] = []  # tables that this session has staged: their folders
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -63,6 +63,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """df as a staged table in buckets by a key: joins on the key read it without an exchange."""
+    spark = df.sparkSession
+    table, n = f"{name}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_dir(spark)}/{table}"
+    _made.append(path)
+    with _tidy(spark):
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).option("compression", "none").saveAsTable(table)
+    return spark.table(table)
+
+
 def staged_so_far() -> int:
     return len(_made)
 
@@ -71,7 +82,9 @@ def clear_staged(spark: SparkSession, keep: int = 0) -> None:
     """Delete the tables that this session has staged, but for the first `keep`; results that read them must have been written before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while len(_made) > keep:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        name = _made.pop()
+        spark.sql(f"DROP TABLE IF EXISTS `{name.rsplit('/', 1)[-1]}`")  # of those in buckets
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
 
 

@@ -2,7 +2,7 @@
 
 A shard is a bounded block of documents of one partition. Only runs of benchmark words that are long
 enough to hold a phrase can match, so these runs are what the shard's index holds, with a separator
-between them. All phrases of the benchmark are searched backwards at once through the ranks of a wavelet
+between them; a run over a shard's size is cut with an overlap. All phrases of the benchmark are searched backwards at once through the ranks of a wavelet
 matrix over the shard's BWT; occurrences are found from sampled suffix positions, and overlapping hits
 merge to removal spans.
 """
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PHRASE = 13
-SHARD_WORDS = 1 << 18  # words that one index holds (a longer single run stays whole)
+SHARD_WORDS = 1 << 18  # words that one index holds
 SAMPLE = 8  # every so many positions, and each run's start, is kept for locating
-ITEM_BYTES = 32 << 20  # benchmark text sent to the workers at once; more goes in further passes
+ITEM_BYTES = 4 << 20  # benchmark text sent to the workers at once; more goes in further passes
 #: A-Z to lower case; other ASCII that is no letter or digit to a space; the rest stays.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -105,23 +105,42 @@ class ShardIndex:
 
 
 class Phrases:
-    """The benchmark's windows as rows of word numbers."""
+    """The benchmark's distinct windows as rows of word numbers, filled from the right, and the items that have each."""
 
     def __init__(self, items: list[tuple[str, bytes]], width: int):
         self.number: dict[bytes, int] = {}
         self.names = [x for x, _ in items]
-        found: dict[tuple, set[int]] = {}
+        rows, owner = [np.zeros((0, width), np.int32)], [np.zeros(0, np.int32)]
         for k, (_, body) in enumerate(items):
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(body)]
-            for i in range(max(len(ids) - width, 0) + 1 if ids else 0):
-                found.setdefault(tuple(ids[i : i + width]), set()).add(k)
-        keys = list(found)
-        self.items = [np.fromiter(found[x], np.int64) for x in keys]
-        self.lengths = np.array([len(x) for x in keys], np.int64)
-        self.rows = np.zeros((len(keys), width), np.int64)
-        for i, x in enumerate(keys):
-            self.rows[i, width - len(x) :] = x
-        self.least = int(self.lengths.min()) if keys else 0
+            ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(body)], np.int32)
+            if len(ids):
+                padded = np.concatenate((np.zeros(max(0, width - len(ids)), np.int32), ids))
+                rows.append(np.lib.stride_tricks.sliding_window_view(padded, width))
+                owner.append(np.full(len(rows[-1]), k, np.int32))
+        rows, owner = np.concatenate(rows), np.concatenate(owner)
+        order = np.lexsort((owner, *rows.T))
+        rows, owner = rows[order], owner[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(1)
+        again = ~new
+        again[1:] &= owner[1:] == owner[:-1]  # the item has the window more than once
+        first = np.flatnonzero(new[~again])
+        self.rows, self.owner, self.first = rows[new], owner[~again], first
+        self.count = np.diff(np.append(first, len(self.owner)))
+        self.lengths = (self.rows > 0).sum(1)
+        self.least = int(self.lengths.min()) if len(self.rows) else 0
+
+    def of(self, window: int) -> np.ndarray:
+        """Items that have the window."""
+        return self.owner[self.first[window] : self.first[window] + self.count[window]]
+
+
+def _cut_runs(starts: np.ndarray, ends: np.ndarray, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs [start, end) in pieces of at most limit + overlap, each sharing `overlap` places with the next."""
+    n = np.maximum(1, -(-(ends - starts - overlap) // limit))
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    lo = np.repeat(starts, n) + k * limit
+    return lo, np.minimum(lo + limit + overlap, np.repeat(ends, n))
 
 
 def _shards(starts: np.ndarray, ends: np.ndarray, limit: int):
@@ -150,11 +169,13 @@ def hits(bodies: list[bytes], phrases: Phrases) -> list[tuple[int, list[tuple[in
         edge = np.diff(np.concatenate(([0], (seq > 0).view(np.int8), [0])))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         long = ends - starts >= phrases.least
-        starts, ends = starts[long], ends[long]
+        starts, ends = _cut_runs(starts[long], ends[long], SHARD_WORDS, phrases.rows.shape[1] - 1)
         for part in _shards(starts, ends, SHARD_WORDS):
-            s, size = starts[part], ends[part] - starts[part] + 1  # the 0 behind the run is its separator
+            s, size = starts[part], ends[part] - starts[part] + 1  # one more for the separator
             at = np.repeat(s - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-            index = ShardIndex(seq[at], len(phrases.number))
+            held = seq[at]
+            held[np.cumsum(size) - 1] = 0
+            index = ShardIndex(held, len(phrases.number))
             lo, hi = index.search(phrases.rows, phrases.lengths)
             n = np.maximum(hi - lo, 0)
             which = np.repeat(np.arange(len(n)), n)
@@ -164,7 +185,7 @@ def hits(bodies: list[bytes], phrases: Phrases) -> list[tuple[int, list[tuple[in
             np.add.at(cover, where + phrases.lengths[which], -1)
             doc = np.searchsorted(begin, where, "right") - 1
             for d, w in np.unique(np.stack((doc, which), 1), axis=0).tolist():
-                of[d].update(phrases.items[w].tolist())
+                of[d].update(phrases.of(w).tolist())
     hit = np.diff(np.concatenate(([0], (np.cumsum(cover[:-1]) > 0).view(np.int8), [0])))
     a, b = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
     first = np.searchsorted(a, begin)

@@ -1,9 +1,10 @@
 """Media columns: payloads cut into content-defined chunks, each chunk stored once.
 
 A gear hash rolls over the payload; a chunk ends where its top bits are zero, so equal stretches are cut
-alike wherever they lie. Half of a chunk's SHA-256 is its key, and half of a payload's. The store has one row for each digest; the manifest
-has each distinct payload's ordered digests. Joined again and put in order they give the payload back,
-which is checked chunk by chunk and as a whole.
+alike wherever they lie. Half of a chunk's SHA-256 is its key, and half of a payload's. The store is a
+written table with one row for each digest, in buckets by digest; the manifest has each distinct payload's
+ordered digests. What is read back from the store, joined and put in order gives the payload again, which is
+checked chunk by chunk and as a whole.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, texts
+from .common import bucketed, staged, texts
 
 FRAME = 576  # payloads are padded to a positive multiple
 PAD = b"\xff"
-LEAST, MOST, CUT_BITS = 4096, 65536, 13  # bytes of a chunk; an end every 2**CUT_BITS bytes
-HOT = 256  # references to one chunk that are joined in one place
+LEAST, MOST, CUT_BITS = 256, 16384, 10  # bytes of a chunk; an end every 2**CUT_BITS bytes
+HOT = 256  # references to one chunk that make a pack
+COPY = 256  # packs for which one copy of a chunk is made
 GEAR = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(29)).astype(np.uint32)
 
 
@@ -136,29 +138,31 @@ def _rebuild(batches):
 
 
 def store(docs: DataFrame) -> DataFrame:
-    """(digest, stored): each distinct chunk of the payloads once."""
-    return docs.select("body").mapInArrow(_bodies, "digest binary, stored binary").groupBy("digest").agg(F.first("stored").alias("stored"))
+    """(digest, stored): each distinct chunk of the payloads once, written as a table in buckets by digest."""
+    found = docs.select("body").mapInArrow(_bodies, "digest binary, stored binary").groupBy("digest").agg(F.first("stored").alias("stored"))
+    return bucketed(found, "media_chunks", "digest")
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes and what is read back from the chunk store for every document.
 
     Null and empty texts are one frame of padding. Documents with equal texts share one rebuilt payload.
-    A chunk with more than `hot` references is joined in packs of about that many, which are then dealt
-    out, so that no task makes all of its copies."""
+    A chunk with more than `hot` references is joined in packs of about that many, by copies of the chunk that
+    serve COPY packs each, and the packs are then dealt out; so no task makes or joins all of its copies."""
     docs = texts(docs, id_col, text_col)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = staged(docs.mapInArrow(_names, "doc_id bigint, n_bytes bigint, pay binary, digests array<binary>"), "media-names")
     manifest = named.groupBy("pay").agg(F.first("digests").alias("digests")).select("pay", F.posexplode("digests").alias("ord", "digest"))
     manifest = staged(manifest, "media-manifest")
     crowded = staged(manifest.groupBy("digest").agg(F.count("*").alias("refs")).where(F.col("refs") > hot), "media-crowded")
-    ref = F.struct("pay", "ord")
     marked = manifest.join(crowded, "digest", "left").withColumn("pack", F.when(F.col("refs").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("pay", "ord"), F.ceil(F.col("refs") / hot))))
-    packs = marked.groupBy("digest", "pack").agg(F.collect_list(ref).alias("places"))
+    packs = marked.groupBy("digest", "pack").agg(F.collect_list(F.struct("pay", "ord")).alias("places"))
     kept = store(docs)
     place = [F.col("place.pay").alias("pay"), F.col("place.ord").alias("ord"), "digest", "stored"]
     few = kept.join(packs.where("pack = 0"), "digest").withColumn("place", F.explode("places")).select(*place)
-    many = kept.join(packs.where("pack > 0"), "digest").repartition(n, "digest", "pack").withColumn("place", F.explode("places")).select(*place)
+    copies = kept.join(crowded, "digest").withColumn("copy", F.explode(F.sequence(F.lit(0), F.floor((1 + F.col("refs") / hot) / COPY).cast("int")))).drop("refs")
+    shared = packs.where("pack > 0").withColumn("copy", F.floor(F.col("pack") / COPY).cast("int"))
+    many = copies.join(shared, ["digest", "copy"]).repartition(n, "digest", "pack").withColumn("place", F.explode("places")).select(*place)
     parts = few.unionByName(many).repartition(n, "pay").sortWithinPartitions("pay", "ord")
     rebuilt = parts.mapInArrow(_rebuild, RESULT)
     out = named.select("doc_id", "n_bytes", "pay").join(rebuilt, "pay").drop("pay")

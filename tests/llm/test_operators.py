@@ -1,11 +1,12 @@
 """The corpus operators against brute force, libraries and planted cases."""
 
+import bz2
 import hashlib
 import random
 import re
 import zlib
 from collections import Counter
-from math import log10
+from math import log2, log10
 
 import numpy as np
 import public_tokenizers
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm import decontaminate, language, media, pieces, quality, secrets, simhash, trees
 from cairn.llm.common import fold
+from cairn.llm.common import texts as texts_of
 
 #: Extra columns whose names the operators use themselves.
 SCHEMA = "doc_id bigint, text string, lang string, body string, kept_0 int, score double, block int, spans string"
@@ -202,6 +204,50 @@ def test_index_search(seq, phrase):
     assert got == [i for i in range(len(seq)) if seq[i : i + len(phrase)].tolist() == phrase]
 
 
+def plain_hits(bodies, items):
+    """(words, hit places, items) of each document by a dict of windows."""
+    windows: dict = {}
+    for k, b in enumerate(items):
+        w = decontaminate.words(b)
+        for i in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[i : i + 13]), set()).add(k)
+    out = []
+    for b in bodies:
+        w, hit, of = decontaminate.words(b), set(), set()
+        for n in {len(x) for x in windows}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in windows:
+                    hit.update(range(i, i + n))
+                    of |= windows[tuple(w[i : i + n])]
+        out.append((len(w), hit, sorted(of)))
+    return out
+
+
+@pytest.mark.parametrize("shard", [20, 1 << 18])
+def test_hits_of_long_runs(monkeypatch, shard):
+    """Runs of benchmark words over a shard are cut with an overlap; nothing is lost where they are cut."""
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+    items = [t.encode() for t in [*prose(21, 12, 40, 12), "one two", "one", "a b c " * 9]]
+    rnd = random.Random(5)
+    bodies = [" ".join(rnd.choice(items).decode() for _ in range(rnd.randrange(6))).encode() for _ in range(25)] + [b"", b"x", b"a b c " * 400]
+    got = decontaminate.hits(bodies, decontaminate.Phrases([(str(k), b) for k, b in enumerate(items)], 13))
+    assert [(n, {i for a, b in spans for i in range(a, b)}, of) for n, spans, of in got] == plain_hits(bodies, items)
+
+
+def test_phrases_are_small():
+    """Windows are rows of a matrix: some 80 bytes each, not Python objects."""
+    import tracemalloc
+
+    rnd = random.Random(3)
+    body = " ".join(f"w{rnd.randrange(5000)}" for _ in range(200_000)).encode()
+    tracemalloc.start()
+    known = decontaminate.Phrases([("a", body), ("b", body[:5000].rsplit(b" ", 1)[0])], 13)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(known.rows) == 200_000 - 12 and held < 25e6 and most < 90e6
+    assert known.of(int(np.flatnonzero(known.count > 1)[0])).tolist() == [0, 1]
+
+
 # ---- suffix tree
 
 
@@ -277,7 +323,7 @@ def test_pieces_of_documents(spark):
 # ---- media
 
 
-def test_media(spark):
+def test_media(spark, monkeypatch):
     texts = [*prose(14, 20), *EDGES, "".join(prose(15, 400)), "".join(prose(15, 401))]
     texts += [texts[0], texts[-2] + "tail"]
     want = Counter()
@@ -285,7 +331,8 @@ def test_media(spark):
         b = (t or "").encode()
         p = b + b"\xff" * (max(1, -(-len(b) // 576)) * 576 - len(b))
         want[(i, len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))] += 1
-    for hot in (256, 1):
+    for hot, copy in ((256, 256), (1, 256), (1, 1)):
+        monkeypatch.setattr(media, "COPY", copy)
         got = media.media_columns(table(spark, texts), hot=hot).collect()
         assert Counter((r["doc_id"], r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in got) == want
         by = {}
@@ -294,6 +341,53 @@ def test_media(spark):
         assert all(len(x) == 1 for x in by.values())
 
 
+def brute_cuts(data):
+    """Ends of chunks, the hash summed anew for each place."""
+    gear, out, at = media.GEAR.tolist(), [], 0
+    for i in range(len(data)):
+        size = i + 1 - at
+        h = sum(gear[data[i - k]] << k for k in range(min(32, i + 1))) & 0xFFFFFFFF
+        if size == media.MOST or (size >= media.LEAST and h >> (32 - media.CUT_BITS) == 0):
+            out.append(i + 1)
+            at = i + 1
+    return out if out and out[-1] == len(data) else [*out, len(data)]
+
+
+def test_cuts_by_hand(monkeypatch):
+    rnd = random.Random(6)
+    texts = [rnd.randbytes(n) for n in (1, 255, 256, 257, 5000)] + [b"\xff" * 3000, " ".join(prose(17, 60)).encode()]
+    assert all(media.cuts(t) == brute_cuts(t) for t in texts)
+    monkeypatch.setattr(media, "MOST", 700)
+    assert all(media.cuts(t) == brute_cuts(t) for t in texts) and max(len(x) for x in media.chunks(texts[4])) <= 700
+
+
+def test_media_columns_by_hand(spark):
+    texts = ["abc", " ".join(prose(16, 90)), None, "é" * 4000]
+    got = {r["doc_id"]: r for r in media.media_columns(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for i, t in enumerate(texts):
+        b = (t or "").encode()
+        p = b + b"\xff" * (max(1, -(-len(b) // 576)) * 576 - len(b))
+        ends = brute_cuts(p)
+        stored = b""
+        for x in (p[a:c] for a, c in zip([0, *ends], ends)):
+            packed = bz2.compress(x, 1)
+            stored += hashlib.sha256(x).digest()[:16] + len(x).to_bytes(4, "little") + len(packed).to_bytes(4, "little") + packed
+        share = [p.count(v) / len(p) for v in set(p)]
+        feature = f"chunks={len(ends)};mean={sum(p) / len(p):.2f};entropy={abs(-sum(x * log2(x) for x in share)):.3f}"
+        assert (got[i]["media_bytes"], got[i]["media_sha256"], got[i]["feature"]) == (len(stored), hashlib.sha256(stored).hexdigest(), feature)
+
+
+def test_near_copies_share_chunks(spark):
+    base = [" ".join(prose(18 + k, 8, 600, 2000)) for k in range(15)]
+    docs = spark.createDataFrame([(2 * i + k, t if not k else t[:50] + "changed" + t[50:]) for i, t in enumerate(base) for k in (0, 1)], "doc_id bigint, text string")
+    whole = sum(len(media.payload(r["text"].encode())) for r in docs.collect())
+    kept = media.store(texts_of(docs))
+    bodies = [bz2.decompress(bytes(r["stored"])) for r in kept.collect()]
+    assert kept.select("digest").distinct().count() == len(bodies) and sum(map(len, bodies)) < 0.8 * whole
+    plan = kept.join(kept.select("digest").withColumnRenamed("digest", "d2"), F.col("digest") == F.col("d2"))._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+
+
 def test_chunks_move_with_content():
     data = random.Random(1).randbytes(300_000)
     a, b = media.chunks(data), media.chunks(b"inserted" + data)
