@@ -52,6 +52,11 @@ def text_prompt(given: Column) -> Column:
     return F.concat(F.lit(TEXT_ORDER), given, F.lit("\n"), F.lit("\n\nSite description: "), given)
 
 
+def or_empty(description: Column, caption: Column) -> Column:
+    """The caption, or a fixed mark where there is no description to make one from."""
+    return F.when(F.coalesce(description, F.lit("")) == "", F.lit("empty description")).otherwise(caption)
+
+
 def clean_caption(reply: Column) -> Column:
     """Without the rest of the line behind the first empty line, one leading line end, and the first heading's line."""
     line = r"[^\n\r\x{2028}\x{2029}]*"

@@ -104,16 +104,18 @@ def wkb_point(df: DataFrame, wkb: str = "wkb") -> DataFrame:
     """Adds x and y of WKB points (either byte order, Z and SRID flags allowed); other geometries give null."""
     @F.pandas_udf("x double, y double")
     def read(col: pd.Series) -> pd.DataFrame:
-        xs, ys = np.full(len(col), np.nan), np.full(len(col), np.nan)
-        for i, b in enumerate(col):
-            if b is None or len(b) < 21:
-                continue
-            order = "<" if b[0] else ">"
-            kind = int(np.frombuffer(b, order + "u4", 1, 1)[0])
+        """Blobs with the same head and length are read as one array."""
+        out = np.full((len(col), 2), np.nan)
+        heads = col.map(lambda b: (bytes(b[:5]), len(b)) if b is not None and len(b) >= 21 else None)
+        for (head, size), rows in heads.dropna().groupby(heads).groups.items():
+            order = "<" if head[0] else ">"
+            kind = int(np.frombuffer(head, order + "u4", 1, 1)[0])
             at = 9 if kind & 0x20000000 else 5
-            if kind & 0xFFFF in (1, 1001):
-                xs[i], ys[i] = np.frombuffer(b, order + "f8", 2, at)
-        return pd.DataFrame({"x": xs, "y": ys})
+            if kind & 0xFFFF in (1, 1001) and size >= at + 16:
+                places = col.index.get_indexer(rows)
+                data = np.frombuffer(b"".join(col.iloc[places]), np.uint8).reshape(len(places), size)
+                out[places] = np.ascontiguousarray(data[:, at : at + 16]).view(order + "f8")
+        return pd.DataFrame(out, columns=["x", "y"])
 
     at = read(F.col(wkb))
     clean = lambda c: F.when(~F.isnan(c), c)

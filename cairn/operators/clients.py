@@ -30,10 +30,13 @@ def call_with_retry(call: Callable, arg, attempts: int = 3, least: float = 4.0,
             return None, f"{type(e).__name__}: {e}"
 
 
-def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, partitions: int = 1, per_second: float | None = 5.0, **retry) -> DataFrame:
+def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, partitions: int | None = 1, per_second: float | None = 5.0, **retry) -> DataFrame:
     """(key, status, body, error) for each request. status: ok, missing (no answer) or error.
 
-    Each of the partitions keeps its share of the rate."""
+    Each of the partitions keeps its share of the rate. Without a rate, partitions may be None: the requests
+    stay where Spark has them."""
+    if per_second and not partitions:
+        raise ValueError("a rate needs a number of partitions")
     gap = partitions / per_second if per_second else 0.0
 
     def run(batches):
@@ -50,17 +53,23 @@ def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, ar
             yield pd.DataFrame(out, columns=["k", "status", "body", "error"])
 
     rows = requests.select(F.col(key).cast("string").alias("k"), F.col(argument).cast("string").alias("a"))
-    dealt = rows.repartition(partitions, "k") if partitions > 1 else rows.coalesce(1)
+    dealt = rows.repartition(partitions, "k") if partitions else rows
     return dealt.mapInPandas(run, "k string, status string, body string, error string").withColumnRenamed("k", key)
 
 
+def fetch_once(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, path: str, **how) -> DataFrame:
+    """fetch, written to a new table at the path and read again: what reads it, however often, asks nothing anew."""
+    fetch(requests, client, key, argument, **how).write.mode("errorifexists").parquet(path)
+    return requests.sparkSession.read.parquet(path)
+
+
 def fetch_batch(requests: DataFrame, client: Callable[[str], str | None], order: str, argument: str, **how) -> DataFrame:
     """fetch in the order of a number column; failed requests have a null body."""
     got = fetch(requests, client, order, argument, **how)
     return got.withColumn(order, F.col(order).cast("bigint")).orderBy(order)
 
 
-def generate(prompts: DataFrame, client: Callable[[str], str], key: str, prompt: str, at_once: int = 4, **retry) -> DataFrame:
-    """(key, reply, error) of a text model for each prompt; at_once partitions are in flight."""
+def generate(prompts: DataFrame, client: Callable[[str], str], key: str, prompt: str, at_once: int | None = 4, **retry) -> DataFrame:
+    """(key, reply, error) of a text model for each prompt; at_once partitions are in flight, or as many as Spark has."""
     got = fetch(prompts, client, key, prompt, at_once, None, **retry)
     return got.select(key, F.col("body").alias("reply"), F.when(F.col("status") == "missing", "no response").otherwise(F.col("error")).alias("error"))

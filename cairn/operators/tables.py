@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.spatial import in_box, polygon_area
 
-REGION_LIMIT = 10_000  # regions up to which a range join broadcasts them; more go by grid cells
+REGION_LIMIT = 100  # regions up to which a range join broadcasts them; more go by grid cells
 CELL = 0.5  # degrees
 
 
@@ -65,20 +65,53 @@ def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.where("value is not null").groupBy("column", "value").agg(F.count("*").alias("count"))
 
 
+def value_totals(counts: DataFrame) -> DataFrame:
+    """(column, nonNullRecords, uniqueValues): one row for each column of top_values."""
+    return counts.groupBy("column").agg(F.sum("count").alias("nonNullRecords"), F.count("*").alias("uniqueValues"))
+
+
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, totalRecords, nonNullRecords, uniqueValues, value, count, percentage), count and value falling."""
+    """(column, totalRecords, nonNullRecords, uniqueValues, value, count, percentage) of every value.
+
+    Totals are summed up by column and joined back as a few rows, so a column's values never meet in one task."""
     total = df.agg(F.count("*").alias("totalRecords"))
-    w = Window.partitionBy("column")
-    found = top_values(df, columns).withColumns({"nonNullRecords": F.sum("count").over(w), "uniqueValues": F.count("*").over(w)})
+    found = top_values(df, columns)
+    found = found.join(F.broadcast(value_totals(found)), "column")  # one row for each of the columns
     return found.crossJoin(F.broadcast(total)).select("column", "totalRecords", "nonNullRecords", "uniqueValues", "value", "count", F.round(100 * F.col("count") / F.col("totalRecords"), 2).alias("percentage"))
 
 
-def profile_document(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """One JSON document with every column's profile."""
-    values = F.sort_array(F.collect_list(F.struct("count", "value", "percentage")), asc=False)
-    each = column_profile(df, columns).groupBy("column", "totalRecords", "nonNullRecords", "uniqueValues").agg(values.alias("values"))
-    one = each.agg(F.max("totalRecords").alias("totalRecords"), F.sort_array(F.collect_list(F.struct("column", "nonNullRecords", "uniqueValues", "values"))).alias("columns"))
-    return one.select(F.to_json(F.struct(F.lit(name).alias("database"), "totalRecords", "columns")).alias("document"))
+def profile_document(df: DataFrame, columns: list[str], name: str, timestamp: str, values: int = 1000) -> DataFrame:
+    """One JSON document (column document): timestamp, database, totalRecords, columns in their given order with their values.
+
+    Values are listed by falling count, then by value, the first `values` of each column: the document is a
+    report for people, and uniqueValues tells how many there are. column_profile has all of them."""
+    counts = top_values(df, columns)
+    first = first_per(counts, ["column"], [F.desc("count"), "value"], values)
+    one = df.agg(F.count("*").alias("totalRecords"))
+    listed = first.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("nth", "value", "count"))).alias("values"))
+    order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
+    each = listed.join(F.broadcast(value_totals(counts)), "column").crossJoin(F.broadcast(one))
+    share = F.transform("values", lambda v: F.struct(v["value"].alias("value"), v["count"].alias("count"), F.round(100 * v["count"] / F.col("totalRecords"), 2).alias("percentage")))
+    rows = F.sort_array(F.collect_list(F.struct(order.alias("at"), F.struct("column", "totalRecords", "nonNullRecords", "uniqueValues", share.alias("values")).alias("c"))))
+    whole = F.struct(F.lit(timestamp).alias("timestamp"), F.lit(name).alias("database"), F.max("totalRecords").alias("totalRecords"), F.transform(rows, lambda r: r["c"]).alias("columns"))
+    return each.agg(F.to_json(whole).alias("document"))
+
+
+def statistics(df: DataFrame, categorical: list[str], numeric: list[str], name: str) -> DataFrame:
+    """(name, kind, total, area_km2, unique_values, most_common, min, max, mean): the table, with its geometry types by
+    count, then each categorical column with its three commonest values and each numeric column with its range and mean."""
+    none = {c: F.lit(None).cast(t) for c, t in (("total", "bigint"), ("area_km2", "double"), ("unique_values", "bigint"), ("most_common", "string"), ("min", "double"), ("max", "double"), ("mean", "double"))}
+    shaped = lambda d, kind, **given: d.select("name", F.lit(kind).alias("kind"), *[given.get(c, x).alias(c) for c, x in none.items()])
+    counts = top_values(df, [*categorical, "geom_type"])
+    three = first_per(counts, ["column"], [F.desc("count"), "value"], 3)
+    common = three.groupBy("column").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", F.concat_ws("=", "value", F.col("count").cast("string")).alias("t")))), lambda r: r["t"]), ", ").alias("common"))
+    each = value_totals(counts).join(F.broadcast(common), "column").withColumnRenamed("column", "name")
+    types = counts.where("column = 'geom_type'").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(-F.col("count"), F.concat_ws("=", "value", F.col("count").cast("string")).alias("t")))), lambda r: r["t"]), ", ").alias("types"))
+    whole = df.agg(F.count("*").alias("total"), area_km2().alias("area_km2")).crossJoin(F.broadcast(types)).withColumn("name", F.lit(name))
+    numbers = numeric_stats(df, numeric).withColumnRenamed("column", "name")
+    out = shaped(whole, "table", total=F.col("total"), area_km2=F.col("area_km2"), most_common=F.col("types"))
+    out = out.unionByName(shaped(each.where(F.col("name").isin(categorical)), "categorical", unique_values=F.col("uniqueValues"), most_common=F.col("common")))
+    return out.unionByName(shaped(numbers, "numerical", min=F.col("min"), max=F.col("max"), mean=F.col("mean")))
 
 
 def numeric_stats(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,12 +127,19 @@ def area_km2() -> Column:
 
 
 def redundant_columns(df: DataFrame, columns: list[str], nulls: float = 0.999) -> DataFrame:
-    """(column, distinct_values, null_share, redundant): constant columns, and those that are null nearly everywhere."""
-    aggs = [F.count("*").alias("_n")] + [x for c in columns for x in (F.count_distinct(F.col(c)).alias(f"{c}_d"), F.count(F.col(c)).alias(f"{c}_c"))]
+    """(column, constant, null_share, redundant): columns with one value at most, and those that are null nearly everywhere.
+
+    Least and greatest values tell whether a column is constant, so one aggregate without distinct counts does for all."""
+    aggs = [F.count("*").alias("_n")] + [x for c in columns for x in (F.min(F.col(c)).eqNullSafe(F.max(F.col(c))).alias(f"{c}_d"), F.count(F.col(c)).alias(f"{c}_c"))]
     rows = ", ".join(f"'{c}', `{c}_d`, `{c}_c`" for c in columns)
-    out = df.agg(*aggs).select("_n", F.expr(f"stack({len(columns)}, {rows}) as (column, distinct_values, n)"))
+    out = df.agg(*aggs).select("_n", F.expr(f"stack({len(columns)}, {rows}) as (column, constant, n)"))
     share = F.try_divide((F.col("_n") - F.col("n")).cast("double"), F.col("_n").cast("double"))
-    return out.select("column", "distinct_values", F.round(share, 6).alias("null_share"), ((F.col("distinct_values") <= 1) | (share >= nulls)).alias("redundant"))
+    return out.select("column", "constant", F.round(share, 6).alias("null_share"), (F.col("constant") | (share >= nulls)).alias("redundant"))
+
+
+def drop_redundant(df: DataFrame, columns: list[str], nulls: float = 0.999) -> DataFrame:
+    """df without those of the columns that redundant_columns names (one row for each column reaches the driver)."""
+    return df.drop(*[r["column"] for r in redundant_columns(df, columns, nulls).where("redundant").collect()])
 
 
 def take(df: DataFrame, order: list, n: int | None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import struct
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +35,14 @@ def query(sql: str | None = None):
     return add
 
 
-def _inverse_sql(source: str) -> str:
-    """DuckDB form of the projection's inverse series over x and y."""
-    s = spatial
-    a = " - ".join(["u", *[f"({t!r}) * sin({2 * k} * u) * cosh({2 * k} * v)" for k, t in enumerate(s.INVERSE, 1)]])
-    b = " - ".join(["v", *[f"({t!r}) * cos({2 * k} * u) * sinh({2 * k} * v)" for k, t in enumerate(s.INVERSE, 1)]])
-    lat = " + ".join(f"({t!r}) * pow(sin(p), {2 * k})" for k, t in enumerate(s.FROM_ISO))
-    return f"""select *, {s.MERIDIAN} + degrees(atan(sinh(b) / cos(a))) as lon, degrees(p + sin(p) * cos(p) * ({lat})) as lat
-      from (select *, asin(sin(a) / cosh(b)) as p from (select *, {a} as a, {b} as b from (select *, (y - {s.NORTH0}) / {s.ARC!r} as u, (x - {s.EAST0}) / {s.ARC!r} as v from {source})))"""
-
-
-LL = f"with ll as ({_inverse_sql('points')})"
+#: Fixed values for the SQL: the inverse series of the projection (GRS 80, meridian 15 degrees, scale 0.9996), and the Earth's radius.
+SERIES_A = "u - 0.000837732168164144 * sin(2 * u) * cosh(2 * v) - 5.905869626082731e-08 * sin(4 * u) * cosh(4 * v) - 1.6734889049883464e-10 * sin(6 * u) * cosh(6 * v) - 2.1677378055967573e-13 * sin(8 * u) * cosh(8 * v)"
+SERIES_B = "v - 0.000837732168164144 * cos(2 * u) * sinh(2 * v) - 5.905869626082731e-08 * cos(4 * u) * sinh(4 * v) - 1.6734889049883464e-10 * cos(6 * u) * sinh(6 * v) - 2.1677378055967573e-13 * cos(8 * u) * sinh(8 * v)"
+SERIES_LAT = "0.006739496761943626 - 5.314390558188795e-05 * pow(sin(p), 2) + 5.748912755111949e-07 * pow(sin(p), 4) - 6.820452542788346e-09 * pow(sin(p), 6)"
+INVERSE_SQL = f"""select *, 15 + degrees(atan(sinh(b) / cos(a))) as lon, degrees(p + sin(p) * cos(p) * ({SERIES_LAT})) as lat
+  from (select *, asin(sin(a) / cosh(b)) as p from (select *, {SERIES_A} as a, {SERIES_B} as b from (select *, y / 6364902.1661127405::double as u, (x - 500000) / 6364902.1661127405::double as v from points)))"""
+KM_SQL = "2 * 6371.0088::double * asin(sqrt(pow(sin(radians(lat - 57.482183::double) / 2), 2) + cos(radians(57.482183::double)) * cos(radians(lat)) * pow(sin(radians(lon - 12.154978::double) / 2), 2)))"
+LL = f"with ll as ({INVERSE_SQL})"
 PLACED = LL + f", regions as ({REGIONS_SQL}), placed as (select r.region, p.* from ll p join regions r on p.lon between r.minx and r.maxx and p.lat between r.miny and r.maxy)"
 
 
@@ -92,19 +90,25 @@ def metadata_kv(s, d):
     return layers.metadata(view(s, d, "points"), {"source": "layer point", "crs": "EPSG:3006"})
 
 
-@query()
+@query("select id, x as longitude, y as latitude from points")
 def wkb_points(s, d):
     @F.pandas_udf("binary")
     def wkb(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([struct.pack("<BIdd", 1, 1, a, b) for a, b in zip(x, y)])
+        rows = np.zeros(len(x), [("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
+        rows["order"], rows["kind"], rows["x"], rows["y"] = 1, 1, x, y
+        data = rows.tobytes()
+        return pd.Series([data[k : k + 21] for k in range(0, len(data), 21)])
 
     p = view(s, d, "points").select("id", wkb("x", "y").alias("wkb"))
     return spatial.wkb_point(p).select("id", F.col("x").alias("longitude"), F.col("y").alias("latitude"))
 
 
-@query()
+@query("""with v as (select 1 as pos, 'class' as c, class as value from sites union all select 2, 'location', location from sites union all select 3, 'damage_status', damage_status from sites), t as (select count(*) as total from sites),
+    n as (select pos, c, value, count(*) as n from v where value is not null group by all),
+    w as (select pos, c, sum(n)::bigint as filled, count(*) as kinds, string_agg(concat('{"value":"', value, '","count":', n, ',"percentage":', cast(round(100.0::double * n / total, 2) as varchar), '}'), ',' order by n desc, value) as vals from n, t group by pos, c)
+    select concat('{"timestamp":"2025-01-01T00:00:00.000Z","database":"sites","totalRecords":', any_value(total), ',"columns":[', string_agg(concat('{"column":"', c, '","totalRecords":', total, ',"nonNullRecords":', filled, ',"uniqueValues":', kinds, ',"values":[', vals, ']}'), ',' order by pos), ']}') as document from w, t""")
 def profile_document(s, d):
-    return tables.profile_document(view(s, d, "sites"), ["class", "location", "damage_status"], "sites")
+    return tables.profile_document(view(s, d, "sites"), ["class", "location", "damage_status"], "sites", "2025-01-01T00:00:00.000Z")
 
 
 # ---- filters
@@ -131,8 +135,8 @@ def metre_box(s, d):
     return view(s, d, "points").where(spatial.in_box(F.col("x"), F.col("y"), 300000, 6400000, 400000, 6500000)).select("id", "x", "y")
 
 
-@query(LL + f""", h as (select id, 2 * {spatial.EARTH_KM} * asin(sqrt(pow(sin(radians(lat - {CENTRE[1]}) / 2), 2) + cos(radians({CENTRE[1]})) * cos(radians(lat)) * pow(sin(radians(lon - {CENTRE[0]}) / 2), 2))) as km from ll)
-    select id, round(km, 6) as distance_km from h where km <= {RADIUS_KM}""")
+@query(LL + f""", h as (select id, {KM_SQL} as km from ll)
+    select id, round(km, 6) as distance_km from h where km <= 20""")
 def radius_filter(s, d):
     return spatial.within_km(view(s, d, "points"), *CENTRE, RADIUS_KM).select("id", F.round("distance_km", 6).alias("distance_km"))
 
@@ -159,11 +163,16 @@ def site_lookup(s, d):
 CHECKED = ["designationschemevalue", "designationvalue", "protectionclassificationvalue", "protectionclassificationvalue2", "inspireid", "sitename"]
 
 
-@query(" union all ".join(f"select '{c}' as \"column\", count(distinct {c}) as distinct_values, round((count(*) - count({c})) * 1.0::double / count(*), 6) as null_share, count(distinct {c}) <= 1 or (count(*) - count({c})) * 1.0::double / count(*) >= 0.999 as redundant from features" for c in CHECKED))
+@query(" union all ".join(f"select '{c}' as \"column\", count(distinct {c}) <= 1 as constant, round((count(*) - count({c})) * 1.0::double / count(*), 6) as null_share, count(distinct {c}) <= 1 or (count(*) - count({c})) * 1.0::double / count(*) >= 0.999 as redundant from features" for c in CHECKED))
 def redundant_columns(s, d):
     return tables.redundant_columns(view(s, d, "features"), CHECKED)
 
 
+@query("select id, inspireid, sitename from features")
+def without_redundant(s, d):
+    return tables.drop_redundant(view(s, d, "features").select("id", *CHECKED), CHECKED)
+
+
 @query("select inspireid from descriptions where coalesce(description, '') = ''")
 def reject_rows(s, d):
     return view(s, d, "descriptions").where(F.coalesce("description", F.lit("")) == "").select("inspireid")
@@ -218,12 +227,13 @@ def uncaptioned_anti(s, d):
 
 
 @query("""select count(*) as "rows", cast(13 as bigint) as "columns", string_agg(distinct geom_type, ',' order by geom_type) as geom_types, min(x) as minx, min(y) as miny, max(x) as maxx, max(y) as maxy,
-    (select string_agg(inspireid, ',' order by id) from (select id, inspireid from features order by id limit 3)) as sample, 'EPSG:3006' as crs from features""")
+    (select string_agg(inspireid, ',' order by id) from (select id, inspireid from features order by id limit 3)) as sample, 'EPSG:3006' as crs,
+    'id:bigint, layer:string, geom_type:string, x:double, y:double, designationschemevalue:string, designationvalue:string, protectionclassificationvalue:string, protectionclassificationvalue2:string, inspireid:string, sitename:string, legalfoundationdocument:string, rings:array<array<struct<x:double,y:double>>>' as schema from features""")
 def explore_summary(s, d):
     f = with_rings(view(s, d, "features"))
     one = f.agg(F.count("*").alias("rows"), F.array_join(F.sort_array(F.collect_set("geom_type")), ",").alias("geom_types"), F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
     head = tables.take(f, ["id"], 3).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "inspireid"))), lambda r: r["inspireid"]), ",").alias("sample"))
-    return one.crossJoin(head).withColumns({"columns": F.lit(len(f.columns)).cast("bigint"), "crs": F.lit("EPSG:3006")})
+    return one.crossJoin(head).withColumns({"columns": F.lit(len(f.columns)).cast("bigint"), "crs": F.lit("EPSG:3006"), "schema": F.lit(", ".join(f"{n}:{t}" for n, t in f.dtypes))})
 
 
 @query("""select min(x) as minx, min(y) as miny, max(case when geom_type = 'Polygon' then x + 10 + id % 90 else x end) as maxx, max(case when geom_type = 'Polygon' then y + 10 + id % 70 else y end) as maxy from features""")
@@ -254,9 +264,10 @@ CATS_SQL = " union all ".join(f"select '{c}' as \"column\", cast({c} as varchar)
     select "column", count(*) as "unique", string_agg(concat(value, '=', c), ', ' order by nth) filter (nth <= 3) as top3 from r group by "column" """)
 def column_stats_cat(s, d):
     counts = tables.top_values(view(s, d, "sites"), CATS)
-    ranked = counts.withColumn("nth", F.row_number().over(tables.Window.partitionBy("column").orderBy(F.desc("count"), "value")))
-    top = F.transform(F.sort_array(F.collect_list(F.when(F.col("nth") <= 3, F.struct("nth", F.concat_ws("=", "value", F.col("count").cast("string")).alias("t"))))), lambda r: r["t"])
-    return ranked.groupBy("column").agg(F.count("*").alias("unique"), F.array_join(top, ", ").alias("top3"))
+    three = tables.first_per(counts, ["column"], [F.desc("count"), "value"], 3)
+    top = F.transform(F.sort_array(F.collect_list(F.struct("nth", F.concat_ws("=", "value", F.col("count").cast("string")).alias("t")))), lambda r: r["t"])
+    top3 = three.groupBy("column").agg(F.array_join(top, ", ").alias("top3"))
+    return tables.value_totals(counts).join(top3, "column").select("column", F.col("uniqueValues").alias("unique"), "top3")
 
 
 @query(" union all ".join(f"select '{c}' as \"column\", min({c}) as \"min\", max({c}) as \"max\", round(avg({c}), 4) as mean from points" for c in ("x", "y")))
@@ -318,14 +329,29 @@ def field_frequency(s, d):
     return x.groupBy(F.col("p.field").alias("field")).agg(F.count("*").alias("occurrences"), F.count_distinct("k").alias("documents"))
 
 
+@query(f"""with f as (select field, sum(n)::bigint as occurrences from (
+    select 'Beskrivning' as field, 1 as n from fetched where {GOOD} and k % 4 <> 3 union all select 'Unknown', 1 from fetched where {GOOD} and k % 4 <> 3 union all select 'geographic', 1 from fetched where {GOOD}
+    union all select 'RAÄ-nummer', 1 from fetched where {GOOD} union all select 'organization', 1 from fetched where {GOOD} union all select 'buildDate', 1 from fetched where {GOOD}) group by field)
+    select 'field' as kind, cast(row_number() over (order by occurrences desc, field) as bigint) as nth, field as name, occurrences as "count" from f
+    union all select 'error', cast(row_number() over (order by k) as bigint), concat('raa/', k), cast(1 as bigint) from (select k from fetched where k % 11 = 10 order by k limit 10)""")
+def frequency_report(s, d):
+    """Fields by falling frequency, then the first ten sites whose documents couldn't be read."""
+    fields = field_frequency(s, d).select("field", "occurrences")
+    ranked = fields.withColumn("nth", F.row_number().over(tables.Window.orderBy(F.desc("occurrences"), "field")))  # a row for each field
+    bad = view(s, d, "fetched").select("k", "inspireid", jsonld.enrichment(F.col("body"))["error"].alias("error")).where("error")
+    first = tables.take(bad, ["k"], 10).withColumn("nth", F.row_number().over(tables.Window.orderBy("k")))
+    shaped = lambda f, kind, name, n: f.select(F.lit(kind).alias("kind"), F.col("nth").cast("bigint").alias("nth"), F.col(name).alias("name"), n.alias("count"))
+    return shaped(ranked, "field", "field", F.col("occurrences")).unionByName(shaped(first, "error", "inspireid", F.lit(1).cast("bigint")))
+
+
 @query("select count(*) as total, count(*) filter (status = 200) as successful, count(*) filter (status <> 200) as failed, round(100.0::double * count(*) filter (status = 200) / count(*), 1) as success_rate from fetched")
 def enrich_outcome(s, d):
     one = view(s, d, "fetched").agg(F.count("*").alias("total"), F.count_if(F.col("status") == 200).alias("successful"), F.count_if(F.col("status") != 200).alias("failed"))
     return one.withColumn("success_rate", F.round(100 * F.try_divide("successful", "total"), 1))
 
 
-@query(LL + f""", h as (select id, 2 * {spatial.EARTH_KM} * asin(sqrt(pow(sin(radians(lat - {CENTRE[1]}) / 2), 2) + cos(radians({CENTRE[1]})) * cos(radians(lat)) * pow(sin(radians(lon - {CENTRE[0]}) / 2), 2))) as km from ll),
-    n as (select (select count(*) from features) as a, (select count(*) from points) as b, (select count(distinct legalfoundationdocument) from points) as c, (select count(*) from h where km <= {RADIUS_KM}) as e)
+@query(LL + f""", h as (select id, {KM_SQL} as km from ll),
+    n as (select (select count(*) from features) as a, (select count(*) from points) as b, (select count(distinct legalfoundationdocument) from points) as c, (select count(*) from h where km <= 20) as e)
     select 'features' as stage, a as "rows", cast(0 as bigint) as removed, 1.0::double as kept, cast(null as double) as coverage_km2 from n union all select 'points', b, a - b, round(b::double / a, 6), null from n union all select 'deduplicated', c, b - c, round(c::double / b, 6), null from n union all select 'radius', e, c - e, round(e::double / c, 6), round(pi() * 400, 3) from n""")
 def stage_retention(s, d):
     f, p = view(s, d, "features"), view(s, d, "points")
@@ -337,10 +363,15 @@ def stage_retention(s, d):
     return out.withColumn("coverage_km2", F.when(F.col("stage") == "radius", F.round(spatial.circle_km2(RADIUS_KM), 3)))
 
 
-@query(f"select count(*) as total, count(distinct geom_type) as geom_types, {AREA_SQL} as area_km2, min(x) as min_x, max(x) as max_x, count(distinct sitename) as names from features")
+def _common_sql(c: str) -> str:
+    return f"(select string_agg(concat(value, '=', n), ', ' order by n desc, value) from (select {c} as value, count(*) as n from features where {c} is not null group by 1 order by 2 desc, 1 limit 3))"
+
+
+@query(f"""select 'features' as name, 'table' as kind, count(*) as total, {AREA_SQL} as area_km2, cast(null as bigint) as unique_values, (select string_agg(concat(geom_type, '=', n), ', ' order by n desc) from (select geom_type, count(*) as n from features group by 1)) as most_common, cast(null as double) as "min", cast(null as double) as "max", cast(null as double) as mean from features
+    """ + "".join(f" union all select '{c}', 'categorical', null, null, count(distinct {c}), {_common_sql(c)}, null, null, null from features" for c in ("layer", "designationvalue", "sitename")) + "".join(f" union all select '{c}', 'numerical', null, null, null, null, min({c}), max({c}), round(avg({c}), 4) from features" for c in ("x", "y")))
 def table_statistics(s, d):
-    f = with_rings(view(s, d, "features"))
-    return f.agg(F.count("*").alias("total"), F.count_distinct("geom_type").alias("geom_types"), F.round(tables.area_km2(), 9).alias("area_km2"), F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.count_distinct("sitename").alias("names"))
+    out = tables.statistics(with_rings(view(s, d, "features")), ["layer", "designationvalue", "sitename"], ["x", "y"], "features")
+    return out.withColumns({"area_km2": F.round("area_km2", 9), "mean": F.round("mean", 4)})
 
 
 # ---- windows, sorts, samples
@@ -515,11 +546,12 @@ def enrichment_record(s, d):
     return view(s, d, "fetched").select("k", jsonld.enrichment(F.col("body")).alias("e")).select("k", "e.itemTitle", "e.description", F.coalesce("e.error", F.lit(False)).alias("error"))
 
 
-@query(f"""select k, case when k % 6 = 0 then 2 when k % 6 in (2, 3) then 1 end::bigint as n, case when k % 6 = 0 then 'grav' when k % 6 = 2 then 'ensam' when k % 6 = 3 then '{{"@value":"objekt"}}' end as first from fetched where {GOOD}""")
+@query(f"""select k, case when k % 6 = 0 then 2 when k % 6 in (2, 3) then 1 end::bigint as n, case when k % 6 = 0 then 'grav' when k % 6 = 2 then 'ensam' when k % 6 = 3 then '{{"@value":"objekt"}}' end as first,
+    case when k % 6 = 0 then '["grav","sten"]' when k % 6 = 2 then '["ensam"]' when k % 6 = 3 then '[{{"@value":"objekt"}}]' end as json from fetched where {GOOD}""")
 def keyword_json(s, d):
     f = view(s, d, "fetched").withColumn("main", jsonld.main_entity(jsonld.graph(F.col("body")))).where("main is not null")
-    k = F.from_json(jsonld.keywords(F.col("main")), "array<string>")
-    return f.select("k", F.when(k.isNotNull(), F.size(k)).cast("bigint").alias("n"), F.get(k, F.lit(0)).alias("first"))
+    f = f.select("k", jsonld.keywords(F.col("main")).alias("json")).withColumn("list", F.from_json("json", "array<string>"))
+    return f.select("k", F.when(F.col("list").isNotNull(), F.size("list")).cast("bigint").alias("n"), F.get("list", F.lit(0)).alias("first"), "json")
 
 
 @query(f"""select k, unnest(case when k % 6 = 0 then ['grav', 'sten'] when k % 6 = 2 then ['ensam'] when k % 6 = 3 then ['objekt'] end) as keyword from fetched where {GOOD}""")
@@ -571,15 +603,6 @@ def condition_score(s, d):
     return _lines(s, d, ["description_sv"]).select("k", quality.condition(F.col("description"), F.col("description_sv")).alias("condition"))
 
 
-@query(f"""select k, case when {CAPTION_SQL} = '' then 'missing' else concat('Caption of ', length({CAPTION_SQL}), ' characters') end as description, case when {CAPTION_SQL} = '' then 0 else {VIS_SQL} end as visibility, case when {CAPTION_SQL} = '' then 0 else {COND_SQL} end as condition_known,
-    case when {CAPTION_SQL} = '' then 'no_usable_description' end as reason from descriptions where k % 31 <> 0 and k % 29 <> 0""")
-def score_sites(s, d):
-    f = _inputs(s, d).where(F.col("description").isNotNull() & (F.col("description") != ""))
-    none = F.col("given") == ""
-    caption = F.concat(F.lit("Caption of "), F.length("given").cast("string"), F.lit(" characters"))
-    return f.select("k", F.when(none, "missing").otherwise(caption).alias("description"), F.when(none, 0).otherwise(quality.visibility(F.col("placement"))).alias("visibility"), F.when(none, 0).otherwise(quality.condition(F.col("description"), F.col("description_sv"))).alias("condition_known"), F.when(none, "no_usable_description").alias("reason"))
-
-
 # ---- jobs with stub clients: what a service would answer is made from the request
 
 
@@ -593,24 +616,69 @@ def stub_caption(prompt: str) -> str:
     return f"A site described in {len(prompt)} characters.\n\nMore."
 
 
-@query()
+PROMPT_LENGTH = len(captions.TEXT_ORDER) + 1 + len("\n\nSite description: ")
+
+
+def stub_describe(prompt: str) -> str:
+    if len(prompt) % 10 == 3:
+        raise ValueError("refused: too odd")
+    return f"\nA site\ndescribed in {len(prompt)} characters. "
+
+
+@query(f"""with r as (select k, description as original, given, case when given = '' then 'missing' when odd then 'ERROR: refused: too odd' else concat('A site described in ', n, ' characters.') end as description, {VIS_SQL} as v, {COND_SQL} as c, {PLACING} as p, {DISC_SQL} as dp, {DETAIL_SQL} as ds, odd
+      from (select *, length(given) * 2 + {PROMPT_LENGTH} as n, (length(given) * 2 + {PROMPT_LENGTH}) % 10 = 3 and given <> '' as odd from (select k, description, {CAPTION_SQL} as given from descriptions where k % 31 <> 0 and k % 29 <> 0)))
+    select k, original as original_description, case when odd then '' else given end as desc_input, description, case when given = '' then 0 when odd then 1 else v end as visibility, case when given = '' then 0 when odd then 1 else c end as condition_known,
+      case when given <> '' and not odd then p end as placement, case when given <> '' and not odd then dp end as disclaimer_present, case when given <> '' and not odd then ds end as detail_score, case when given = '' then 'no_usable_description' end as reason, case when odd then 'refused: too odd' end as error from r""")
+def score_sites(s, d):
+    """The result row of each site with a description: caption by the client, scores and quality signals; missing and failed ones as the rules say."""
+    f = _inputs(s, d).where(F.col("description").isNotNull() & (F.col("description") != ""))
+    asked = f.where("given <> ''").select("k", captions.text_prompt(F.col("given")).alias("prompt"))
+    replies = clients.generate(asked, stub_describe, "k", "prompt", None).select(F.col("k").cast("bigint").alias("k"), captions.flat_caption(F.col("reply")).alias("reply"), F.regexp_replace("error", "^[A-Za-z]+: ", "").alias("error"))
+    return quality.result_rows(f.join(replies, "k", "left"))
+
+
+def _kept(s: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    base = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("select case when uuid like 'f%' then 'error' when uuid like '0%' then 'missing' else 'ok' end as status, count(*) as n from sites group by 1")
 def fetch_outcome(s, d):
-    got = clients.fetch(view(s, d, "sites"), stub_fetch, "inspireid", "uuid", 4, None)
+    got = clients.fetch(view(s, d, "sites"), stub_fetch, "inspireid", "uuid", None, None)
     return got.groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""select inspireid, case when ok then concat('Site ', substr(uuid, 1, 4)) else "itemTitle" end as "itemTitle", case when ok then concat('Title: Site ', substr(uuid, 1, 4)) else description end as description, case when not ok then "itemKeyword" end as "itemKeyword"
+    from (select *, substr(uuid, 1, 1) not in ('0', 'f') as ok from sites)""")
 def enrich_job(s, d):
     f = view(s, d, "sites")
-    got = clients.fetch(f, stub_fetch, "inspireid", "uuid", 4, None).where("status = 'ok'")
+    got = clients.fetch_once(f, stub_fetch, "inspireid", "uuid", _kept(s, "fetched"), partitions=None, per_second=None).where("status = 'ok'")
     new = got.select("inspireid", jsonld.enrichment(F.col("body")).alias("e")).select("inspireid", "e.description", "e.itemTitle", "e.itemKeyword")
     return tables.keyed_update(f, new, "inspireid", ["description", "itemTitle", "itemKeyword"]).select("inspireid", "itemTitle", "description", "itemKeyword")
 
 
-@query()
+@query("""with r as (select substr(uuid, 1, 1) not in ('0', 'f') as ok, uuid from sites)
+    select count(*) as total, count(*) filter (ok) as successful, count(*) filter (not ok) as failed, round(100.0::double * count(*) filter (ok) / count(*), 1) as success_rate, count(*) filter (ok) as titles, cast(0 as bigint) as keywords, cast(0 as bigint) as extraction_errors, count(*) filter (uuid like 'f%') as refused from r""")
+def enrich_counts(s, d):
+    """What the enrichment job counts, over the bodies that it keeps: they are fetched once and read for both parts."""
+    got = clients.fetch_once(view(s, d, "sites"), stub_fetch, "inspireid", "uuid", _kept(s, "fetched"), partitions=None, per_second=None)
+    e = got.select("status", jsonld.enrichment(F.col("body")).alias("e")).select("status", "e.*")
+    one = e.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "ok").alias("successful"), F.count_if(F.col("status") != "ok").alias("failed"), F.count("itemTitle").alias("titles"), F.count("itemKeyword").alias("keywords"), F.count_if(F.col("error")).alias("extraction_errors"), F.count_if(F.col("status") == "error").alias("refused"))
+    return one.withColumn("success_rate", F.round(100 * F.try_divide("successful", "total"), 1))
+
+
+RECORD_LENGTH = len("\n    SOURCE DATA:\n    \n\n    YOUR INSTRUCTIONS:\n    \n    ") + len(captions.RECORD_ORDER) + sum(len(n) + len(": ,\n") for n in captions.RECORD_FIELDS)
+
+
+@query(f"""with b as (select inspireid from sites where location = 'Visible above ground' and "generatedDescription" is null order by md5(concat('batch', inspireid)), inspireid limit 500)
+    select s.inspireid, case when b.inspireid is null then "generatedDescription" when description is null then 'empty description' else concat('A site described in ', {RECORD_LENGTH} + length(class) + length(description) + length(coalesce(vegetation, 'null')) + 4 + length(damage_status) + length(location), ' characters.') end as "generatedDescription"
+    from sites s left join b on b.inspireid = s.inspireid""")
 def caption_job(s, d):
     batch = tables.hash_sample(_queue(s, d), "inspireid", 500, "batch")
-    asked = batch.select("inspireid", captions.record_prompt({n: F.col(n) for n in captions.RECORD_FIELDS}).alias("prompt"))
+    given = F.coalesce("description", F.lit("")) != ""
+    asked = batch.where(given).select("inspireid", captions.record_prompt({n: F.col(n) for n in captions.RECORD_FIELDS}).alias("prompt"))
     replies = clients.generate(asked, stub_caption, "inspireid", "prompt").where("reply is not null")
     new = replies.select("inspireid", captions.clean_caption(F.col("reply")).alias("generatedDescription"))
-    return tables.keyed_update(view(s, d, "sites"), new, "inspireid", ["generatedDescription"]).select("inspireid", "generatedDescription")
+    none = batch.where(~given).select("inspireid", captions.or_empty(F.col("description"), F.lit(None)).alias("generatedDescription"))
+    return tables.keyed_update(view(s, d, "sites"), new.unionByName(none), "inspireid", ["generatedDescription"]).select("inspireid", "generatedDescription")

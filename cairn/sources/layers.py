@@ -57,8 +57,8 @@ def derive_table(df: DataFrame, where: Column, path: str) -> None:
 
 
 def save_results(df: DataFrame, path: str) -> None:
-    """JSON lines in UTF-8, null fields left out."""
-    df.write.option("ignoreNullFields", "true").mode("overwrite").json(path)
+    """JSON lines in UTF-8, null fields as null."""
+    df.write.option("ignoreNullFields", "false").mode("overwrite").json(path)
 
 
 def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -231,15 +231,24 @@ def test_profile(spark):
     few = one(spark, ["Not damaged"] * c + [None] * (n - c)).withColumnRenamed("c", "damage_status")
     r = tables.column_profile(few, ["damage_status"]).collect()
     assert len(r) == 1 and r[0]["percentage"] == p and r[0]["nonNullRecords"] == c
-    document = json.loads(tables.profile_document(few, ["damage_status"], "t").first()["document"])
-    assert document["totalRecords"] == n and document["columns"][0]["values"] == [{"count": c, "value": "Not damaged", "percentage": p}]
+    both = few.crossJoin(spark.createDataFrame([("Cairn",)], "class string"))
+    document = tables.profile_document(both, ["class", "damage_status"], "t", "2025-08-25T11:30:27.147Z").first()["document"]
+    column = lambda name, filled, *values: {"column": name, "totalRecords": n, "nonNullRecords": filled, "uniqueValues": 1, "values": list(values)}
+    want = {"timestamp": "2025-08-25T11:30:27.147Z", "database": "t", "totalRecords": n, "columns": [column("class", n, {"value": "Cairn", "count": n, "percentage": 100.0}), column("damage_status", c, {"value": "Not damaged", "count": c, "percentage": p})]}
+    assert json.loads(document) == want and document == json.dumps(want, separators=(",", ":"))  # in the same order too
+    many = one(spark, [f"v{k:03d}" for k in range(50)]).withColumnRenamed("c", "v")
+    cut = json.loads(tables.profile_document(many, ["v"], "t", "now", values=7).first()["document"])["columns"][0]
+    assert cut["uniqueValues"] == 50 and [x["value"] for x in cut["values"]] == [f"v{k:03d}" for k in range(7)]
 
 
 def test_empty_statistics(spark):
     none = spark.createDataFrame([], "a double, b string, geom_type string, rings array<array<struct<x:double,y:double>>>")
     assert tuple(tables.numeric_stats(none, ["a"]).first()) == ("a", None, None, None)
     assert none.agg(tables.area_km2()).first()[0] is None
-    assert {r["column"]: r["null_share"] for r in tables.redundant_columns(none, ["a", "b"]).collect()} == {"a": None, "b": None}
+    assert {r["column"]: (r["constant"], r["null_share"]) for r in tables.redundant_columns(none, ["a", "b"]).collect()} == {"a": (True, None), "b": (True, None)}
+    assert [(r["name"], r["kind"], r["total"], r["max"]) for r in tables.statistics(none, ["b"], ["a"], "t").orderBy("name").collect()] == [("a", "numerical", None, None), ("t", "table", 0, None)]
+    mixed = spark.createDataFrame([(1, "a", None), (1, "b", "x"), (1, None, None)], "c int, v string, n string")
+    assert tables.drop_redundant(mixed, ["c", "v", "n"], 0.6).columns == ["v"]
 
 
 # ---- sources
@@ -260,13 +269,36 @@ def test_layers(spark, tmp_path):
     with pytest.raises(Exception):
         layers.derive_table(a, F.col("id") > 1, f"{path}-sub")
     layers.save_results(spark.createDataFrame([(1, "é", None)], "i int, t string, n string"), f"{path}-json")
-    assert [r["value"] for r in spark.read.text(f"{path}-json").collect()] == ['{"i":1,"t":"é"}']
+    assert [r["value"] for r in spark.read.text(f"{path}-json").collect()] == ['{"i":1,"t":"é","n":null}']
     assert layers.ensure_columns(a, {"description": "string", "ID": "int"}).columns == ["id", "geom_type", "description"]
 
 
 # ---- clients
 
 
+def test_fetch_once(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"u{i}") for i in range(20)], "id int, uuid string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def client(u):
+        seen.add(1)
+        return u.upper()
+
+    got = clients.fetch_once(df, client, "id", "uuid", f"{tmp_path}/bodies", partitions=None, per_second=None)
+    assert got.count() == 20 and {r["body"] for r in got.collect()} == {f"U{i}" for i in range(20)} and seen.value == 20
+    with pytest.raises(ValueError):
+        clients.fetch(df, client, "id", "uuid", None)
+
+
+def test_results_of_a_failing_client(spark):
+    rows = [(1, "A", "in", "Synlig ovan mark", "5 m", "A cairn.", None), (2, "B", "in", None, None, None, "refused"), (3, "C", "", None, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, description string, given string, placement string, description_sv string, reply string, error string")
+    got = {r["k"]: r for r in quality.result_rows(df).collect()}
+    assert (got[1]["description"], got[1]["visibility"], got[1]["condition_known"], got[1]["detail_score"], got[1]["reason"]) == ("A cairn.", 2, 1, 1, None)
+    assert (got[2]["description"], got[2]["visibility"], got[2]["condition_known"], got[2]["desc_input"], got[2]["error"], got[2]["placement"]) == ("ERROR: refused", 1, 1, "", "refused", None)
+    assert (got[3]["description"], got[3]["visibility"], got[3]["condition_known"], got[3]["reason"]) == ("missing", 0, 0, "no_usable_description")
+
+
 def test_fetch_retries():
     calls, waits = [], []
 
