@@ -98,8 +98,8 @@ def block_count(spark: SparkSession, n_bytes: int, block_bytes: int) -> int:
 
 
 def in_blocks(docs: DataFrame, n_blocks: int) -> DataFrame:
-    """Adds block, by the id's hash: the same id lies in the same block in every job."""
-    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int"))
+    """Adds block, by a hash of id and text: the same row lies in the same block in every job, and rows that share an id don't crowd one."""
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "body"), F.lit(n_blocks)).cast("int"))
 
 
 def pack_counts(counts: np.ndarray) -> bytes:

@@ -1,24 +1,26 @@
 """Exact repeated windows of a corpus: what substring and suffix-array dedup share.
 
-Documents lie in blocks by a hash of their id. Every window of W units is known by an anchor, the n-gram
-in it that hashes smallest, so equal windows have equal anchors at equal places.
+Documents lie in blocks by a hash of id and text. Every window of W units is known by an anchor, the n-gram
+in it that hashes smallest, so equal windows have equal anchors at equal places: of all suffixes only those
+that start at anchors are dealt out, by their first units, and each brings the few units before it.
 
 1. Each block names its distinct anchors, by bucket of a hash; the buckets count and answer each block
    which of its anchors occur again anywhere. A window whose anchor occurs once is no repeat.
-2. Each block sends the stretches of text around its repeated anchors, grouped by anchor, so suffixes
-   that begin alike meet in groups that fit in memory. The group orders its windows exactly and answers
-   with ranges of window starts.
-3. Each block applies the ranges to its documents.
-
-An anchor with more than HOT occurrences is split over several groups. Each settles what it can see; the
-windows that it can't settle go on, one for each distinct text, and a Spark aggregate by the window's own
-text settles these. So no group holds an unbounded number of rows, and nothing depends on how often a
-text occurs.
+2. Windows whose anchor has more than HOT occurrences get a longer one: n-grams of 8, then 22, then all 35
+   words (or bytes likewise), counted in the same way. So groups are bounded by longer prefixes.
+3. Each block sends the stretches of text around its repeated anchors, grouped by anchor. The group orders
+   its windows exactly, over the text itself, and answers with ranges of window starts.
+4. Windows that occur more than HOT times as a whole are all alike: each block sends each one once with its
+   places, and a Spark aggregate by the window's text settles them.
+5. Each block applies the ranges to its documents.
+
+A block's rows for buckets and groups are no more than its anchors, and short ones aren't compressed, so
+what is exchanged grows with the input and not with the product of blocks and groups.
 """
 
 from __future__ import annotations
 
-import pickle
+from array import array
 from dataclasses import dataclass
 from typing import Callable
 
@@ -33,7 +35,7 @@ from .common import block_count, in_blocks, staged, texts, total_bytes
 BLOCK_BYTES = 16 << 20  # of documents in one block
 BUCKET_BYTES = 16 << 20  # of documents whose anchors meet in one bucket, on average
 GROUP_BYTES = 4 << 20  # of documents whose repeated stretches would meet in one group if all repeat
-HOT = 20_000  # occurrences of an anchor beyond which its group is split
+HOT = 20_000  # occurrences of an anchor beyond which its windows get a longer one
 SEGMENT = 1 << 20  # units handled at once
 LATE = np.int64(2**63 - 1)  # a null doc_id comes after all others
 MULT = 0x9E3779B97F4A7C15
@@ -44,15 +46,22 @@ class Unit:
     """What a text is made of. split: body to units; hashes: units to uint64; join: units [a, b) to bytes."""
 
     window: int
-    gram: int
+    grams: tuple[int, ...]  # lengths of the anchors, rising to the window's
     split: Callable
     hashes: Callable
     join: Callable
     glue: bytes  # between kept pieces
-    #: (stretches, keys, anchor offsets, window) -> (stretch, start, group) of windows, equal texts in one group
+    #: (stretches, anchor numbers, anchor offsets, window) -> (stretch, start, group) of windows, equal texts in one group
     order: Callable
     #: True: a window goes if it starts anywhere else; False: if it also starts in a smaller document
     anywhere: bool
+    segment: int = SEGMENT
+
+
+def grams_of(window: int, least: int) -> tuple[int, ...]:
+    """Anchor lengths: the shortest, half-way to the window's, and the window's."""
+    least = min(least, window)
+    return tuple(sorted({least, window - (window - least) // 2, window}))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -79,8 +88,8 @@ def _gram_hashes(h: np.ndarray, gram: int) -> np.ndarray:
         power *= 2
 
 
-def runs(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, last start, anchor, its key) of the runs of windows with the same anchor."""
+def runs(h: np.ndarray, window: int, gram: int, mask: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, last start, anchor, its key) of the runs of windows with the same anchor; only windows in the mask."""
     g = _gram_hashes(h, gram)
     w = window - gram + 1
     cur, size = (g & ~np.uint64(0xFFFFFF)) | np.arange(len(g), dtype=np.uint64), 1
@@ -90,35 +99,104 @@ def runs(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray,
     n = len(g) - w + 1
     least = np.minimum(cur[:n], cur[w - size : w - size + n])
     anchor = (least & np.uint64(0xFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+    edge = anchor[1:] != anchor[:-1]
+    if mask is not None:
+        edge |= mask[1:] != mask[:-1]
+    first = np.flatnonzero(np.concatenate(([True], edge)))
     last = np.append(first[1:], n) - 1
+    if mask is not None:
+        first, last = first[mask[first]], last[mask[first]]
     at = anchor[first]
     return first, last, at, _mix(g[at] + np.uint64(MULT)) >> np.uint64(16)
 
 
+class Known:
+    """Repeated anchors of a block: their keys, sorted, by level, and which of them are hot."""
+
+    def __init__(self, flags: pa.Table, levels: int):
+        self.levels = []
+        level = np.array(flags["level"].to_pylist(), np.int64)
+        for k in range(levels):
+            own = np.flatnonzero(level == k).tolist()
+            keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_keys(flags["keys"][i].as_py()) for i in own]])
+            hot = np.concatenate([np.zeros(0, np.int8), *[unpack(flags["hot"][i].as_py())[0] for i in own]])
+            order = np.argsort(keys)
+            self.levels.append((keys[order], hot[order] > 0))
+
+    def find(self, level: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(occurs again, is hot) of keys."""
+        keys, hot = self.levels[level]
+        if not len(keys):
+            return np.zeros(len(key), bool), np.zeros(len(key), bool)
+        where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        again = keys[where] == key
+        return again, again & hot[where]
+
+
+def leveled(h: np.ndarray, unit: Unit, known: Known | None, upto: int):
+    """(level, runs) of a text's windows: on each level those whose shorter anchors are hot."""
+    mask = None
+    for level in range(upto):
+        first, last, at, key = runs(h, unit.window, unit.grams[level], mask)
+        yield level, first, last, at, key
+        if level + 1 < upto:
+            hot = known.find(level, key)[1]
+            if not hot.any():
+                return
+            cover = np.zeros(len(h) - unit.window + 2, np.int64)
+            np.add.at(cover, first[hot], 1)
+            np.add.at(cover, last[hot] + 1, -1)
+            mask = np.cumsum(cover[:-1]) > 0
+
+
 def _segments(units, unit: Unit):
     """(first unit, hashes) of pieces whose windows together are the text's windows."""
     n = len(units)
-    for lo in range(0, n - unit.window + 1, SEGMENT):
-        yield lo, unit.hashes(units[lo : min(n, lo + SEGMENT + unit.window - 1)])
+    for lo in range(0, n - unit.window + 1, unit.segment):
+        yield lo, unit.hashes(units[lo : min(n, lo + unit.segment + unit.window - 1)])
 
 
-def pack(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+CODES = {"<i1": 0, "<i4": 1, "<i8": 2, "<u4": 3, "<u8": 4}
+SHORT = 1024  # bytes from which on arrays are compressed
 
 
-def unpack(blob: bytes):
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+def pack(*arrays) -> bytes:
+    """Arrays of numbers, or bytes, one after another behind their kinds and lengths."""
+    head, data = bytearray([len(arrays)]), []
+    for a in arrays:
+        if isinstance(a, bytes):
+            head += bytes([255]) + len(a).to_bytes(5, "little")
+            data.append(a)
+        else:
+            kind = "<" + a.dtype.kind + str(a.dtype.itemsize)
+            head += bytes([CODES[kind]]) + len(a).to_bytes(5, "little")
+            data.append(a.tobytes())
+    whole = bytes(head) + b"".join(data)
+    return b"\1" + zstandard.ZstdCompressor(level=1).compress(whole) if len(whole) > SHORT else b"\0" + whole
+
+
+def unpack(blob: bytes) -> list:
+    whole = zstandard.ZstdDecompressor().decompress(blob[1:]) if blob[0] else blob[1:]
+    names, out, at = {v: k for k, v in CODES.items()}, [], 1 + 6 * whole[0]
+    for k in range(whole[0]):
+        code, n = whole[1 + 6 * k], int.from_bytes(whole[2 + 6 * k : 7 + 6 * k], "little")
+        if code == 255:
+            out.append(whole[at : at + n])
+            at += n
+        else:
+            out.append(np.frombuffer(whole, names[code], n, at))
+            at += out[-1].nbytes
+    return out
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted numbers of 48 bits as differences, byte planes apart."""
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
+    return pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
 
 
 def unpack_keys(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(6, -1)
+    planes = np.frombuffer(unpack(blob)[0], np.uint8).reshape(6, -1)
     steps = np.zeros((planes.shape[1], 8), np.uint8)
     steps[:, :6] = planes.T
     return np.cumsum(steps.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
@@ -137,170 +215,181 @@ def _ordered(table: pa.Table) -> list[tuple[int, bytes]]:
     return sorted((LATE if i is None else i, b) for i, b in zip(table["doc_id"].to_pylist(), table["body"].to_pylist()))
 
 
-def _name(unit: Unit, n_buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        keys = [np.zeros(0, np.uint64)]
-        for body in table["body"].to_pylist():
+def _name(unit: Unit, n_buckets: int, level: int):
+    """Rows by bucket: a block's distinct anchors of a level, and how often each occurs in it."""
+
+    def run(docs: pa.Table, flags: pa.Table | None) -> pa.Table:
+        known = Known(flags, level) if flags is not None else None
+        found = [np.zeros(0, np.uint64)]
+        for body in docs["body"].to_pylist():
             for _, h in _segments(unit.split(body), unit):
-                keys.append(runs(h, unit.window, unit.gram)[3])
-        keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+                found += [key for k, *_, key in leveled(h, unit, known, level + 1) if k == level]
+        keys, counts = np.unique(np.concatenate(found), return_counts=True)
         bucket = ((keys * np.uint64(n_buckets)) >> np.uint64(48)).astype(np.int64)  # keys are sorted, so buckets are
-        edge = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        used = [k for k in range(n_buckets) if edge[k + 1] > edge[k]]
-        return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([table["block"][0].as_py()] * len(used), pa.int32()), "keys": pa.array([pack_keys(keys[edge[k] : edge[k + 1]]) for k in used], pa.binary()), "counts": pa.array([pack(np.minimum(counts[edge[k] : edge[k + 1]], 2**31).astype(np.uint32)) for k in used], pa.binary())})
+        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        spans = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))[: len(first)]
+        counts = np.minimum(counts, 2**31).astype(np.uint32)
+        return pa.table({"bucket": pa.array(bucket[first], pa.int32()), "block": pa.array([docs["block"][0].as_py() if len(first) else 0] * len(first), pa.int32()), "keys": pa.array([pack_keys(keys[a:b]) for a, b in spans], pa.binary()), "counts": pa.array([pack(counts[a:b]) for a, b in spans], pa.binary())})
 
     return run
 
 
-def _answer(hot: int):
+def _answer(hot: int, level: int):
+    """Rows by block: its anchors that occur again, and which are hot."""
+
     def run(table: pa.Table) -> pa.Table:
         blocks = table["block"].to_pylist()
         keys = [unpack_keys(x) for x in table["keys"].to_pylist()]
         counts = np.concatenate([unpack(x)[0] for x in table["counts"].to_pylist()]).astype(np.int64)
         place = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
-        number = np.array(blocks)[place]
         keys = np.concatenate(keys)
-        order = np.lexsort((number, keys))
+        order = np.argsort(keys, kind="stable")
         k, c = keys[order], counts[order]
         first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        size = np.diff(np.append(first, len(k)))
-        total = np.repeat(np.add.reduceat(c, first), size)
-        ahead = np.cumsum(c) - c
-        part = np.where(total > hot, 1 + (ahead - np.repeat(ahead[first], size)) // hot, 0)  # 0: not split
-        again = total > 1
-        order, part = order[again], part[again]
-        out = []
-        for p, mine in grouped(place[order]):  # each blob's keys stay sorted
-            out.append((blocks[p], pack_keys(keys[order[mine]]), pack(part[mine].astype(np.uint32))))
-        return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "keys": pa.array([x[1] for x in out], pa.binary()), "parts": pa.array([x[2] for x in out], pa.binary())})
+        total = np.repeat(np.add.reduceat(c, first), np.diff(np.append(first, len(k))))
+        again = np.flatnonzero(total > 1)
+        order, over = order[again], (total[again] > hot).astype(np.int8)
+        out = [(blocks[p], pack_keys(keys[order[mine]]), pack(over[mine]), int(over[mine].sum())) for p, mine in grouped(place[order])]  # each row's keys stay sorted
+        return pa.table({"level": pa.array([level] * len(out), pa.int32()), "block": pa.array([x[0] for x in out], pa.int32()), "keys": pa.array([x[1] for x in out], pa.binary()), "hot": pa.array([x[2] for x in out], pa.binary()), "n_hot": pa.array([x[3] for x in out], pa.int64())})
 
     return run
 
 
-def _stretches(unit: Unit, n_groups: int):
+FLAGS = "level int, block int, keys binary, hot binary, n_hot bigint"
+
+
+def _stretches(unit: Unit, n_groups: int, levels: int):
+    """Rows by group of anchors: a block's stretches of windows whose anchor occurs again but isn't hot."""
+
     def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
-        if not docs.num_rows or not flags.num_rows:
-            return pa.table({"grp": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
-        keys = np.concatenate([unpack_keys(x) for x in flags["keys"].to_pylist()])
-        parts = np.concatenate([unpack(x)[0] for x in flags["parts"].to_pylist()])
-        order = np.argsort(keys)
-        keys, parts = keys[order], parts[order]
         rows: list[tuple] = []
         bodies: list[bytes] = []
-        for row, (doc, body) in enumerate(_ordered(docs)):
-            units = unit.split(body)
-            for lo, h in _segments(units, unit):
-                first, last, at, key = runs(h, unit.window, unit.gram)
-                where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = np.flatnonzero(keys[where] == key)
-                if len(hit):
-                    n = len(hit)
-                    rows.append((key[hit], parts[where[hit]], np.full(n, doc, np.int64), np.full(n, row, np.int32), (first[hit] + lo).astype(np.int64), (at - first)[hit].astype(np.int32)))
-                    bodies += [unit.join(units, a, b) for a, b in zip((first[hit] + lo).tolist(), (last[hit] + lo + unit.window).tolist())]
-        if not rows:
-            return pa.table({"grp": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
-        key, part, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
-        group = (_mix(key + part.astype(np.uint64) * np.uint64(MULT)) % np.uint64(n_groups)).astype(np.int64)
-        block, out = docs["block"][0].as_py(), []
-        for grp, own in grouped(group):
-            out.append((grp, pack(key[own], part[own], doc[own], row[own], start[own], off[own], np.array([len(bodies[i]) for i in own], np.int64), b"".join([bodies[i] for i in own]))))
+        if flags.num_rows:
+            known = Known(flags, levels)
+            for row, (doc, body) in enumerate(_ordered(docs)):
+                units = unit.split(body)
+                for lo, h in _segments(units, unit):
+                    for level, first, last, at, key in leveled(h, unit, known, levels):
+                        again, hot = known.find(level, key)
+                        hit = np.flatnonzero(again & ~hot)
+                        n = len(hit)
+                        if n:
+                            rows.append((key[hit] * np.uint64(4) + np.uint64(level), np.full(n, doc, np.int64), np.full(n, row, np.int32), (first[hit] + lo).astype(np.int64), (at - first)[hit].astype(np.int32)))
+                            bodies += [unit.join(units, a, b) for a, b in zip((first[hit] + lo).tolist(), (last[hit] + lo + unit.window).tolist())]
+        out: list[tuple] = []
+        if rows:
+            key, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
+            for grp, own in grouped((_mix(key) % np.uint64(n_groups)).astype(np.int64)):
+                text = [bodies[i] for i in own.tolist()]
+                out.append((grp, pack(key[own], doc[own], row[own], start[own], off[own], np.array([len(x) for x in text], np.int64), b"".join(text))))
+        block = docs["block"][0].as_py() if out else 0
         return pa.table({"grp": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
 
     return run
 
 
-def refine(group: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, new group numbers in that order): groups split by a digit."""
-    order = np.lexsort((digit, group))
-    g, d = group[order], digit[order]
-    return order, np.cumsum(np.concatenate(([0], (g[1:] != g[:-1]) | (d[1:] != d[:-1]))))
-
-
-FOUND = "kind int, block int, blob binary, text binary, doc bigint, n bigint, row int, start bigint"
+def radix_order(group: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Order by group, then label: counting passes of 16 bits, the least significant first."""
+    order = None
+    for number in (label.astype(np.uint64), group.astype(np.uint64)):
+        for shift in range(0, max(1, int(number.max()).bit_length()), 16):
+            digit = ((number >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
+            order = np.argsort(digit, kind="stable") if order is None else order[np.argsort(digit[order], kind="stable")]
+    return order
+
+
+def descend(root: np.ndarray, label: Callable[[np.ndarray, int], np.ndarray], steps: int, branch: Callable | None = None) -> np.ndarray:
+    """A number for each suffix, the same for those that share root and all labels.
+
+    label(suffixes, step): their labels. Groups that agree in a label only grow longer; the others are split,
+    and suffixes left alone are done with. branch(step, sizes of the groups split, sizes of what they split into,
+    their number each) is told of every split."""
+    order = radix_order(np.unique(root, return_inverse=True)[1], np.zeros(len(root), np.int64)) if len(root) else np.zeros(0, np.int64)
+    live, out, done = order, np.full(len(root), -1, np.int64), 0
+    change = np.ones(len(live), bool)
+    change[1:] = root[live][1:] != root[live][:-1]
+    for step in range(steps + 1):
+        g = np.cumsum(change) - 1
+        alone = np.bincount(g)[g] == 1 if len(g) else np.zeros(0, bool)
+        out[live[alone]] = done + np.arange(int(alone.sum()))
+        done += int(alone.sum())
+        live, g, change = live[~alone], g[~alone], change[~alone]
+        if step == steps or not len(live):
+            break
+        g = np.cumsum(change) - 1
+        first = np.flatnonzero(change)
+        lab = label(live, step)
+        whole = np.logical_and.reduceat(lab == lab[first][g], first)
+        sub = np.flatnonzero(~whole[g])
+        if len(sub):
+            by = sub[radix_order(g[sub], lab[sub])]
+            live[sub], lab[sub] = live[by], lab[by]
+            cut = np.zeros(len(live), bool)
+            cut[1:] = (lab[1:] != lab[:-1]) & ~change[1:]
+            if branch is not None:
+                sizes = np.diff(np.append(np.flatnonzero(change | cut), len(live)))
+                branch(step, np.bincount(g)[~whole], sizes, np.add.reduceat(cut.astype(np.int64), first)[~whole] + 1)
+            change |= cut
+    out[live] = done + np.cumsum(change) - 1
+    return out
+
+
+FOUND = "block int, blob binary"
 
 
 def _settle(unit: Unit):
-    W = unit.window
+    """Rows by block: (row, first, last) of window starts to remove."""
 
     def run(table: pa.Table) -> pa.Table:
         blocks = table["block"].to_pylist()
         got = [unpack(x) for x in table["blob"].to_pylist()]
-        key, part, doc, row, start, off, size = (np.concatenate([x[k] for x in got]) for k in range(7))
+        key, doc, row, start, off, size = (np.concatenate([x[k] for x in got]) for k in range(6))
         of = np.repeat(np.array(blocks, np.int64), [len(x[0]) for x in got])
-        whole = b"".join(x[7] for x in got)
-        del got
         ends = np.cumsum(size)
-        # equal stretches with equal anchors are one class
-        classes: dict[tuple, int] = {}
-        texts_, firsts = [], []
-        cls = np.empty(len(key), np.int64)
-        for i, (k, p, o, a, b) in enumerate(zip(key.tolist(), part.tolist(), off.tolist(), (ends - size).tolist(), ends.tolist())):
-            t = whole[a:b]
-            c = classes.setdefault((k, p, o, t), len(texts_))
-            if c == len(texts_):
-                texts_.append(t)
-                firsts.append(i)
-            cls[i] = c
-        del classes, whole
-        firsts = np.array(firsts)
-        n_of = np.bincount(cls, minlength=len(texts_))
-        least = np.full(len(texts_), LATE)
-        np.minimum.at(least, cls, doc)
-        # windows of each class, in groups of equal texts
-        c, s, g = unit.order(texts_, np.stack((key[firsts].astype(np.int64), part[firsts].astype(np.int64))), off[firsts].astype(np.int64), W)
-        order = np.argsort(g, kind="stable")
-        c, s, g = c[order], s[order], g[order]
-        edge = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-        width = np.diff(np.append(edge, len(g)))
-        g_least = np.repeat(np.minimum.reduceat(least[c], edge), width)
-        g_n = np.repeat(np.add.reduceat(n_of[c], edge), width)
-        lead = np.zeros(len(g), bool)
-        lead[edge] = True
-        # what goes: for members with a smaller equal, all starts; else the class's own pattern
-        gone = g_n > 1 if unit.anywhere else g_least < least[c]
-        every = (n_of[cls] > 1) if unit.anywhere else (doc > least[cls])
-        back = np.lexsort((s, c))
-        c, s, gone, g_least, g_n, lead = c[back], s[back], gone[back], g_least[back], g_n[back], lead[back]
-        base = np.searchsorted(c, np.arange(len(texts_) + 1))
-        edge = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (gone[1:] != gone[:-1])))) if len(c) else np.zeros(0, np.int64)
+        whole = b"".join(x[6] for x in got)
+        del got
+        stretches = [whole[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
+        del whole
+        c, s, g = unit.order(stretches, np.unique(key, return_inverse=True)[1], off.astype(np.int64), unit.window)
+        if unit.anywhere:
+            gone = np.bincount(g)[g] > 1
+        else:
+            least = np.full(int(g.max()) + 1, LATE)
+            np.minimum.at(least, g, doc[c])
+            gone = least[g] < doc[c]
+        c, s = c[gone], s[gone]  # by stretch, starts rising
+        edge = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (s[1:] != s[:-1] + 1)))) if len(c) else np.zeros(0, np.int64)
         till = np.append(edge[1:], len(c)) - 1
-        own = gone[edge]
-        r_cls, r_from, r_to = c[edge][own], s[edge][own], s[till][own]
-        r_base = np.searchsorted(r_cls, np.arange(len(texts_) + 1))
-        rest = np.flatnonzero(~every)
-        n = (r_base[1:] - r_base[:-1])[cls[rest]]
-        pick = np.repeat(r_base[cls[rest]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        who = np.concatenate((np.flatnonzero(every), np.repeat(rest, n)))
-        last = base[1:] - base[:-1] - 1
-        lo = np.concatenate((np.zeros(int(every.sum()), np.int64), r_from[pick])) + start[who]
-        hi = np.concatenate((last[cls[every]], r_to[pick])) + start[who]
-        out = {x: [] for x in ("kind", "block", "blob", "text", "doc", "n", "row", "start")}
-
-        def add(**row_):
-            for x in out:
-                out[x].append(row_.get(x))
-
-        for b, sel in grouped(of[who]):
-            add(kind=0, block=b, blob=pack(row[who[sel]], lo[sel], hi[sel]))
-        # split anchors: windows that stay open go on by their text, one for each distinct text
-        split = np.flatnonzero(part[firsts] > 0)
-        if len(split):
-            members: dict[int, list[int]] = {}
-            for i in np.flatnonzero(part > 0).tolist():
-                members.setdefault(int(cls[i]), []).append(i)
-            for k in split.tolist():
-                units = unit.split(texts_[k])
-                for j in range(base[k], base[k + 1]):
-                    text = unit.join(units, int(s[j]), int(s[j]) + W)
-                    if unit.anywhere and g_n[j] > 1:
-                        if lead[j]:
-                            add(kind=2, text=text, n=2)
-                    elif not gone[j]:
-                        for i in members[k]:
-                            if not every[i]:
-                                add(kind=1, text=text, doc=int(doc[i]), n=1, block=int(of[i]), row=int(row[i]), start=int(start[i] + s[j]))
-        kinds = {"kind": pa.int32(), "block": pa.int32(), "blob": pa.binary(), "text": pa.binary(), "doc": pa.int64(), "n": pa.int64(), "row": pa.int32(), "start": pa.int64()}
-        return pa.table({x: pa.array(v, kinds[x]) for x, v in out.items()})
+        who, lo, hi = c[edge], s[edge] + start[c[edge]], s[till] + start[c[till]] if len(c) else s[till]
+        out = [(b, pack(row[who[sel]], lo[sel], hi[sel])) for b, sel in grouped(of[who])]
+        return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
+
+    return run
+
+
+def _crowded(unit: Unit, levels: int):
+    """A row for each window of the block that is hot as a whole: its text, how often and where it starts, its least document."""
+
+    def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
+        seen: dict[bytes, list] = {}
+        known = Known(flags, levels) if flags.num_rows else None
+        for row, (doc, body) in enumerate(_ordered(docs) if known else ()):
+            units = unit.split(body)
+            for lo, h in _segments(units, unit):
+                for level, first, _, _, key in leveled(h, unit, known, levels):
+                    if level + 1 == len(unit.grams):
+                        for a in (first[known.find(level, key)[1]] + lo).tolist():
+                            one = seen.setdefault(unit.join(units, a, a + unit.window), [0, doc, array("q"), array("q"), array("q"), array("q")])
+                            one[0] += 1
+                            one[1] = min(one[1], doc)
+                            if one[2] and one[2][-1] == row and one[4][-1] == a - 1:
+                                one[4][-1] = a  # the run of starts goes on
+                            else:
+                                for x, v in zip(one[2:], (row, a, a, doc)):
+                                    x.append(v)
+        places = [pack(*[np.array(x, np.int64) for x in one[2:]]) for one in seen.values()]
+        block = docs["block"][0].as_py() if seen else 0
+        return pa.table({"text": pa.array(list(seen), pa.binary()), "block": pa.array([block] * len(seen), pa.int32()), "n": pa.array([x[0] for x in seen.values()], pa.int64()), "first": pa.array([int(x[1]) for x in seen.values()], pa.int64()), "blob": pa.array(places, pa.binary())})
 
     return run
 
@@ -310,10 +399,12 @@ def _apply(unit: Unit):
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         rows = _ordered(docs)
-        ranges = [unpack(x) for x in found["blob"].to_pylist() if x is not None]
-        single = [(r, s, s) for r, s in zip(found["row"].to_pylist(), found["start"].to_pylist()) if r is not None]
-        parts = [x for x in ranges] + ([tuple(np.array(x, np.int64) for x in zip(*single))] if single else [])
-        row, lo, hi = (np.concatenate([np.asarray(x[k], np.int64) for x in parts]) for k in range(3)) if parts else (np.zeros(0, np.int64),) * 3
+        parts = [np.zeros((3, 0), np.int64)]
+        for blob, least in zip(found["blob"].to_pylist(), found["least"].to_pylist()):
+            got = unpack(blob)
+            part = np.array(got[:3], np.int64)
+            parts.append(part if least is None or unit.anywhere else part[:, got[3] > least])
+        row, lo, hi = np.concatenate(parts, 1)
         order = np.argsort(row, kind="stable")
         row, lo, hi = row[order], lo[order], hi[order]
         edge = np.searchsorted(row, np.arange(len(rows) + 1))
@@ -336,25 +427,37 @@ def _apply(unit: Unit):
     return run
 
 
-def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+ANCHORS = "bucket int, block int, keys binary, counts binary"
+
+
+def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_units, spans of removed units, kept binary) of every document."""
     spark = docs.sparkSession
     bodies = texts(docs, id_col, text_col)
     size = total_bytes(bodies)
-    n_blocks = block_count(spark, size, BLOCK_BYTES)
+    n_blocks = block_count(spark, size, block_bytes)
     n_buckets, n_groups = max(1, -(-size // BUCKET_BYTES)), max(1, -(-size // GROUP_BYTES))
     blocks = in_blocks(bodies, n_blocks)
 
     def by_block(df: DataFrame):
         return df.repartition(n_blocks, "block").groupBy("block")
 
-    named = by_block(blocks).applyInArrow(_name(unit, n_buckets), "bucket int, block int, keys binary, counts binary")
-    flags = staged(named.repartition(max(n_buckets, 1), "bucket").groupBy("bucket").applyInArrow(_answer(hot), "block int, keys binary, parts binary"), f"{name}-flags")
-    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups), "grp int, block int, blob binary")
+    flags, levels, crowded = None, 0, True
+    while crowded and levels < len(unit.grams):
+        name_ = _name(unit, n_buckets, levels)
+        if flags is None:
+            named = by_block(blocks).applyInArrow(lambda docs: name_(docs, None), ANCHORS)  # noqa: B023
+        else:
+            named = by_block(blocks).cogroup(by_block(flags)).applyInArrow(name_, ANCHORS)
+        new = staged(named.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(_answer(hot, levels), FLAGS), f"{name}-flags")
+        flags, levels = new if flags is None else flags.unionByName(new), levels + 1
+        crowded = bool(new.where("n_hot > 0").limit(1).count())
+    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups, levels), "grp int, block int, blob binary")
     found = staged(sent.repartition(n_groups, "grp").groupBy("grp").applyInArrow(_settle(unit), FOUND), f"{name}-found")
-    ranges = found.where("kind = 0").select("block", "blob", F.lit(None).cast("int").alias("row"), F.lit(None).cast("bigint").alias("start"))
-    open_ = found.where("kind > 0")
-    totals = open_.groupBy("text").agg(F.min("doc").alias("least"), F.sum("n").alias("total"))
-    late = open_.where("kind = 1").join(totals, "text").where("total > 1" if unit.anywhere else "least < doc")
-    ranges = ranges.unionByName(late.select("block", F.lit(None).cast("binary").alias("blob"), "row", "start"))
+    ranges = found.withColumn("least", F.lit(None).cast("bigint"))
+    if crowded:
+        many = staged(by_block(blocks).cogroup(by_block(flags)).applyInArrow(_crowded(unit, levels), "text binary, block int, n bigint, first bigint, blob binary"), f"{name}-crowded")
+        # a row for each text; written, so that Spark may split the join's share of a text that all blocks have
+        totals = staged(many.groupBy("text").agg(F.min("first").alias("least"), F.sum("n").alias("total")), f"{name}-totals")
+        ranges = ranges.unionByName(many.join(totals, "text").where("total > 1").select("block", "blob", "least"))
     return by_block(blocks).cogroup(by_block(ranges)).applyInArrow(_apply(unit), "doc_id bigint, n_units bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")

@@ -1,9 +1,11 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
-Suffixes that begin with the same anchor words form a group; a group that is too large is split again by
-longer prefixes (see repeats). A group's suffix tree is built top-down, one edge of up to three words at a
-time, and only down to the window's length: a node with one leaf is left at once, and an inner node at that
-depth is a maximal repeat of at least a window, whose leaves are the places to remove.
+Suffixes that begin alike form a group: those that start at an anchor are dealt out by their first 8 words,
+and where these words are too frequent for a group, by their first 22 or all 35 (see repeats). For each
+place of the anchor in a window a subtree is built top-down, word by word: where all suffixes below a node
+go on with the same word the edge grows, where they don't the node branches, and a suffix alone below a node
+is a leaf and left at once. Inner nodes that are as deep as the window are maximal repeats of at least its
+length; the leaves below them are the places to remove.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import HOT, Unit, refine, remove_repeats
+from .repeats import BLOCK_BYTES, HOT, SEGMENT, Unit, descend, grams_of, remove_repeats
 
 WINDOW = 35
 GRAM = 8
@@ -32,50 +34,45 @@ def _join(words: list[bytes], a: int, b: int) -> bytes:
     return b" ".join(words[a:b])
 
 
-def subtrees(texts: list[bytes], prefixes: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stretch, start, node) of every suffix that has `window` words; suffixes that agree so far share a node.
+class Subtrees:
+    """Suffix trees over the suffixes of stretches that have `window` words, down to that depth.
 
-    The root's children are the prefix groups: anchor key, part and the anchor's place in the window."""
+    roots: each suffix's tree. depth and degree: of the inner nodes above the window's depth; deep: for each
+    suffix the number of its inner node at that depth, or of its leaf."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray, roots: np.ndarray, window: int):
+        self.depth, self.degree = [], []
+
+        def branch(step: int, sizes: np.ndarray, parts: np.ndarray, degree: np.ndarray) -> None:
+            self.depth += [step] * len(sizes)
+            self.degree += degree.tolist()
+
+        self.deep = descend(roots, lambda own, step: words[at[own] + step], window, branch)
+
+
+def subtrees(texts: list[bytes], anchors: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, start, node) of every suffix that has `window` words; those of a deep inner node share its number.
+
+    A tree holds the suffixes with the same anchor at the same place."""
     number: dict[bytes, int] = {}
-    ids = [[number.setdefault(w, len(number) + 1) for w in t.split()] for t in texts]
+    ids = [[number.setdefault(w, len(number)) for w in t.split()] for t in texts]
     size = np.array([len(x) for x in ids], np.int64)
     n = size - window + 1
-    word = np.array([x for y in ids for x in y] + [0] * window, np.int64)
-    base = np.cumsum(size) - size
+    words = np.fromiter((x for y in ids for x in y), np.int64, int(size.sum()))
     cls = np.repeat(np.arange(len(texts)), n)
     start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    root = np.unique(prefixes, axis=1, return_inverse=True)[1].ravel()
-    node = root[cls] * (2 * window) + (offsets[cls] - start)
-    edge = 3 if len(number) < (1 << 21) - 1 else 1
-    at, live, out, next_leaf = base[cls] + start, np.arange(len(cls)), np.full(len(cls), -1, np.int64), 0
-    for depth in range(0, window, edge):
-        label = np.zeros(len(live), np.int64)
-        for k in range(min(edge, window - depth)):
-            label = (label << 21 if edge == 3 else label) + word[at[live] + depth + k]
-        order, new = refine(node[live], label)
-        live, width = live[order], np.bincount(new)
-        leaf = width[new] == 1
-        out[live[leaf]] = next_leaf + np.arange(int(leaf.sum()))
-        next_leaf += int(leaf.sum())
-        node[live] = new
-        live = live[~leaf]
-        if not len(live):
-            break
-    out[live] = next_leaf + node[live]  # inner nodes at the window's depth
-    return cls, start, out
-
-
-UNIT = Unit(WINDOW, GRAM, _split, _hashes, _join, b" ", subtrees, True)
-
-
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    roots = anchors[cls] * (2 * window) + (offsets[cls] - start)
+    return cls, start, Subtrees(words, (np.cumsum(size) - size)[cls] + start, roots, window).deep
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, hot: int = HOT, block_bytes: int = BLOCK_BYTES, segment: int = SEGMENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, spans, kept): each word goes that a window of `window` words covers which starts anywhere else too.
 
     spans are runs of removed words, kept the rest joined by single spaces. Null and empty texts have no
     words. Rows with the same doc_id are separate places, so repeated rows remove each other; a null
-    doc_id is a document like any other."""
-    unit = UNIT if window == WINDOW else Unit(window, min(GRAM, window), _split, _hashes, _join, b" ", subtrees, True)
-    out = remove_repeats(docs, unit, "substrings", hot, id_col, text_col)
+    doc_id is a document like any other. An empty table gives none; extra columns aren't read."""
+    unit = Unit(window, grams_of(window, GRAM), _split, _hashes, _join, b" ", subtrees, True, segment)
+    out = remove_repeats(docs, unit, "substrings", hot, block_bytes, id_col, text_col)
     return out.select("doc_id", F.col("n_units").alias("n_words"), "spans", F.col("kept").cast("string").alias("kept"))
 
 

@@ -4,9 +4,15 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from cairn.llm import substrings, suffixes
+from cairn.llm.common import in_blocks, texts
+from cairn.llm.repeats import _name, pack, pack_keys, radix_order, unpack, unpack_keys
 
 SCHEMA = "doc_id bigint, text string, kept_0 int, block string"
 
@@ -58,24 +64,92 @@ def bytes_brute(rows, w=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
+SIZES = [{}, {"hot": 3, "block_bytes": 900, "segment": 16}, {"hot": 1, "block_bytes": 4000, "segment": 64}]
+
+
+@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_substrings(spark, seed, hot):
+def test_substrings(spark, seed, sizes):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    got = substrings.report(substrings.dedup_substrings(df, hot=hot)).collect()
+    got = substrings.report(substrings.dedup_substrings(df, **sizes)).collect()
     assert sorted(map(tuple, got), key=str) == words_brute(rows)
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
+@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_suffixes(spark, seed, hot):
+def test_suffixes(spark, seed, sizes):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    got = suffixes.report(suffixes.dedup_suffixes(df, hot=hot)).collect()
+    got = suffixes.report(suffixes.dedup_suffixes(df, **sizes)).collect()
     assert sorted(map(tuple, got), key=str) == bytes_brute(rows)
 
 
+def test_long_texts_of_one_letter(spark):
+    """All windows of a document alike: they are hot on every level, and go as one row a block."""
+    rows = [(3, "a" * 200_000, 1, "x"), (4, "b" + "a" * 1000, 1, "x"), (2, "a" * 60, 1, "x"), (9, "a b " * 30_000, 1, "x")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffixes.report(suffixes.dedup_suffixes(df)).collect()}
+    assert got == {3: (200_000, 200_000, 1), 4: (1001, 1000, 1), 2: (60, 0, 0), 9: (120_000, 0, 0)}
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substrings.report(substrings.dedup_substrings(df)).collect()}
+    assert got == {3: (1, 0), 4: (1, 0), 2: (1, 0), 9: (60_000, 60_000)}
+
+
+def test_rows_with_one_id_are_dealt_out(spark):
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(200)], "doc_id bigint, text string")
+    assert in_blocks(texts(df), 8).groupBy("block").count().count() == 8
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("ab", min_size=4, max_size=30), min_size=1, max_size=8))
+def test_nodes_are_those_of_the_suffix_tree(stretches):
+    """Inner nodes are the strings that go on in two ways, once for each tree; deep ones are the repeated windows."""
+    window = 4
+    at, words, tree = [], [], []
+    for k, t in enumerate(stretches):
+        at += [len(words) + i for i in range(len(t) - window + 1)]
+        words += map(ord, t)
+    suffixes_ = ["".join(map(chr, words[a : a + window])) for a in at]
+    built = substrings.Subtrees(np.array(words), np.array(at), np.array([a % 2 for a in at]), window)
+    nodes = {}
+    for a, x in zip(at, suffixes_):
+        for d in range(window):
+            nodes.setdefault((a % 2, x[:d]), set()).add(x[d])
+    want = sorted((len(p), len(c)) for (_, p), c in nodes.items() if len(c) > 1)
+    assert sorted(zip(built.depth, built.degree)) == want
+    for i in range(len(at)):
+        for j in range(i):
+            assert (built.deep[i] == built.deep[j]) == (suffixes_[i] == suffixes_[j] and at[i] % 2 == at[j] % 2)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**40), st.integers(0, 2**63)), min_size=1, max_size=40))
+def test_radix_order(rows):
+    g, label = np.array([x for x, _ in rows]), np.array([x for _, x in rows], np.uint64)
+    assert [rows[i] for i in radix_order(g, label)] == sorted(rows)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**48 - 1), max_size=400, unique=True), st.binary(max_size=3000))
+def test_packing(keys, data):
+    keys = np.array(sorted(keys), np.uint64)
+    assert unpack_keys(pack_keys(keys)).tolist() == keys.tolist()
+    got = unpack(pack(keys, data, np.arange(5, dtype=np.int32)))
+    assert got[0].tolist() == keys.tolist() and got[1] == data and got[2].tolist() == [0, 1, 2, 3, 4]
+    assert len(pack(keys[:3])) <= 8 + 8 * 3  # short arrays cost little more than their numbers
+
+
+def test_rows_are_no_more_than_anchors():
+    """Blocks times buckets would be 100 times as many rows for 10 times the input; there are no more than anchors."""
+    unit = substrings.Unit(5, (2, 4, 5), bytes.split, substrings._hashes, substrings._join, b" ", None, True)
+    rnd = random.Random(1)
+    for n_buckets in (10, 100, 100_000):
+        docs = pa.table({"doc_id": [1], "body": [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)).encode()], "block": pa.array([0], pa.int32())})
+        named = _name(unit, n_buckets, 0)(docs, None)
+        keys = sum(len(unpack_keys(x)) for x in named["keys"].to_pylist())
+        assert named.num_rows <= min(n_buckets, keys) and sum(map(len, named["keys"].to_pylist())) <= 6 * keys + 8 * named.num_rows
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert substrings.report(substrings.dedup_substrings(none)).count() == 0
