@@ -156,7 +156,7 @@ def _segments(units, unit: Unit):
         yield lo, unit.hashes(units[lo : min(n, lo + unit.segment + unit.window - 1)])
 
 
-CODES = {"<i1": 0, "<i4": 1, "<i8": 2, "<u4": 3, "<u8": 4}
+CODES = {"<i1": 0, "<i4": 1, "<i8": 2, "<u4": 3, "<u8": 4, "<f4": 5}
 SHORT = 1024  # bytes from which on arrays are compressed
 
 

@@ -6,7 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from math import log2, log10
+from math import log, log2, log10
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, language, media, pieces, quality, secrets, simhash, trees
+from cairn.llm import decontaminate, language, media, pieces, quality, queries, secrets, simhash, trees
 from cairn.llm.common import fold
 from cairn.llm.common import texts as texts_of
 
@@ -251,49 +251,78 @@ def test_phrases_are_small():
 # ---- suffix tree
 
 
-def test_tree_scores(spark):
-    texts = [*prose(11, 150, 80, 120), *EDGES]
+def brute_tree(docs, train, depth, support, divergence, mass):
+    """(tokens, known, base, score) of each document by dicts of whole contexts."""
+    toks = lambda t: ["<"] + [w.decode() for w in (t or "").encode().lower().split()] + [None]
+    rows = [toks(t) for t in docs]
+    learned = [r for r, yes in zip(rows, train) if yes]
+    c = Counter(w for r in learned for w in r[1:])
+    n, v = sum(c.values()), len(c)
+    nexts: dict = {}
+    for r in learned:
+        for i in range(1, len(r)):
+            for k in range(1, min(depth, i) + 1):
+                nexts.setdefault(tuple(r[i - k : i]), Counter())[r[i]] += 1
+    kept: dict = {}
+
+    def prob(before, w):
+        for k in range(min(depth, len(before)), 0, -1):
+            ctx = tuple(before[-k:])
+            if kept.get(ctx):
+                own = nexts[ctx]
+                return (own[w] + mass * prob(before[len(before) - k + 1 :], w)) / (sum(own.values()) + mass)
+        return (c[w] + 0.1) / (n + 0.1 * (v + 1))
+
+    for ctx in sorted(nexts, key=len):
+        own, size = nexts[ctx], sum(nexts[ctx].values())
+        if size >= support:
+            gain = 0.0
+            for w, m in own.items():
+                p = prob(list(ctx[1:]), w)
+                gain += m * (log((m - 1 + mass * p) / (size - 1 + mass)) - log(p))
+            kept[ctx] = gain >= divergence * size
+    out = []
+    for r in rows:
+        base = sum(log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in r[1:])
+        out.append((len(r) - 1, sum(c[w] > 0 for w in r[1:]), n, base, sum(log10(prob(r[:i], r[i])) for i in range(1, len(r)))))
+    return out, kept
+
+
+@pytest.mark.parametrize(("support", "sizes"), [(2, {}), (4, {"block_bytes": 500}), (1, {"hot": 10**9})])
+def test_tree_scores(spark, support, sizes):
+    rnd = random.Random(2)
+    texts = [*prose(11, 60, 40, 25), *EDGES]
+    texts += [texts[k] + " extra" for k in range(0, 40, 3)] + [" ".join(rnd.choice(("red fox", "blue sea", "x")) for _ in range(30)) for _ in range(10)]
     docs = table(spark, texts)
-    got = trees.score_documents(docs, fold(F.col("doc_id"), 10) != 0, share=1e-3).collect()
+    got = trees.score_documents(docs, fold(F.col("doc_id"), 10) != 0, support=support, **sizes).collect()
     rows = [*enumerate(texts), (0, texts[0]), (None, "null id")]
-    toks = lambda t: [w.decode() for w in (t or "").encode().lower().split()] + [None]
-    train = [t for i, t in rows if zlib.crc32(str(i if i is not None else "").encode()) % 10 != 0]
-    c = Counter(w for t in train for w in toks(t))
-    n, v = sum(c.values()), len(c)
-    want = Counter()
-    for i, t in rows:
-        w = toks(t)
-        want[(i, len(w), sum(c[x] > 0 for x in w), n, round(sum(log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w), 6))] += 1
-    assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
-    assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
-
-
-def test_tree_is_a_distribution(spark):
-    bodies = spark.createDataFrame([(t.encode(),) for t in prose(12, 60, 40, 30)], "body binary")
-    tree = trees.fit(bodies, depth=3, share=1e-3)
-    for d, t in enumerate(tree.tables):
-        p = 10.0 ** t.astype(np.float64)
-        rare = 256 - (p.shape[1] - 1)
-        assert np.allclose(p[:, :-1].sum(1) + rare * p[:, -1], 1, atol=1e-3), d
-    assert tree.states() > 10
-    # the first word and the text's end, by hand from the longest kept contexts
-    body = b"abc"
-    data, total = trees.stream(body), 0.0
-    strings = tree.strings
-
-    def prob(ctx, byte):
-        for d in range(min(3, len(ctx)), -1, -1):
-            s, number = ctx[len(ctx) - d :], 0
-            if d:
-                number = int(strings.number(np.array([list(s)]))[0])
-                if not tree.kept[d][number]:
-                    continue
-            return 10.0 ** float(tree.tables[d][number][tree.column[byte]])
-
-    for k in range(1, 4):
-        total += log10(prob(data[:k], data[k]))
-    stop, end = prob(data[:4], 32), prob(data[:4], 10)
-    assert np.allclose(tree.tokens([body]), [total + log10(stop + end), log10(end / (stop + end))], atol=1e-4)
+    want, kept = brute_tree([t for _, t in rows], [zlib.crc32(str(i if i is not None else "").encode()) % 10 != 0 for i, _ in rows], trees.DEPTH, support, trees.DIVERGENCE, trees.MASS)
+    plain = lambda i, x: (i, *x[:3], round(x[3], 4), round(x[4], 3))
+    assert sorted((plain(r["doc_id"], (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"])) for r in got), key=str) == sorted((plain(i, x) for (i, _), x in zip(rows, want)), key=str)
+    assert 10 < sum(kept.values()) < len(kept) and {len(k) for k, yes in kept.items() if yes} == {1, 2, 3}
+
+
+def test_hot_contexts_are_kept(spark):
+    docs = table(spark, prose(12, 60, 40, 8))
+    train = fold(F.col("doc_id"), 10) != 0
+    got = trees.score_documents(docs, train, hot=1).agg(F.sum("score")).first()[0]
+    want = trees.score_documents(docs, train, divergence=-1e9).agg(F.sum("score")).first()[0]
+    assert abs(got - want) < 1e-6 * abs(want)
+
+
+def test_contexts_are_distributions():
+    """The shares of all known tokens and of one unknown token sum up to 1 in the root, and so, by the smoothing's form, in every context."""
+    rnd = random.Random(4)
+    counts = np.array([rnd.randrange(1, 50) for _ in range(30)])
+    root = np.append(counts + 0.1, 0.1) / (counts.sum() + 0.1 * 31)
+    own = np.append(np.array([rnd.randrange(3) for _ in range(30)]), 0)
+    assert np.isclose(root.sum(), 1) and np.isclose(((own + trees.MASS * root) / (own.sum() + trees.MASS)).sum(), 1)
+
+
+def test_tree_beats_the_base(spark):
+    """On documents that it hasn't learned from, at sf0.01."""
+    got = queries.op6_suffix_tree_scores(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
 
 
 # ---- SentencePiece
