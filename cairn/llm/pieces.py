@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 MODEL_LIMIT = 32 << 20  # a model file above this isn't sent to the executors
 LETTER = re.compile(r"[^\W\d_]")
-WORDS_KEPT = 400_000  # chunks whose encoding a Python worker remembers; then it starts anew
-PAIRS_KEPT = 2_000_000
+BYTES_KEPT = 96 << 20  # of chunks with their encodings, about, that a Python worker remembers; then it starts anew
+LONG = 64  # characters of a chunk that is remembered at most
+PAIRS_KEPT = 500_000  # pairs of pieces, some 200 bytes each
 
 
 def _fields(data: bytes):
@@ -84,6 +85,7 @@ class PieceModel:
             self.chunks = re.compile(rf"{SPACE}*[^\W\d_]+|{SPACE}*(?:(?![{SPACE}\n])[\W\d_])+|{SPACE}+|\n")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple] = {}
+        self.held = 0  # bytes of known, about
         self.shorter: dict[str, str | None] = {}
         self.find = ahocorasick.Automaton()
         for x in self.id:
@@ -96,7 +98,9 @@ class PieceModel:
     def _piece(self, spec: dict) -> None:
         text, kind, at = spec[1].decode(), spec.get(3, 1), len(self.text)
         self.text.append(text)
-        if kind in (1, 4, 5):
+        if kind in (4, 5):
+            raise ValueError("user-defined and unused pieces aren't supported")
+        if kind == 1:
             self.id[text] = at
             self.score[text] = struct.unpack("<f", spec[2])[0]
         elif kind == 6:
@@ -173,8 +177,9 @@ class PieceModel:
         """(ids as 32-bit numbers, decoded text); remembered."""
         if chunk in self.known:
             return self.known[chunk]
-        if len(self.known) >= WORDS_KEPT:
+        if self.held > BYTES_KEPT:
             self.known.clear()
+            self.held = 0
         parts, known = self.cover(chunk), self.id
         try:
             out = array("i", [known[x] for x in parts]).tobytes(), "".join(parts).replace(SPACE, " ")
@@ -188,8 +193,9 @@ class PieceModel:
                 else:
                     ids.append(self.unknown)
             out = array("i", ids).tobytes(), self._plain(ids)
-        if len(chunk) <= 64:
+        if len(chunk) <= LONG:
             self.known[chunk] = out
+            self.held += 300 + 6 * len(chunk)
         return out
 
     def _plain(self, ids: list[int]) -> str:

@@ -1,7 +1,7 @@
 """SimHash near-duplicates with pigeonring filtering.
 
 A document's fingerprint has a bit set where over half of its shingles' hashes have it. Two fingerprints
-link at `bits` or fewer differing bits. The 64 bits are a ring of five segments. If at most four bits
+link at BITS or fewer differing bits. The 64 bits are a ring of five segments. If at most four bits
 differ, then from some segment on, every chain of 1, 2, 3, 4 consecutive segments differs in at most
 4/5, 8/5, 12/5, 16/5 bits, so in 0, 1, 2, 3. Links are looked for where a chain of two agrees that far:
 each fingerprint offers the values of two segments and asks for them and for all values that differ in
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import staged, texts
 
 SHINGLE = 4
-BITS = 4
+BITS = 4  # the ring below is laid out for this many
 SEED = 42
 HOT = 4096
 #: The ring's segments: first bit and width.
@@ -178,13 +178,11 @@ def _near_points(batches):
             yield pa.RecordBatch.from_arrays([pa.array((part[:, None] ^ flips).ravel().view(np.int64)), pa.array(np.repeat(part, len(flips)).view(np.int64))], ["z", "fp"])
 
 
-def links(distinct: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
+def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     """(a, b) edges whose components are those of all links between the distinct fingerprints in column fp."""
-    if bits != BITS:
-        raise ValueError("the ring is laid out for four bits")
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     offers = distinct.mapInArrow(_offers, "key bigint, fp bigint, role tinyint")
-    met = staged(offers.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_meet(bits, hot), "a bigint, b bigint, hot boolean"), "simhash-links")
+    met = staged(offers.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_meet(BITS, hot), "a bigint, b bigint, hot boolean"), "simhash-links")
     few = met.where("not hot").select("a", "b").distinct()
     crowd = met.where("hot").select(F.col("a").alias("fp")).distinct()
     points = crowd.mapInArrow(_near_points, "z bigint, fp bigint")
@@ -214,27 +212,27 @@ def components(edges: DataFrame) -> DataFrame:
         cur = new
 
 
-def _rooted(prints: DataFrame, bits: int, hot: int) -> DataFrame:
+def _rooted(prints: DataFrame, hot: int) -> DataFrame:
     """(fp, root, least): each fingerprint with its component's smallest one, and its own least `rank`."""
     classes = staged(prints.groupBy("fp").agg(F.min("rank").alias("least")), "simhash-classes")
-    roots = components(links(classes.select("fp"), bits, hot))
+    roots = components(links(classes.select("fp"), hot))
     return classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest doc_id reachable over links.
 
     Null and empty texts have fingerprint zero and link like others. Rows with the same doc_id each have
     their own fingerprint. A null doc_id is no candidate for component_id, which is null where a component
     has no other. An empty table gives none."""
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    rooted = _rooted(prints.withColumn("rank", F.col("doc_id")), bits, hot)
+    rooted = _rooted(prints.withColumn("rank", F.col("doc_id")), hot)
     ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
     owned = rooted.join(ids, "root").select("fp", "component_id")
     return prints.join(owned, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One whole row of each component: that with the smallest doc_id, null last; of several, the one whose row hashes smallest.
 
     Components are told apart by their fingerprints, so null and repeated ids are rows like others."""
@@ -251,7 +249,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, hot:
     # the row's number holds once the table is written
     rows = staged(plain.mapInArrow(run, f"{kinds}, fp bigint").withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*[f"kept_{i}" for i in range(len(kept))]).alias("hash"), "row")
-    rooted = _rooted(rows.select("fp", rank.alias("rank")), bits, hot)
+    rooted = _rooted(rows.select("fp", rank.alias("rank")), hot)
     first = staged(rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row")), "simhash-first")
     # nearly as many as the rows: never to be broadcast, however small the table
     return rows.join(first.hint("merge"), "row").select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
