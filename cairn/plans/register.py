@@ -65,6 +65,35 @@ def layer_union(s, d):
     return layers.combine(parts).select("id", "inspireid", "layer")
 
 
+def _kept(s: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    base = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("select id, geom_type, x, y, inspireid, sitename, layer from features where layer = 'PS_NationalMonuments_line'")
+def layer_round_trip(s, d):
+    """Two layers saved to one table, one of them loaded again."""
+    f, path = view(s, d, "features"), _kept(s, "layers")
+    f = f.select(*[F.col(x.name).cast(x.dataType) if x.name in f.columns else F.lit(None).cast(x.dataType).alias(x.name) for x in layers.FEATURES])
+    for n in ("PS_NationalMonuments_poly", "PS_NationalMonuments_line"):
+        layers.save_layer(f.where(F.col("layer") == n).drop("layer"), path, n)
+    return layers.load_layer(s, path, "PS_NationalMonuments_line").select("id", "geom_type", "x", "y", "inspireid", "sitename", "layer")
+
+
+@query("""select concat('{"id":', id, ',"sitename":', case when sitename is null then 'null' else concat('"', sitename, '"') end, ',"layer":"', layer, '"}') as line from features""")
+def results_json(s, d):
+    """Results written as JSON lines, nulls included, and read again as text."""
+    path = _kept(s, "results")
+    layers.save_results(view(s, d, "features").select("id", "sitename", "layer"), path)
+    return s.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("select id, sitename, cast(null as varchar) as description, cast(null as double) as score from features")
+def ensured_columns(s, d):
+    return layers.ensure_columns(view(s, d, "features").select("id", "sitename"), {"description": "string", "sitename": "string", "score": "double"})
+
+
 @query("select inspireid, uuid from sites")
 def id_scan(s, d):
     return view(s, d, "sites").select("inspireid", "uuid")
@@ -311,8 +340,9 @@ def column_profile(s, d):
 
 @query("""select count(*) as source_total, count("generatedDescription") as matching, count("generatedDescription") as output_total, cast(0 as bigint) as violations from sites""")
 def subset_audit(s, d):
-    f = view(s, d, "sites")
-    out = with_caption_subset(s, d)
+    f, path = view(s, d, "sites"), _kept(s, "subset")
+    layers.derive_table(f, F.col("generatedDescription").isNotNull(), path)
+    out = s.read.parquet(path)  # what was written is what is judged
     a = f.agg(F.count("*").alias("source_total"), F.count("generatedDescription").alias("matching"))
     return a.crossJoin(out.agg(F.count("*").alias("output_total"), F.count_if(F.col("generatedDescription").isNull()).alias("violations")))
 
@@ -637,10 +667,9 @@ def score_sites(s, d):
     return quality.result_rows(f.join(replies, "k", "left"))
 
 
-def _kept(s: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share."""
-    base = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+@query("""select k, case when substr(uuid, 1, 1) not in ('0', 'f') then concat('{"@graph":[{"@id":"http://kulturarvsdata.se/raa/lamning/', uuid, '","ksam:itemTitle":"Site ', substr(uuid, 1, 4), '"}]}') end as body from sites where k % 5 = 0""")
+def fetch_in_order(s, d):
+    return clients.fetch_batch(view(s, d, "sites").where("k % 5 = 0"), stub_fetch, "k", "uuid", partitions=None, per_second=None).select("k", "body")
 
 
 @query("select case when uuid like 'f%' then 'error' when uuid like '0%' then 'missing' else 'ok' end as status, count(*) as n from sites group by 1")
