@@ -35,7 +35,7 @@ from .common import block_count, in_blocks, staged, texts, total_bytes
 BLOCK_BYTES = 16 << 20  # of documents in one block
 BUCKET_BYTES = 16 << 20  # of documents whose anchors meet in one bucket, on average
 GROUP_BYTES = 4 << 20  # of documents whose repeated stretches would meet in one group if all repeat
-HOT = 20_000  # occurrences of an anchor beyond which its windows get a longer one
+HOT = 100_000  # occurrences of an anchor whose group takes some 300 MB; beyond, its windows get a longer one
 SEGMENT = 1 << 20  # units handled at once
 LATE = np.int64(2**63 - 1)  # a null doc_id comes after all others
 MULT = 0x9E3779B97F4A7C15
