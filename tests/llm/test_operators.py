@@ -10,6 +10,7 @@ from math import log, log2, log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -294,14 +295,22 @@ def test_tree_scores(spark, support, sizes):
     texts = [*prose(11, 60, 40, 25), *EDGES]
     texts += [texts[k] + " extra" for k in range(0, 40, 3)] + [" ".join(rnd.choice(("red fox", "blue sea", "x")) for _ in range(30)) for _ in range(10)]
     docs = table(spark, texts)
-    got = trees.score_documents(docs, fold(F.col("doc_id"), 10) != 0, support=support, **sizes).collect()
+    got = trees.score_documents(docs, fold(F.col("doc_id"), 10) != 0, support=support, depth=3, **sizes).collect()
     rows = [*enumerate(texts), (0, texts[0]), (None, "null id")]
-    want, kept = brute_tree([t for _, t in rows], [zlib.crc32(str(i if i is not None else "").encode()) % 10 != 0 for i, _ in rows], trees.DEPTH, support, trees.DIVERGENCE, trees.MASS)
+    want, kept = brute_tree([t for _, t in rows], [zlib.crc32(str(i if i is not None else "").encode()) % 10 != 0 for i, _ in rows], 3, support, trees.DIVERGENCE, trees.MASS)
     plain = lambda i, x: (i, *x[:3], round(x[3], 4), round(x[4], 3))
     assert sorted((plain(r["doc_id"], (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"])) for r in got), key=str) == sorted((plain(i, x) for (i, _), x in zip(rows, want)), key=str)
     assert 10 < sum(kept.values()) < len(kept) and {len(k) for k, yes in kept.items() if yes} == {1, 2, 3}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.binary(max_size=30), st.text("aB \t\n\x0b\x0c\r\x1c\xa0é", max_size=30).map(str.encode)), min_size=1, max_size=5))
+def test_tokens_as_split(bodies):
+    size, words, ids = trees.tokenize(pa.chunked_array([pa.array([b"skipped", *bodies], pa.binary())[1:]]))
+    want = [b.lower().split() for b in bodies]
+    assert size.tolist() == [len(w) for w in want] and [words[i] for i in ids] == [x for w in want for x in w] and len(set(words)) == len(words)
+
+
 def test_hot_contexts_are_kept(spark):
     docs = table(spark, prose(12, 60, 40, 8))
     train = fold(F.col("doc_id"), 10) != 0
@@ -340,6 +349,18 @@ def test_pieces_as_library(text):
     assert MODEL.encode(text) == ids and MODEL.decode(ids) == LIBRARY.decode(ids) == MODEL.both(text)[1]
 
 
+def test_unsupported_pieces_and_full_caches(monkeypatch):
+    data = open(PATH, "rb").read()
+    user = b"\n\x0b\n\x02ab\x15\x00\x00\x00\x00\x18\x04"  # a piece "ab" of kind 4
+    with pytest.raises(ValueError):
+        pieces.PieceModel(data + user)
+    monkeypatch.setattr(pieces, "BYTES_KEPT", 2000)
+    monkeypatch.setattr(pieces, "PAIRS_KEPT", 5)
+    model = pieces.PieceModel(data)
+    for text in prose(19, 20):
+        assert model.encode(text) == LIBRARY.encode(text) and len(model.known) < 20 and len(model.pairs) <= 5
+
+
 def test_pieces_of_documents(spark):
     texts = [*prose(13, 30), *EDGES, "x" * 5000]
     got = pieces.digests(pieces.encode_documents(table(spark, texts), PATH)).collect()
@@ -360,9 +381,9 @@ def test_media(spark, monkeypatch):
         b = (t or "").encode()
         p = b + b"\xff" * (max(1, -(-len(b) // 576)) * 576 - len(b))
         want[(i, len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))] += 1
-    for hot, copy in ((256, 256), (1, 256), (1, 1)):
+    for hot, copy, rounds in ((256, 256, 2), (1, 256, 1), (1, 1, 3)):
         monkeypatch.setattr(media, "COPY", copy)
-        got = media.media_columns(table(spark, texts), hot=hot).collect()
+        got = media.media_columns(table(spark, texts), hot=hot, rounds=rounds).collect()
         assert Counter((r["doc_id"], r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in got) == want
         by = {}
         for r in got:
