@@ -26,6 +26,7 @@ PAD = b"\xff"
 LEAST, MOST, CUT_BITS = 256, 16384, 10  # bytes of a chunk; an end every 2**CUT_BITS bytes
 HOT = 256  # references to one chunk that make a pack
 COPY = 256  # packs for which one copy of a chunk is made
+ROUNDS = 2  # chunks are stored and read back in so many parts, so only a part of their bodies is in flight
 GEAR = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(29)).astype(np.uint32)
 
 
@@ -70,21 +71,25 @@ def _names(batches):
         yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.list_(pa.binary()))], ["doc_id", "n_bytes", "pay", "digests"])
 
 
-def _bodies(batches):
-    """Stored form of the chunks; a chunk that the task has just sent isn't sent again."""
-    sent: set[bytes] = set()
-    for b in batches:
-        keys, stored = [], []
-        for body in b["body"].to_pylist():
-            for x in chunks(payload(body)):
-                key = key_of(x)
-                if key not in sent:
-                    if len(sent) > 200_000:
-                        sent.clear()
-                    sent.add(key)
-                    keys.append(key)
-                    stored.append(bz2.compress(x, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(stored, pa.binary())], ["digest", "stored"])
+def _bodies(part: int, rounds: int):
+    """Stored form of a part's chunks; a chunk that the task has just sent isn't sent again."""
+
+    def run(batches):
+        sent: set[bytes] = set()
+        for b in batches:
+            keys, stored = [], []
+            for body in b["body"].to_pylist():
+                for x in chunks(payload(body)):
+                    key = key_of(x)
+                    if key[0] % rounds == part and key not in sent:
+                        if len(sent) > 200_000:
+                            sent.clear()
+                        sent.add(key)
+                        keys.append(key)
+                        stored.append(bz2.compress(x, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(stored, pa.binary())], ["digest", "stored"])
+
+    return run
 
 
 def feature(data: bytes, n_chunks: int) -> str:
@@ -137,13 +142,18 @@ def _rebuild(batches):
         yield batch()
 
 
-def store(docs: DataFrame) -> DataFrame:
-    """(digest, stored): each distinct chunk of the payloads once, written as a table in buckets by digest."""
-    found = docs.select("body").mapInArrow(_bodies, "digest binary, stored binary").groupBy("digest").agg(F.first("stored").alias("stored"))
+def in_part(key: str, part: int, rounds: int):
+    """Condition on a key: its first byte tells its part."""
+    return F.expr(f"cast(conv(hex(substring({key}, 1, 1)), 16, 10) as int) % {rounds} = {part}")
+
+
+def store(docs: DataFrame, part: int = 0, rounds: int = 1) -> DataFrame:
+    """(digest, stored): each distinct chunk of a part of the payloads' chunks once, written as a table in buckets by digest."""
+    found = docs.select("body").mapInArrow(_bodies(part, rounds), "digest binary, stored binary").groupBy("digest").agg(F.first("stored").alias("stored"))
     return bucketed(found, "media_chunks", "digest")
 
 
-def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_bytes and what is read back from the chunk store for every document.
 
     Null and empty texts are one frame of padding. Documents with equal texts share one rebuilt payload.
@@ -156,15 +166,22 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     manifest = staged(manifest, "media-manifest")
     crowded = staged(manifest.groupBy("digest").agg(F.count("*").alias("refs")).where(F.col("refs") > hot), "media-crowded")
     marked = manifest.join(crowded, "digest", "left").withColumn("pack", F.when(F.col("refs").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("pay", "ord"), F.ceil(F.col("refs") / hot))))
-    packs = marked.groupBy("digest", "pack").agg(F.collect_list(F.struct("pay", "ord")).alias("places"))
-    kept = store(docs)
     place = [F.col("place.pay").alias("pay"), F.col("place.ord").alias("ord"), "digest", "stored"]
-    few = kept.join(packs.where("pack = 0"), "digest").withColumn("place", F.explode("places")).select(*place)
-    copies = kept.join(crowded, "digest").withColumn("copy", F.explode(F.sequence(F.lit(0), F.floor((1 + F.col("refs") / hot) / COPY).cast("int")))).drop("refs")
-    shared = packs.where("pack > 0").withColumn("copy", F.floor(F.col("pack") / COPY).cast("int"))
-    many = copies.join(shared, ["digest", "copy"]).repartition(n, "digest", "pack").withColumn("place", F.explode("places")).select(*place)
-    parts = few.unionByName(many).repartition(n, "pay").sortWithinPartitions("pay", "ord")
-    rebuilt = parts.mapInArrow(_rebuild, RESULT)
+    stores = [store(docs, k, rounds) for k in range(rounds)]
+    rebuilt = None
+    for r in range(rounds):
+        packs = marked.where(in_part("pay", r, rounds)).groupBy("digest", "pack").agg(F.collect_list(F.struct("pay", "ord")).alias("places"))
+        parts = None
+        for k, kept in enumerate(stores):
+            own = packs.where(in_part("digest", k, rounds))
+            few = kept.join(own.where("pack = 0"), "digest").withColumn("place", F.explode("places")).select(*place)
+            copies = kept.join(crowded, "digest").withColumn("copy", F.explode(F.sequence(F.lit(0), F.floor((1 + F.col("refs") / hot) / COPY).cast("int")))).drop("refs")
+            shared = own.where("pack > 0").withColumn("copy", F.floor(F.col("pack") / COPY).cast("int"))
+            many = copies.join(shared, ["digest", "copy"]).repartition(n, "digest", "pack").withColumn("place", F.explode("places")).select(*place)
+            both = few.unionByName(many)
+            parts = both if parts is None else parts.unionByName(both)
+        back = staged(parts.repartition(n, "pay").sortWithinPartitions("pay", "ord").mapInArrow(_rebuild, RESULT), "media-rebuilt")
+        rebuilt = back if rebuilt is None else rebuilt.unionByName(back)
     out = named.select("doc_id", "n_bytes", "pay").join(rebuilt, "pay").drop("pay")
     hexed = lambda c: F.lower(F.hex(c))
     return out.withColumns({c: hexed(c) for c in ("payload_sha256", "media_sha256")})
