@@ -358,9 +358,9 @@ def _settle(unit: Unit):
             np.minimum.at(least, g, doc[c])
             gone = least[g] < doc[c]
         c, s = c[gone], s[gone]  # by stretch, starts rising
-        edge = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (s[1:] != s[:-1] + 1)))) if len(c) else np.zeros(0, np.int64)
-        till = np.append(edge[1:], len(c)) - 1
-        who, lo, hi = c[edge], s[edge] + start[c[edge]], s[till] + start[c[till]] if len(c) else s[till]
+        breaks = np.flatnonzero((c[1:] != c[:-1]) | (s[1:] != s[:-1] + 1)) + 1
+        edge, till = np.append(np.zeros(min(1, len(c)), np.int64), breaks), np.append(breaks, np.full(min(1, len(c)), len(c))) - 1  # none where nothing goes
+        who, lo, hi = c[edge], s[edge] + start[c[edge]], s[till] + start[c[till]]
         out = [(b, pack(row[who[sel]], lo[sel], hi[sel])) for b, sel in grouped(of[who])]
         return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
 

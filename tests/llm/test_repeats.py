@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cairn.llm import substrings, suffixes
 from cairn.llm.common import in_blocks, texts
@@ -95,6 +96,34 @@ def test_long_texts_of_one_letter(spark):
     assert got == {3: (1, 0), 4: (1, 0), 2: (1, 0), 9: (60_000, 60_000)}
 
 
+def plain(n: int, prefix: str) -> str:
+    return " ".join(f"{prefix}{k}" for k in range(n))
+
+
+NO_REPEATS = [
+    [(1, f"{plain(34, 'w')} {plain(9, 'a')}"), (2, f"{plain(9, 'b')} {plain(34, 'w')} end")],  # 34 words in common
+    [(1, "x" * 3 + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWX"[:49] + "1 one"), (2, "y" * 3 + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWX"[:49] + "2 two")],  # 49 bytes
+    [(1, f"{plain(80, 'w')} {plain(80, 'w')}")],  # a document that repeats itself
+]
+
+
+@pytest.mark.parametrize("rows", NO_REPEATS, ids=["34 words", "49 bytes", "itself"])
+def test_shared_anchors_without_a_repeat(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, substrings.report(substrings.dedup_substrings(df)).collect()), key=str) == words_brute(rows)
+    assert sorted(map(tuple, suffixes.report(suffixes.dedup_suffixes(df)).collect()), key=str) == bytes_brute(rows)
+
+
+def test_on_their_own_output(spark):
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for dedup, brute, name in ((substrings.dedup_substrings, words_brute, substrings.report), (suffixes.dedup_suffixes, bytes_brute, suffixes.report)):
+        once = dedup(df).select("doc_id", F.col("kept").cast("string").alias("text")).collect()
+        again = [(r["doc_id"], r["text"]) for r in once if r["text"].isprintable()]
+        got = name(dedup(spark.createDataFrame(again, "doc_id bigint, text string"))).collect()
+        assert sorted(map(tuple, got), key=str) == brute(again)
+
+
 def test_rows_with_one_id_are_dealt_out(spark):
     df = spark.createDataFrame([(None, f"text {i}") for i in range(200)], "doc_id bigint, text string")
     assert in_blocks(texts(df), 8).groupBy("block").count().count() == 8
