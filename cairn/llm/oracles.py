@@ -40,3 +40,13 @@ g as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as it
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join c using (rid) left join g using (rid)
 """
+
+MIXTURE = r"""
+with d as (select doc_id, source, coalesce(text, '') as t, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+s as (select source, cast(sum(size) as hugeint) as n, [1, 2, 3][cast((row_number() over (order by source nulls last) - 1) % 3 + 1 as int)] as w from d group by source),
+o as (select *, sum(n) over () as total, coalesce(sum(3 * n) over (order by 3 * n / w::double, source rows between unbounded preceding and 1 preceding), 0) as gone, sum(w) over (order by 3 * n / w::double, source rows between current row and unbounded following) as rest from s),
+e as (select total - gone as over_, rest from o where 3 * n * rest >= (total - gone) * w order by 3 * n / w::double, source limit 1),
+g as (select source, n, case when 3 * n * rest < over_ * w then cast(3 * n as double) else cast(over_ as double) / cast(rest as double) * w end as target from s, e),
+r as (select d.*, n, target, case when n = 0 then 0.0::double else target / cast(n as double) end as rate, cast('0x' || substr(md5(concat('11:', coalesce(cast(doc_id as varchar), ''), ':', t)), 1, 13) as bigint) / 4503599627370496.0::double as draw from d join g on d.source is not distinct from g.source)
+select doc_id, size, cast(n as bigint) as source_size, target, size * (cast(floor(rate) as bigint) + case when draw < rate - floor(rate) then 1 else 0 end) as taken from r
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, media, oracles, pieces, quality, secrets, simhash, substrings, suffixes, trees
+from . import decontaminate, language, media, mixing, oracles, pieces, quality, secrets, simhash, substrings, suffixes, trees
 from .common import fold
 
 
@@ -60,5 +60,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op3_substring_dedup, op4_suffix_array_dedup, op5_decontamination, op6_suffix_tree_scores, op7_sentencepiece, op8_media_chunks, op9_language_id, op10_secret_scan)}
-ORACLES = {"op3_substring_dedup": oracles.SUBSTRINGS, "op4_suffix_array_dedup": oracles.SUFFIXES, "op5_decontamination": oracles.CONTAMINATION}
+def op11_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(mixing.plan(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op3_substring_dedup, op4_suffix_array_dedup, op5_decontamination, op6_suffix_tree_scores, op7_sentencepiece, op8_media_chunks, op9_language_id, op10_secret_scan, op11_source_mixture)}
+ORACLES = {"op3_substring_dedup": oracles.SUBSTRINGS, "op4_suffix_array_dedup": oracles.SUFFIXES, "op5_decontamination": oracles.CONTAMINATION, "op11_source_mixture": oracles.MIXTURE}
