@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, media, mixing, oracles, periods, pieces, quality, secrets, simhash, substrings, suffixes, trees
+from . import decontaminate, language, media, mixing, oracles, periods, pieces, quality, secrets, simhash, spelling, substrings, suffixes, trees
 from .common import fold
 
 
@@ -68,5 +68,9 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.report(periods.find_runs(table(spark, sf_dir, "documents"), change=periods.planted))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op3_substring_dedup, op4_suffix_array_dedup, op5_decontamination, op6_suffix_tree_scores, op7_sentencepiece, op8_media_chunks, op9_language_id, op10_secret_scan, op11_source_mixture, op12_periodic_runs)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), change=spelling.dropped)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_duplicates, op2_quality_compression, op3_substring_dedup, op4_suffix_array_dedup, op5_decontamination, op6_suffix_tree_scores, op7_sentencepiece, op8_media_chunks, op9_language_id, op10_secret_scan, op11_source_mixture, op12_periodic_runs, op13_spelling_variants)}
 ORACLES = {"op3_substring_dedup": oracles.SUBSTRINGS, "op4_suffix_array_dedup": oracles.SUFFIXES, "op5_decontamination": oracles.CONTAMINATION, "op11_source_mixture": oracles.MIXTURE}
