@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import let
+
 AXIS, FLATTENING = 6378137.0, 1 / 298.257222101
 MERIDIAN, SCALE, EAST0, NORTH0 = 15.0, 0.9996, 500000.0, 0.0
 EARTH_KM = 6371.0088
@@ -100,6 +102,48 @@ def polygon_area(geom_type: Column, rings: Column) -> Column:
     return F.when(geom_type.isin("Polygon", "MultiPolygon") & (F.size(rings) > 0), whole).otherwise(F.lit(0.0))
 
 
+def parts_area(geom_type: Column, parts: Column) -> Column:
+    """Area of all parts of a polygon or its multiple, each one's outer ring less its holes; 0 for other geometries."""
+    one = lambda rings: let(F.transform(rings, ring_area), lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s - x) + 2 * F.coalesce(F.get(a, F.lit(0)), F.lit(0.0)))
+    return F.when(geom_type.isin("Polygon", "MultiPolygon"), F.aggregate(F.transform(parts, one), F.lit(0.0), lambda s, a: s + a)).otherwise(F.when(parts.isNotNull(), 0.0))
+
+
+def bounds(parts: Column) -> Column:
+    """struct(minx, miny, maxx, maxy) of all points; null without any."""
+    edge = lambda p, c, f: f(F.transform(p, lambda q: q[c]))
+    box = lambda p: F.when(F.size(p) > 0, F.struct(edge(p, "x", F.array_min).alias("minx"), edge(p, "y", F.array_min).alias("miny"), edge(p, "x", F.array_max).alias("maxx"), edge(p, "y", F.array_max).alias("maxy")))
+    return let(F.flatten(F.flatten(parts)), box)
+
+
+def meets_box(geom_type: Column, parts: Column, minx, miny, maxx, maxy) -> Column:
+    """Whether a geometry and a box have a point in common, edges included; null for null, false for empty.
+
+    A segment meets the box if their extents do and not all corners lie on one side of it. A polygon also meets a
+    box that no edge of its meets if the box's corner lies within: edges to its right are odd in number, holes
+    counted. Parts of a collection are outlines."""
+    x0, y0, x1, y1 = (c if isinstance(c, Column) else F.lit(float(c)) for c in (minx, miny, maxx, maxy))
+
+    def segment(p: Column, q: Column) -> Column:
+        side = lambda cx, cy: (q["x"] - p["x"]) * (cy - p["y"]) - (q["y"] - p["y"]) * (cx - p["x"])
+        near = (F.least(p["x"], q["x"]) <= x1) & (F.greatest(p["x"], q["x"]) >= x0) & (F.least(p["y"], q["y"]) <= y1) & (F.greatest(p["y"], q["y"]) >= y0)
+        across = lambda s: (F.array_min(s) <= 0) & (F.array_max(s) >= 0)
+        return near & let(F.array(side(x0, y0), side(x0, y1), side(x1, y0), side(x1, y1)), across)
+
+    def right_of_corner(p: Column, q: Column) -> Column:
+        at = F.try_divide((q["x"] - p["x"]) * (y0 - p["y"]), q["y"] - p["y"]) + p["x"]
+        return ((p["y"] > y0) != (q["y"] > y0)) & (at > x0)
+
+    def pairs(ring: Column, f) -> Column:
+        n = F.greatest(F.size(ring) - 1, F.lit(0))
+        return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), f)
+
+    vertex = F.exists(parts, lambda rings: F.exists(rings, lambda ring: F.exists(ring, lambda p: in_box(p["x"], p["y"], x0, y0, x1, y1))))
+    edge = F.exists(parts, lambda rings: F.exists(rings, lambda ring: F.exists(pairs(ring, segment), lambda hit: hit)))
+    odd = lambda rings: F.size(F.filter(F.flatten(F.transform(rings, lambda ring: pairs(ring, right_of_corner))), lambda c: c)) % 2 == 1
+    inside = geom_type.isin("Polygon", "MultiPolygon") & F.exists(parts, odd)
+    return vertex | (~geom_type.isin("Point", "MultiPoint") & (edge | inside))
+
+
 def wkb_point(df: DataFrame, wkb: str = "wkb") -> DataFrame:
     """Adds x and y of WKB points (either byte order, Z and SRID flags allowed); other geometries give null."""
     @F.pandas_udf("x double, y double")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions.blobs import PARTS
 from cairn.functions.jsonld import DOC_PREFIX, SITE_PREFIX
 
 NN = "chr(10), chr(10)"
@@ -154,3 +155,20 @@ def with_rings(features: DataFrame) -> DataFrame:
     hole = rect(F.lit(1.0), F.lit(1.0), F.lit(2.0), F.lit(3.0))
     poly = F.when(F.col("id") % 30 == 7, F.array(outer, hole)).otherwise(F.array(outer))
     return features.withColumn("rings", F.when(F.col("geom_type") == "Polygon", poly).otherwise(F.array().cast("array<array<struct<x:double,y:double>>>")))
+
+
+def with_parts(features: DataFrame) -> DataFrame:
+    """Geometries of all kinds: kind, and parts of rings. Lines have three points, each second one a second part;
+    polygons are those of with_rings, some with a second square; some points are two."""
+    p = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    one = lambda *points: F.array(F.array(*points))
+    two, dot, line = F.col("id") % 20 == 19, F.col("geom_type") == "Point", F.col("geom_type") == "LineString"
+    near, square = F.col("id") % 50 == 5, (F.col("geom_type") == "Polygon") & (F.col("id") % 40 == 6)
+    path = F.array(F.array(p(0, 0), p(30, 40), p(60, F.col("id") % 50)))
+    parts = (
+        F.when(dot & near, F.array(one(p(0, 0)), one(p(7, 9))).cast(PARTS)).when(dot, F.array(one(p(0, 0))).cast(PARTS))
+        .when(line & two, F.array(path, one(p(100, 100), p(110, 120))).cast(PARTS)).when(line, F.array(path).cast(PARTS))
+        .when(square, F.array(F.col("rings"), one(p(200, 200), p(205, 200), p(205, 205), p(200, 205), p(200, 200))).cast(PARTS)).otherwise(F.array("rings").cast(PARTS))
+    )
+    kind = F.when((dot & near) | (line & two) | square, F.concat(F.lit("Multi"), "geom_type")).otherwise(F.col("geom_type"))
+    return with_rings(features).withColumns({"parts": parts, "kind": kind})

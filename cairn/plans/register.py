@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -10,12 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions import captions, jsonld, quality, spatial, text
+from cairn.functions import blobs, captions, jsonld, quality, spatial, text
 from cairn.functions.class_labels import class_labels, pairs
 from cairn.operators import clients, tables
 from cairn.sources import layers
+from cairn.sources.scratch import scratch
 
-from .fixtures import BODY, CLASS_SV, DISCLAIMER, GEO, NN, PLACING, REGIONS_SQL, URL_LINE_CLEAN, oracle, regions, view, with_rings
+from .fixtures import BODY, CLASS_SV, DISCLAIMER, GEO, NN, PLACING, REGIONS_SQL, URL_LINE_CLEAN, oracle, regions, view, with_parts, with_rings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,16 +65,10 @@ def layer_union(s, d):
     return layers.combine(parts).select("id", "inspireid", "layer")
 
 
-def _kept(s: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share."""
-    base = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("select id, geom_type, x, y, inspireid, sitename, layer from features where layer = 'PS_NationalMonuments_line'")
 def layer_round_trip(s, d):
     """Two layers saved to one table, one of them loaded again."""
-    f, path = view(s, d, "features"), _kept(s, "layers")
+    f, path = view(s, d, "features"), scratch(s, "layers")
     f = f.select(*[F.col(x.name).cast(x.dataType) if x.name in f.columns else F.lit(None).cast(x.dataType).alias(x.name) for x in layers.FEATURES])
     for n in ("PS_NationalMonuments_poly", "PS_NationalMonuments_line"):
         layers.save_layer(f.where(F.col("layer") == n).drop("layer"), path, n)
@@ -84,7 +78,7 @@ def layer_round_trip(s, d):
 @query("""select concat('{"id":', id, ',"sitename":', case when sitename is null then 'null' else concat('"', sitename, '"') end, ',"layer":"', layer, '"}') as line from features""")
 def results_json(s, d):
     """Results written as JSON lines, nulls included, and read again as text."""
-    path = _kept(s, "results")
+    path = scratch(s, "results")
     layers.save_results(view(s, d, "features").select("id", "sitename", "layer"), path)
     return s.read.text(path).select(F.col("value").alias("line"))
 
@@ -132,6 +126,72 @@ def wkb_points(s, d):
     return spatial.wkb_point(p).select("id", F.col("x").alias("longitude"), F.col("y").alias("latitude"))
 
 
+#: The vertices of the geometries of all kinds (fixtures.with_parts), one row each; kinds; each ring's segments.
+VERTICES = """vertices as (
+    select id, 1 as part, 1 as ring, 1 as n, x as px, y as py from features where geom_type = 'Point'
+    union all select id, 2, 1, 1, x + 7, y + 9 from features where geom_type = 'Point' and id % 50 = 5
+    union all select id, 1, 1, n, x + dx, y + case when n = 3 then id % 50 else dy end from features, (values (1, 0, 0), (2, 30, 40), (3, 60, 0)) as t(n, dx, dy) where geom_type = 'LineString'
+    union all select id, 2, 1, n, x + dx, y + dy from features, (values (1, 100, 100), (2, 110, 120)) as t(n, dx, dy) where geom_type = 'LineString' and id % 20 = 19
+    union all select id, 1, 1, n, x + dx * (10 + id % 90), y + dy * (10 + id % 70) from features, (values (1, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 1), (5, 0, 0)) as t(n, dx, dy) where geom_type = 'Polygon'
+    union all select id, 1, 2, n, x + 1 + dx * 2, y + 1 + dy * 3 from features, (values (1, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 1), (5, 0, 0)) as t(n, dx, dy) where geom_type = 'Polygon' and id % 30 = 7
+    union all select id, 2, 1, n, x + 200 + dx * 5, y + 200 + dy * 5 from features, (values (1, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 1), (5, 0, 0)) as t(n, dx, dy) where geom_type = 'Polygon' and id % 40 = 6),
+  kinds as (select id, layer, x, y, case when (geom_type = 'Point' and id % 50 = 5) or (geom_type = 'LineString' and id % 20 = 19) or (geom_type = 'Polygon' and id % 40 = 6) then concat('Multi', geom_type) else geom_type end as kind, geom_type from features),
+  sums as (select id, count(distinct part) as n_parts, count(*) as n_points, min(px) as minx, min(py) as miny, max(px) as maxx, max(py) as maxy from vertices group by id)"""
+PARTS_AREA = "case when geom_type = 'Polygon' then (10.0::double + id % 90) * (10 + id % 70) - case when id % 30 = 7 then 6 else 0 end + case when id % 40 = 6 then 25 else 0 end else 0 end"
+
+
+def _blobs(s: SparkSession, d: str) -> DataFrame:
+    """Features with their geometry as a blob: in turn with an envelope, without one, and big-endian; each nineteenth is cut."""
+    f = with_parts(view(s, d, "features"))
+    write = lambda **how: blobs.write_geometry(F.col("kind"), F.col("parts"), 3006, **how)
+    turn = F.col("id") % 3
+    return f.withColumn("geom", F.when(turn == 0, write(envelope=True)).when(turn == 1, write(envelope=False)).otherwise(write(envelope=False, big_endian=True)))
+
+
+@query(f"""with {VERTICES} select id, case when id % 19 <> 0 then kind end as kind, case when id % 19 <> 0 then 3006 end as srs_id, case when id % 19 <> 0 then n_parts end as n_parts, case when id % 19 <> 0 then n_points end as n_points,
+    case when id % 19 <> 0 then {PARTS_AREA} end as area, case when id % 19 <> 0 then minx end as minx, case when id % 19 <> 0 then miny end as miny, case when id % 19 <> 0 then maxx end as maxx, case when id % 19 <> 0 then maxy end as maxy from kinds join sums using (id)""")
+def geometry_blobs(s, d):
+    """Blobs of all kinds written and read again: kinds, areas and bounds; those that are cut short give null."""
+    b = _blobs(s, d).select("id", F.when(F.col("id") % 19 == 0, F.expr("substring(geom, 1, length(geom) - 5)")).otherwise(F.col("geom")).alias("geom"))
+    g = b.select("id", blobs.read_geometry(F.col("geom")).alias("g")).select("id", "g.*").withColumn("b", spatial.bounds(F.col("parts")))
+    n_points = F.when(F.col("parts").isNotNull(), F.size(F.flatten(F.flatten("parts"))).cast("bigint"))
+    n_parts = F.when(F.col("parts").isNotNull(), F.size("parts").cast("bigint"))
+    area = F.round(spatial.parts_area(F.col("geom_type"), F.col("parts")), 6)
+    return g.select("id", F.col("geom_type").alias("kind"), "srs_id", n_parts.alias("n_parts"), n_points.alias("n_points"), area.alias("area"), "b.minx", "b.miny", "b.maxx", "b.maxy")
+
+
+@query(f"with {VERTICES} select layer, kind, count(*) as \"rows\", sum(n_points)::bigint as n_points, round(sum({PARTS_AREA}), 6) as area, min(minx) as minx, max(maxy) as maxy from kinds join sums using (id) group by layer, kind")
+def blob_layers(s, d):
+    """All layers saved with their geometry as blobs, and each loaded by its name."""
+    path = scratch(s, "blob-layers")
+    f = _blobs(s, d).select("id", "geom", "layer")
+    names = ("PS_NationalMonuments_point", "PS_NationalMonuments_line", "PS_NationalMonuments_poly")
+    for n in names:
+        layers.save_layer(f.where(F.col("layer") == n).drop("layer"), path, n)
+    got = layers.combine({n: layers.load_layer(s, path, n, None).drop("layer") for n in names})
+    g = got.select("layer", blobs.read_geometry(F.col("geom")).alias("g")).select("layer", "g.*").withColumn("b", spatial.bounds(F.col("parts")))
+    area = F.round(F.sum(spatial.parts_area(F.col("geom_type"), F.col("parts"))), 6)
+    n_points = F.sum(F.size(F.flatten(F.flatten("parts"))))
+    return g.groupBy("layer", F.col("geom_type").alias("kind")).agg(F.count("*").alias("rows"), n_points.alias("n_points"), area.alias("area"), F.min("b.minx").alias("minx"), F.max("b.maxy").alias("maxy"))
+
+
+OWN_BOX = ("x - 20 + id % 97", "y - 20 + id % 83", "x - 20 + id % 97 + (id % 5) * 0.5", "y - 20 + id % 83 + (id % 7) * 0.5")
+
+
+@query(f"""with {VERTICES}, boxes as (select id, kind, x, y, {OWN_BOX[0]} as x0, {OWN_BOX[1]} as y0, ({OWN_BOX[2]})::double as x1, ({OWN_BOX[3]})::double as y1 from kinds),
+  edges as (select v.id, v.px as ax, v.py as ay, w.px as bx, w.py as by_, part from vertices v join vertices w using (id, part, ring) where w.n = v.n + 1 and v.ring = 1),
+  hits as (select id from vertices join boxes using (id) where px between x0 and x1 and py between y0 and y1
+    union select id from edges join boxes using (id) where least(ax, bx) <= x1 and greatest(ax, bx) >= x0 and least(ay, by_) <= y1 and greatest(ay, by_) >= y0
+      and (kind like '%Polygon' or not ((bx - ax) * (y0 - ay) - (by_ - ay) * (x0 - ax) > 0 and (bx - ax) * (y1 - ay) - (by_ - ay) * (x0 - ax) > 0 and (bx - ax) * (y0 - ay) - (by_ - ay) * (x1 - ax) > 0 and (bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax) > 0)
+       and not ((bx - ax) * (y0 - ay) - (by_ - ay) * (x0 - ax) < 0 and (bx - ax) * (y1 - ay) - (by_ - ay) * (x0 - ax) < 0 and (bx - ax) * (y0 - ay) - (by_ - ay) * (x1 - ax) < 0 and (bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax) < 0))
+    union select id from boxes where kind like '%Polygon' and x0 <= x + 10 + id % 90 and x1 >= x and y0 <= y + 10 + id % 70 and y1 >= y and not (id % 30 = 7 and x0 > x + 1 and x1 < x + 3 and y0 > y + 1 and y1 < y + 4))
+  select id, layer, kind from kinds where id in (select id from hits)""")
+def features_in_boxes(s, d):
+    """Features of all layers that meet a small box of their own: points, segments, polygons with holes."""
+    f = with_parts(view(s, d, "features"))
+    return f.where(spatial.meets_box(F.col("kind"), F.col("parts"), *[F.expr(b).cast("double") for b in OWN_BOX])).select("id", "layer", "kind")
+
+
 @query("""with v as (select 1 as pos, 'class' as c, class as value from sites union all select 2, 'location', location from sites union all select 3, 'damage_status', damage_status from sites), t as (select count(*) as total from sites),
     n as (select pos, c, value, count(*) as n from v where value is not null group by all),
     w as (select pos, c, sum(n)::bigint as filled, count(*) as kinds, string_agg(concat('{"value":"', value, '","count":', n, ',"percentage":', cast(round(100.0::double * n / total, 2) as varchar), '}'), ',' order by n desc, value) as vals from n, t group by pos, c)
@@ -340,7 +400,7 @@ def column_profile(s, d):
 
 @query("""select count(*) as source_total, count("generatedDescription") as matching, count("generatedDescription") as output_total, cast(0 as bigint) as violations from sites""")
 def subset_audit(s, d):
-    f, path = view(s, d, "sites"), _kept(s, "subset")
+    f, path = view(s, d, "sites"), scratch(s, "subset")
     layers.derive_table(f, F.col("generatedDescription").isNotNull(), path)
     out = s.read.parquet(path)  # what was written is what is judged
     a = f.agg(F.count("*").alias("source_total"), F.count("generatedDescription").alias("matching"))
@@ -682,7 +742,7 @@ def fetch_outcome(s, d):
     from (select *, substr(uuid, 1, 1) not in ('0', 'f') as ok from sites)""")
 def enrich_job(s, d):
     f = view(s, d, "sites")
-    got = clients.fetch_once(f, stub_fetch, "inspireid", "uuid", _kept(s, "fetched"), partitions=None, per_second=None).where("status = 'ok'")
+    got = clients.fetch_once(f, stub_fetch, "inspireid", "uuid", scratch(s, "fetched"), partitions=None, per_second=None).where("status = 'ok'")
     new = got.select("inspireid", jsonld.enrichment(F.col("body")).alias("e")).select("inspireid", "e.description", "e.itemTitle", "e.itemKeyword")
     return tables.keyed_update(f, new, "inspireid", ["description", "itemTitle", "itemKeyword"]).select("inspireid", "itemTitle", "description", "itemKeyword")
 
@@ -691,7 +751,7 @@ def enrich_job(s, d):
     select count(*) as total, count(*) filter (ok) as successful, count(*) filter (not ok) as failed, round(100.0::double * count(*) filter (ok) / count(*), 1) as success_rate, count(*) filter (ok) as titles, cast(0 as bigint) as keywords, cast(0 as bigint) as extraction_errors, count(*) filter (uuid like 'f%') as refused from r""")
 def enrich_counts(s, d):
     """What the enrichment job counts, over the bodies that it keeps: they are fetched once and read for both parts."""
-    got = clients.fetch_once(view(s, d, "sites"), stub_fetch, "inspireid", "uuid", _kept(s, "fetched"), partitions=None, per_second=None)
+    got = clients.fetch_once(view(s, d, "sites"), stub_fetch, "inspireid", "uuid", scratch(s, "fetched"), partitions=None, per_second=None)
     e = got.select("status", jsonld.enrichment(F.col("body")).alias("e")).select("status", "e.*")
     one = e.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "ok").alias("successful"), F.count_if(F.col("status") != "ok").alias("failed"), F.count("itemTitle").alias("titles"), F.count("itemKeyword").alias("keywords"), F.count_if(F.col("error")).alias("extraction_errors"), F.count_if(F.col("status") == "error").alias("refused"))
     return one.withColumn("success_rate", F.round(100 * F.try_divide("successful", "total"), 1))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import filesystem
+
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 #: The feature table; layer is its partition column.
 FEATURES = T.StructType(
@@ -15,9 +17,8 @@ FEATURES = T.StructType(
 
 
 def _there(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, at = filesystem(spark, path)
+    return fs.exists(at)
 
 
 def layers(df: DataFrame) -> DataFrame:
