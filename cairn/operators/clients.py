@@ -12,15 +12,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.sources.scratch import filesystem
+
+from .pace import Pace
+
 
 class TransientError(Exception):
     """A failure that is worth another attempt."""
 
 
-def call_with_retry(call: Callable, arg, attempts: int = 3, least: float = 4.0, most: float = 10.0, pause: Callable = time.sleep):
-    """(result, error): waits least to most seconds, doubling, between attempts at transient failures."""
+def call_with_retry(call: Callable, arg, attempts: int = 3, least: float = 4.0, most: float = 10.0, pause: Callable = time.sleep, slot: Callable | None = None):
+    """(result, error): waits least to most seconds, doubling, between attempts at transient failures; slot() goes before each."""
     for k in range(attempts):
         try:
+            if slot is not None:
+                slot()
             return call(arg), None
         except (TransientError, ConnectionError, TimeoutError) as e:
             if k + 1 == attempts:
@@ -33,22 +39,16 @@ def call_with_retry(call: Callable, arg, attempts: int = 3, least: float = 4.0,
 def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, partitions: int | None = 1, per_second: float | None = 5.0, **retry) -> DataFrame:
     """(key, status, body, error) for each request. status: ok, missing (no answer) or error.
 
-    Each of the partitions keeps its share of the rate. Without a rate, partitions may be None: the requests
-    stay where Spark has them."""
-    if per_second and not partitions:
-        raise ValueError("a rate needs a number of partitions")
-    gap = partitions / per_second if per_second else 0.0
+    As many requests as partitions are in flight at most; None leaves them where Spark has them. All share one
+    rate, every attempt counted: tasks lease their slots from the driver, so what some don't use others do."""
+    pace = Pace.of(requests.sparkSession, per_second) if per_second else None
 
     def run(batches):
-        ready = 0.0
+        lease = pace.leases() if pace else None
         for b in batches:
             out = []
             for k, a in zip(b["k"], b["a"]):
-                wait = ready - time.monotonic()
-                if wait > 0:
-                    time.sleep(wait)
-                ready = time.monotonic() + gap
-                body, error = (None, "no argument") if a is None else call_with_retry(client, a, **retry)
+                body, error = (None, "no argument") if a is None else call_with_retry(client, a, slot=lease, **retry)
                 out.append((k, "error" if error else "ok" if body is not None else "missing", body, error))
             yield pd.DataFrame(out, columns=["k", "status", "body", "error"])
 
@@ -63,6 +63,31 @@ def fetch_once(requests: DataFrame, client: Callable[[str], str | None], key: st
     return requests.sparkSession.read.parquet(path)
 
 
+def fetch_resumed(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, log: str, batch: int = 10_000, again: tuple[str, ...] = ("error",), **how) -> DataFrame:
+    """fetch with a log of answers at a path, to which each batch is appended: a run that was killed goes on where it stopped.
+
+    Before each batch the requests that the log has answered are left out, those but with a status in `again`, which
+    are asked once more by a new run. A task's answers are in the log as soon as the task is done, so only what was in flight
+    when a run was killed is asked twice. One row for each key: ok before missing before error. Batches are by a
+    hash of the key, about `batch` requests each; keys should be distinct, null ones are left out."""
+    spark = requests.sparkSession
+    asked = requests.where(F.col(key).isNotNull())
+    fs, at = filesystem(spark, log)
+    schema = f"`{key}` string, status string, body string, error string"
+    logged = lambda: spark.read.schema(schema).parquet(log) if fs.exists(at) else spark.createDataFrame([], schema)
+    answered = logged().where(~F.col("status").isin(*again)) if again else logged()
+    left = lambda df, done: df.join(done.select(F.col(key).alias("_done")), F.col(key).cast("string") == F.col("_done"), "left_anti")
+    waiting = left(asked, answered).count()
+    batches = max(1, -(-waiting // batch))
+    for n in range(batches if waiting else 0):
+        own = left(asked.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(batches)) == n), logged().where(~F.col("status").isin(*again)) if again else logged())
+        # the second algorithm moves a task's file to the table when the task commits
+        fetch(own, client, key, argument, **how).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("append").parquet(log)
+    rank = F.when(F.col("status") == "ok", 0).when(F.col("status") == "missing", 1).otherwise(2)
+    best = logged().groupBy(key).agg(F.min(F.struct(rank.alias("r"), "status", "body", "error")).alias("b"))
+    return best.select(key, "b.status", "b.body", "b.error")
+
+
 def fetch_batch(requests: DataFrame, client: Callable[[str], str | None], order: str, argument: str, **how) -> DataFrame:
     """fetch in the order of a number column; failed requests have a null body."""
     got = fetch(requests, client, order, argument, **how)

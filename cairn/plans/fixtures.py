@@ -79,7 +79,7 @@ VIEWS = {
             (
                 "body",
                 "case when k % 11 in (7, 8) then null when k % 11 = 9 then '{\"@graph\":[{\"@id\":\"http://example.org/other\",\"ksam:itemTitle\":\"x\"}]}' else concat("
-                f"'{{\"@graph\":[{{\"@id\":\"{SITE_PREFIX}', k, '\",\"ksam:itemTitle\":\"Site ', k, '\",\"ksam:itemClassName\":', case when k % 11 = 10 then '\"bare\"' else '{{\"@value\":\"Röse\"}}' end, "
+                f"'{{\"@graph\":[{{\"@id\":\"{SITE_PREFIX}', k, '\",\"ksam:itemTitle\":\"Site ', k, '\",\"ksam:itemClassName\":', case when k % 33 = 10 then 'null' when k % 33 = 21 then '\"{{bare\"' when k % 11 = 10 then '\"bare\"' else '{{\"@value\":\"Röse\"}}' end, "
                 "',\"ksam:itemDescription\":', case when k % 4 = 3 then '{\"@id\":\"#d1\"}' else '[{\"@id\":\"#d1\"},{\"@id\":\"#gone\"},{\"@id\":\"#d2\"}]' end, "
                 "',\"ksam:context\":{\"@id\":\"#c\"},\"ksam:itemNumber\":[{\"@id\":\"#n\"}],\"ksam:serviceOrganization\":{\"@value\":\"RAÄ\"},\"ksam:buildDate\":\"2025-01-0', k % 9 + 1, '\"', "
                 "case when k % 6 = 0 then ',\"ksam:itemKeyword\":[\"grav\",\"sten\"]' when k % 6 = 1 then ',\"ksam:itemKeyword\":[]' when k % 6 = 2 then ',\"ksam:itemKeyword\":\"ensam\"' when k % 6 = 3 then ',\"ksam:itemKeyword\":[{\"@value\":\"objekt\"}]' else '' end, "

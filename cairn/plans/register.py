@@ -14,6 +14,7 @@ from cairn.functions.class_labels import class_labels, pairs
 from cairn.operators import clients, tables
 from cairn.sources import layers
 from cairn.sources.scratch import scratch
+from cairn.sources.stored import StoredTable
 
 from .fixtures import BODY, CLASS_SV, DISCLAIMER, GEO, NN, PLACING, REGIONS_SQL, URL_LINE_CLEAN, oracle, regions, view, with_parts, with_rings
 
@@ -281,9 +282,9 @@ def class_translate(s, d):
 def entity_refs(s, d):
     f = view(s, d, "fetched").select("k", jsonld.graph(F.col("body")).alias("g"))
     f = f.withColumn("main", jsonld.main_entity(F.col("g")))
-    r = f.select("k", "g", F.explode(jsonld.refs(F.col("main")["ksam:itemDescription"])).alias("ref"))
+    r = f.select("k", "g", F.explode(jsonld.refs(F.col("main"), "ksam:itemDescription")).alias("ref"))
     hit = r.withColumn("e", jsonld.entity(F.col("g"), F.col("ref"))).where("e is not null")
-    return hit.select("k", "ref", jsonld.value(F.col("e")["ksam:desc"]).alias("content"))
+    return hit.select("k", "ref", jsonld.value(F.col("e"), "ksam:desc").alias("content"))
 
 
 @query(PLACED + " select region, id from placed")
@@ -302,7 +303,7 @@ def fallback_resolve(s, d):
     docs = view(s, d, "documentation").withColumn("main", jsonld.main_entity(jsonld.graph(F.col("body")), jsonld.DOC_PREFIX)).where("main is not null")
     other = ids.join(docs.select("doc_id", "main"), "doc_id").select("k", "main")
     both = direct.withColumn("source", F.lit("direct")).unionByName(other.withColumn("source", F.lit("documentation")))
-    pick = lambda n, default: F.coalesce(F.col("main")[n], F.col("main")[f"ksam:{n}"], F.lit(default)).alias(n)
+    pick = lambda n, default: F.coalesce(jsonld.plain(F.col("main"), n), jsonld.plain(F.col("main"), f"ksam:{n}"), F.lit(default)).alias(n)
     return both.select("k", "source", pick("itemLabel", "No label"), pick("itemTitle", "No title"))
 
 
@@ -489,7 +490,7 @@ def points_dedup(s, d):
 @query(f"select k, concat('{jsonld.SITE_PREFIX}', k) as main_id from fetched where {GOOD}")
 def main_entity(s, d):
     f = view(s, d, "fetched").withColumn("main", jsonld.main_entity(jsonld.graph(F.col("body")))).where("main is not null")
-    return f.select("k", F.col("main")["@id"].alias("main_id"))
+    return f.select("k", jsonld.plain(F.col("main"), "@id").alias("main_id"))
 
 
 @query("select inspireid, class from sites order by k limit 100")
@@ -757,6 +758,87 @@ def enrich_counts(s, d):
     return one.withColumn("success_rate", F.round(100 * F.try_divide("successful", "total"), 1))
 
 
+_tried: dict[str, int] = {}  # attempts of requests at hand, in each worker
+
+
+def stub_flaky(uuid: str) -> str | None:
+    """Busy at first for some, always for others; the rest as stub_fetch answers."""
+    n = _tried[uuid] = _tried.get(uuid, 0) + 1
+    if uuid[0] == "2" or uuid[0] == "1" and n % 3:
+        if n == 3:
+            del _tried[uuid]
+        raise clients.TransientError("busy")
+    _tried.pop(uuid, None)
+    return stub_fetch(uuid)
+
+
+@query("""select inspireid, case when uuid like '2%' or uuid like 'f%' then 'error' when uuid like '0%' then 'missing' else 'ok' end as status, case when uuid like '2%' then 'TransientError: busy' when uuid like 'f%' then 'ValueError: refused' end as error from sites""")
+def fetch_paced(s, d):
+    """Requests under one rate for all tasks, with retries: some answer the third time, some never."""
+    got = clients.fetch(view(s, d, "sites"), stub_flaky, "inspireid", "uuid", None, 100_000.0, least=0.0, most=0.0)
+    return got.select("inspireid", "status", "error")
+
+
+@query("""select inspireid, case when ok then concat('Site ', substr(uuid, 1, 4)) else "itemTitle" end as "itemTitle", case when ok then concat('Title: Site ', substr(uuid, 1, 4)) else description end as description, case when not ok then "itemKeyword" end as "itemKeyword"
+    from (select *, substr(uuid, 1, 1) not in ('0', 'f') as ok from sites)""")
+def enrich_resumed(s, d):
+    """The enrichment job over a stored table: a first run that ends early, a second that goes on with its log, and a merge by key."""
+    columns = ["itemTitle", "description", "itemKeyword"]
+    f, log = view(s, d, "sites"), scratch(s, "answers")
+    stored = StoredTable(s, scratch(s, "sites"))
+    stored.create(f.select("inspireid", *columns), "inspireid", 16)
+    half = f.where(F.substring("uuid", 2, 1) < "8")  # what the first run came to
+    clients.fetch_resumed(half, stub_fetch, "inspireid", "uuid", log, 100_000, partitions=None, per_second=None)
+    got = clients.fetch_resumed(f, stub_fetch, "inspireid", "uuid", log, 100_000, partitions=None, per_second=None).where("status = 'ok'")
+    new = got.select("inspireid", jsonld.enrichment(F.col("body")).alias("e")).select("inspireid", *[f"e.{c}" for c in columns])
+    stored.merge(new, columns)
+    return stored.read()
+
+
+@query("""select inspireid, case when k % 11 in (7, 8) then description when k % 11 in (9, 10) then null else concat('new ', k) end as description,
+    case when k % 11 in (7, 8) then "itemTitle" when k % 11 in (9, 10) then null else concat('Title ', k) end as "itemTitle" from sites""")
+def merge_stored(s, d):
+    """The keyed update of a stored table: matching rows are set, to null too; unknown and null keys do nothing."""
+    f = view(s, d, "sites")
+    stored = StoredTable(s, scratch(s, "sites"))
+    stored.create(f.select("inspireid", "description", "itemTitle"), "inspireid", 16)
+    new = f.where("k % 11 not in (7, 8)").selectExpr("inspireid", "case when k % 11 < 9 then concat('new ', k) end as description", "case when k % 11 < 9 then concat('Title ', k) end as itemTitle")
+    none = f.where("k % 100 = 0").selectExpr("case when k % 200 = 0 then concat('unknown/', k) end as inspireid", "'x' as description", "'x' as itemTitle")
+    stored.merge(new.unionByName(none), ["description", "itemTitle"])
+    return stored.read()
+
+
+def _parsed(sql: str, old: str) -> str:
+    return f"case when s.k % 31 <> 0 and s.k % 29 <> 0 then {sql} else {old} end".replace("k %", "s.k %").replace("s.s.k", "s.k").replace(", k,", ", s.k,").replace(", k)", ", s.k)")
+
+
+@query(f"""select s.inspireid, {_parsed(CLASS_SV, "s.class")} as class, {_parsed("'Skog'", "s.vegetation")} as vegetation, s.damage_status, {_parsed("concat('Site ', k)", "cast(null as varchar)")} as title,
+    {_parsed("concat('Lerum ', k, ':1')", "cast(null as varchar)")} as raa_number, {_parsed("concat('inga uppgifter ', k)", "cast(null as varchar)")} as rest, cast(null as varchar) as url from sites s""")
+def parsed_update(s, d):
+    """Columns parsed from descriptions, put into a stored table by key: those that a description has, where there is one. Absent columns are added first."""
+    stored = StoredTable(s, scratch(s, "parsed"))
+    stored.create(view(s, d, "sites").select("inspireid", "class", "vegetation", "damage_status"), "inspireid", 16)
+    columns = ["class", "vegetation", "title", "raa_number", "rest", "url"]
+    stored.add_columns({c: "string" for c in columns})
+    given = view(s, d, "descriptions").where("description <> ''").select("inspireid", text.block_columns(F.col("description")).alias("b"))
+    stored.merge(given.select("inspireid", *[f"b.{c}" for c in columns]), columns, only_present=True)
+    return stored.read()
+
+
+@query("""select inspireid, case when k % 11 = 0 then k * 10000000000 else k % 1000 end as n, case when k % 7 = 0 then k / 2.0::double end as score, cast(null as varchar) as note from sites""")
+def evolved_table(s, d):
+    """A stored table whose columns came and widened: files of three schemas read as one."""
+    f = view(s, d, "sites")
+    stored = StoredTable(s, scratch(s, "evolved"))
+    stored.create(f.selectExpr("inspireid", "cast(k % 1000 as int) as n"), "inspireid", 16)
+    stored.add_columns({"score": "double", "N": "string"})
+    stored.merge(f.where("k % 7 = 0").selectExpr("inspireid", "k / 2D as score"), ["score"])
+    stored.widen("n", "bigint")
+    stored.add_columns({"note": "string"})
+    stored.merge(f.where("k % 11 = 0").selectExpr("inspireid", "k * 10000000000 as n"), ["n"])
+    return stored.read()
+
+
 RECORD_LENGTH = len("\n    SOURCE DATA:\n    \n\n    YOUR INSTRUCTIONS:\n    \n    ") + len(captions.RECORD_ORDER) + sum(len(n) + len(": ,\n") for n in captions.RECORD_FIELDS)
 
 
