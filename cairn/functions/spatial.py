@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,49 @@ def to_metres(df: DataFrame, lon: str = "lon", lat: str = "lat", x: str = "x", y
     return df.withColumns({x: ARC * east + EAST0, y: ARC * north + NORTH0}).drop("_p", "_d", "_a", "_b")
 
 
+def metres(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """to_metres of arrays."""
+    p, d = np.radians(lat), np.radians(lon - MERIDIAN)
+    s = np.sin(p)
+    iso = p - s * np.cos(p) * sum(t * s ** (2 * k) for k, t in enumerate(TO_ISO))
+    a, b = np.arctan(np.tan(iso) / np.cos(d)), np.arctanh(np.cos(iso) * np.sin(d))
+    north = a + sum(t * np.sin(2 * k * a) * np.cosh(2 * k * b) for k, t in enumerate(FORWARD, 1))
+    east = b + sum(t * np.cos(2 * k * a) * np.sinh(2 * k * b) for k, t in enumerate(FORWARD, 1))
+    return ARC * east + EAST0, ARC * north + NORTH0
+
+
+def degrees(x: Column, y: Column) -> Column:
+    """struct(lon, lat) of metres, as to_wgs84 has them, by an Arrow function.
+
+    For rows that are filtered by their degrees at once: Spark would write the whole series anew into each
+    comparison, and into the join below, in methods too large to be compiled."""
+
+    @F.arrow_udf("struct<lon:double,lat:double>")
+    def of(px: pa.Array, py: pa.Array) -> pa.Array:
+        u, v = ((np.asarray(c.cast(pa.float64()).fill_null(np.nan)) - o) / ARC for c, o in ((py, NORTH0), (px, EAST0)))
+        a = u - sum(t * np.sin(2 * k * u) * np.cosh(2 * k * v) for k, t in enumerate(INVERSE, 1))
+        b = v - sum(t * np.cos(2 * k * u) * np.sinh(2 * k * v) for k, t in enumerate(INVERSE, 1))
+        p = np.arcsin(np.sin(a) / np.cosh(b))
+        s = np.sin(p)
+        lat = p + s * np.cos(p) * sum(t * s ** (2 * k) for k, t in enumerate(FROM_ISO))
+        return pa.StructArray.from_arrays([pa.array(MERIDIAN + np.degrees(np.arctan(np.sinh(b) / np.cos(a)))), pa.array(np.degrees(lat))], ["lon", "lat"])
+
+    return of(x, y)
+
+
+def metre_box(minx: np.ndarray, miny: np.ndarray, maxx: np.ndarray, maxy: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(minx, miny, maxx, maxy) in metres of boxes that hold boxes in degrees.
+
+    The edges, which bend in metres, are sampled, and the margin is more than what lies between two samples."""
+    t = np.linspace(0, 1, 33)
+    x, y = minx[:, None] + (maxx - minx)[:, None] * t, miny[:, None] + (maxy - miny)[:, None] * t
+    whole = lambda v: np.broadcast_to(v[:, None], x.shape)
+    east, north = metres(np.concatenate((x, x, whole(minx), whole(maxx)), 1), np.concatenate((whole(miny), whole(maxy), y, y), 1))
+    x0, x1, y0, y1 = east.min(1), east.max(1), north.min(1), north.max(1)
+    mx, my = (x1 - x0) * 0.02 + 1000, (y1 - y0) * 0.02 + 1000
+    return x0 - mx, y0 - my, x1 + mx, y1 + my
+
+
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))
     return 2 * EARTH_KM * F.asin(F.sqrt(a))
@@ -80,9 +124,9 @@ def within_km(df: DataFrame, lon0: float, lat0: float, km: float, x: str = "x",
     """Rows within km of a centre given in degrees, with lon, lat and distance_km.
 
     A box in metres with a margin of 2 % goes first: it reaches the Parquet scan, the distance can't."""
-    centre = to_metres(df.sparkSession.createDataFrame([(lon0, lat0)], "lon double, lat double")).first()
+    east, north = (float(v) for v in metres(np.float64(lon0), np.float64(lat0)))
     r = km * 1000 * 1.02 + 50
-    near = df.where(in_box(F.col(x), F.col(y), centre["x"] - r, centre["y"] - r, centre["x"] + r, centre["y"] + r))
+    near = df.where(in_box(F.col(x), F.col(y), east - r, north - r, east + r, north + r))
     near = to_wgs84(near, x, y).withColumn("distance_km", haversine_km(F.lit(lon0), F.lit(lat0), F.col("lon"), F.col("lat")))
     return near.where(F.col("distance_km") <= km)
 

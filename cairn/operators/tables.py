@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.spatial import in_box, polygon_area
+from cairn.functions.spatial import degrees, in_box, metre_box, polygon_area
 
-REGION_LIMIT = 100  # regions up to which a range join broadcasts them; more go by grid cells
-CELL = 0.5  # degrees
+REGION_LIMIT = 100  # regions up to which a range join broadcasts them; more go by a quadtree's leaves
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str) -> DataFrame:
@@ -28,23 +29,121 @@ def keyed_update(df: DataFrame, changes: DataFrame, key: str, columns: list[str]
     return joined.select(*[F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def region_join(points: DataFrame, regions: DataFrame, x: str = "lon", y: str = "lat") -> DataFrame:
+class Leaves:
+    """A quadtree's leaves, laid out by a sample of points: each holds about the same number of them.
+
+    A leaf is a stretch of the curve that goes through all cells of 2^DEPTH by 2^DEPTH, quarter by quarter. Places
+    beyond the sample's bounds belong to the cells at its edge, so every point has one leaf."""
+
+    DEPTH = 20
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, most: int = 4096):
+        self.low = np.array([x.min(), y.min()]) if len(x) else np.zeros(2)
+        size = np.array([np.ptp(x), np.ptp(y)]) if len(x) else np.zeros(2)
+        self.scale = (2**self.DEPTH - 1) / np.where(size > 0, size, 1.0)
+        codes = np.sort(self.code(*self.cell(x, y)))
+        full = max(1, 4 * len(codes) // most)  # points of the sample from which on a leaf is split
+        starts, todo = [], [(0, 0)]
+        while todo:
+            start, depth = todo.pop()
+            width = 4 ** (self.DEPTH - depth)
+            n = np.searchsorted(codes, start + width) - np.searchsorted(codes, start)
+            if n > full and depth < self.DEPTH:
+                todo += [(start + k * (width // 4), depth + 1) for k in range(4)]
+            else:
+                starts.append((start, depth))
+        starts.sort()
+        self.starts = np.array([s for s, _ in starts], np.int64)
+        at, width = self.place(self.starts), 2 ** (self.DEPTH - np.array([d for _, d in starts], np.int64))
+        self.least, self.last = at, at + width - 1
+
+    def cell(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.clip(np.floor((v - lo) * k), 0, 2**self.DEPTH - 1).astype(np.int64) for v, lo, k in zip((x, y), self.low, self.scale))
+
+    @classmethod
+    def code(cls, cx: np.ndarray, cy: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(cx), np.int64)
+        for k in range(cls.DEPTH):
+            out |= ((cx >> k & 1) << (2 * k)) | ((cy >> k & 1) << (2 * k + 1))
+        return out
+
+    @classmethod
+    def place(cls, codes: np.ndarray) -> np.ndarray:
+        out = np.zeros((2, len(codes)), np.int64)
+        for k in range(cls.DEPTH):
+            out[0] |= (codes >> (2 * k) & 1) << k
+            out[1] |= (codes >> (2 * k + 1) & 1) << k
+        return out
+
+    def of_points(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, self.code(*self.cell(x, y)), "right") - 1
+
+    def of_box(self, minx: float, miny: float, maxx: float, maxy: float) -> np.ndarray:
+        (x0, x1), (y0, y1) = self.cell(np.array([minx, maxx]), np.array([miny, maxy]))
+        return np.flatnonzero((self.least[0] <= x1) & (self.last[0] >= x0) & (self.least[1] <= y1) & (self.last[1] >= y0))
+
+
+def leaves(points: DataFrame, x: str, y: str, sample: int = 100_000, most: int = 4096) -> Leaves:
+    """Leaves by about `sample` points, which with the leaves are all that the driver holds."""
+    n = points.count()
+    some = points.select(F.col(x).cast("double"), F.col(y).cast("double")).where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y))
+    got = (some if n <= sample else some.sample(False, sample / n, 7)).limit(2 * sample).toPandas()
+    return Leaves(got.iloc[:, 0].to_numpy(float), got.iloc[:, 1].to_numpy(float), most)
+
+
+def region_join(points: DataFrame, regions: DataFrame, x: str = "lon", y: str = "lat", tree: Leaves | None = None) -> DataFrame:
     """Points with each region whose box holds them, edges included.
 
-    Few regions are broadcast, after they have been counted. Many are cut into grid cells, and points meet
-    them by cell, so neither side is broadcast."""
+    Few regions are broadcast, after they have been counted. Many are joined by the leaves of a quadtree: a point has
+    one leaf, a region those that its box meets, and leaves hold alike many points, so a crowded place is many keys
+    and an empty stretch few. A place with very many points at one spot is a leaf that Spark can split."""
     box = in_box(F.col(x), F.col(y), F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
-    if regions.limit(REGION_LIMIT + 1).count() <= REGION_LIMIT:
+    if tree is None and regions.limit(REGION_LIMIT + 1).count() <= REGION_LIMIT:
         return points.join(F.broadcast(regions), box)
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.col(b) / CELL)))
-    cells = regions.withColumn("_cx", span("minx", "maxx")).withColumn("_cy", span("miny", "maxy"))
-    placed = points.withColumns({"_cx": F.floor(F.col(x) / CELL), "_cy": F.floor(F.col(y) / CELL)})
-    return placed.join(cells, ["_cx", "_cy"]).where(box).drop("_cx", "_cy")
+    grown = tree or leaves(points, x, y)
 
+    @F.arrow_udf("int")
+    def of_point(px: pa.Array, py: pa.Array) -> pa.Array:
+        a, b = (np.asarray(v.cast(pa.float64()).fill_null(np.nan)) for v in (px, py))
+        known = ~(np.isnan(a) | np.isnan(b))
+        return pa.array(grown.of_points(np.where(known, a, 0.0), np.where(known, b, 0.0)).astype(np.int32), mask=~known)
 
-def region_counts(points: DataFrame, regions: DataFrame, name: str = "sitename", x: str = "lon", y: str = "lat") -> DataFrame:
-    """(region, total, named) of every region, empty ones with 0. Counts first, then the few rows are joined."""
-    found = region_join(points, regions, x, y).groupBy("region").agg(F.count("*").alias("total"), F.count(name).alias("named"))
+    @F.arrow_udf("array<int>")
+    def of_box(*edges: pa.Array) -> pa.Array:
+        rows = zip(*[e.to_pylist() for e in edges])
+        return pa.array([[] if None in r or r[0] > r[2] or r[1] > r[3] else grown.of_box(*r).tolist() for r in rows], pa.list_(pa.int32()))
+
+    cells = regions.withColumn("_leaf", F.explode(of_box("minx", "miny", "maxx", "maxy")))
+    return points.withColumn("_leaf", of_point(x, y)).join(cells, "_leaf").where(box).drop("_leaf")
+
+
+def metre_boxes(regions: DataFrame) -> DataFrame:
+    """regions, boxes in degrees, with a box in metres around each one: _x0, _y0, _x1, _y1."""
+
+    @F.arrow_udf("struct<_x0:double,_y0:double,_x1:double,_y1:double>")
+    def around(*edges: pa.Array) -> pa.Array:
+        found = metre_box(*[np.asarray(e.cast(pa.float64()).fill_null(np.nan)) for e in edges])
+        return pa.StructArray.from_arrays([pa.array(v, from_pandas=True) for v in found], ["_x0", "_y0", "_x1", "_y1"])
+
+    return regions.withColumn("_box", around("minx", "miny", "maxx", "maxy")).select(*regions.columns, "_box.*")
+
+
+def degree_region_join(points: DataFrame, regions: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """region_join of points in metres with boxes in degrees: points with lon, lat and each region that holds them.
+
+    A box in metres goes first, so only points near a region are projected; the exact test follows."""
+    placed = metre_boxes(regions).withColumnsRenamed({"minx": "_minx", "miny": "_miny", "maxx": "_maxx", "maxy": "_maxy", "_x0": "minx", "_y0": "miny", "_x1": "maxx", "_y1": "maxy"})
+    near = region_join(points, placed, x, y).drop("minx", "miny", "maxx", "maxy").withColumn("_at", degrees(F.col(x), F.col(y)))
+    near = near.withColumns({"lon": F.col("_at.lon"), "lat": F.col("_at.lat")}).drop("_at")
+    found = near.where(in_box(F.col("lon"), F.col("lat"), F.col("_minx"), F.col("_miny"), F.col("_maxx"), F.col("_maxy")))
+    return found.withColumnsRenamed({"_minx": "minx", "_miny": "miny", "_maxx": "maxx", "_maxy": "maxy"})
+
+
+def region_counts(points: DataFrame, regions: DataFrame, name: str = "sitename", joined: DataFrame | None = None) -> DataFrame:
+    """(region, total, named) of every region, empty ones with 0. Counts first, then the few rows are joined.
+
+    joined: points with their regions, in place of region_join's by lon and lat."""
+    found = (region_join(points, regions) if joined is None else joined).groupBy("region").agg(F.count("*").alias("total"), F.count(name).alias("named"))
     return regions.select("region").join(found, "region", "left").select("region", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("named", F.lit(0)).alias("named"))
 
 

@@ -289,7 +289,7 @@ def entity_refs(s, d):
 
 @query(PLACED + " select region, id from placed")
 def region_join(s, d):
-    return tables.region_join(_placed(s, d), regions(s)).select("region", "id")
+    return tables.degree_region_join(view(s, d, "points"), regions(s)).select("region", "id")
 
 
 @query("""select k, case when k % 11 < 7 or k % 11 = 10 then 'direct' else 'documentation' end as source, case when k % 11 < 7 or k % 11 = 10 then 'No label' else concat('Record ', k) end as "itemLabel",
@@ -373,7 +373,8 @@ def named_share(s, d):
 
 @query(PLACED + " select r.region, count(p.id) as total, count(p.sitename) as named from regions r left join placed p on p.region = r.region group by r.region")
 def region_counts(s, d):
-    return tables.region_counts(_placed(s, d), regions(s))
+    p = view(s, d, "points")
+    return tables.region_counts(p, regions(s), joined=tables.degree_region_join(p, regions(s)))
 
 
 @query('select count(*) as total, count(description) as description, count("itemTitle") as "itemTitle", count("itemKeyword") as "itemKeyword", round(100.0::double * count("itemKeyword") / count(*), 1) as keyword_share from sites')
@@ -477,7 +478,7 @@ def top3_per_column(s, d):
 
 @query(PLACED + " select region, id, sitename, nth from (select region, id, sitename, cast(row_number() over (partition by region order by id) as bigint) as nth from placed where sitename is not null) where nth <= 3")
 def region_samples(s, d):
-    named = tables.region_join(_placed(s, d).where("sitename is not null"), regions(s))
+    named = tables.degree_region_join(view(s, d, "points").where("sitename is not null"), regions(s))
     return tables.first_per(named, ["region"], ["id"], 3).select("region", "id", "sitename", F.col("nth").cast("bigint").alias("nth"))
 
 

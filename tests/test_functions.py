@@ -2,11 +2,13 @@
 
 import json
 import os
+import random
 import socket
 import struct
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,6 +287,57 @@ def test_wkb(spark):
     assert [tuple(r) for r in spatial.wkb_point(df).select("x", "y").collect()] == [(1.5, 2.5), (3.0, 4.0), (5.0, 6.0), (None, None), (None, None), (None, None)]
 
 
+def test_leaves_are_even(spark):
+    """Nine tenths of the points in one city: no task of a join by leaves has over three times the median's rows."""
+    city = spark.range(90_000).select((F.randn(1) * 0.01 + 18.0).alias("lon"), (F.randn(2) * 0.01 + 59.3).alias("lat"))
+    land = spark.range(10_000).select((F.rand(3) * 12 + 11).alias("lon"), (F.rand(4) * 13 + 55).alias("lat"))
+    tree = tables.leaves(city.unionByName(land), "lon", "lat", sample=20_000)
+    xy = city.unionByName(land).toPandas()
+    leaf = tree.of_points(xy["lon"].to_numpy(), xy["lat"].to_numpy())
+    tasks = spark.createDataFrame([(int(x),) for x in leaf], "leaf int").groupBy(F.pmod(F.hash("leaf"), F.lit(64))).count().toPandas()["count"]
+    assert len(tree.starts) < 8192 and len(tasks) == 64 and tasks.max() <= 3 * tasks.median()
+    boxes = [(x, y, x + w, y + w) for x, y, w in [(17.99, 59.29, 0.001), (11.0, 55.0, 0.001), (10.0, 50.0, 30.0)]]
+    assert [len(tree.of_box(*b)) for b in boxes][2] == len(tree.starts) and len(tree.of_box(*boxes[1])) <= 4
+
+
+def test_region_join_by_leaves(spark):
+    """Many boxes, small, large, empty, alike and beyond the points, against all pairs."""
+    rnd = random.Random(5)
+    spots = [(i, *((rnd.gauss(18, 0.01), rnd.gauss(59.3, 0.01)) if i % 3 else (rnd.uniform(11, 23), rnd.uniform(55, 68)))) for i in range(900)]
+    spots += [(900 + i, 18.0, 59.25) for i in range(300)] + [(2000, None, 59.0), (2001, float("nan"), 59.0), (2002, 18.0, None)]
+    boxes = []
+    for k in range(300):
+        i, x, y = spots[rnd.randrange(900)]
+        w, h = rnd.choice([0, 0.001, 0.05, 3.0]), rnd.choice([0, 0.002, 0.05, 9.0])
+        boxes.append((f"r{k}", x, y, x + w, y + h))
+    boxes += [boxes[0], ("far", 100.0, 0.0, 120.0, 10.0), ("all", -180.0, -90.0, 180.0, 90.0), ("turned", 19.0, 60.0, 17.0, 50.0), ("none", None, 50.0, 60.0, 70.0)]
+    points = spark.createDataFrame(spots, "id int, lon double, lat double")
+    regions = spark.createDataFrame(boxes, "region string, minx double, miny double, maxx double, maxy double")
+    got = sorted(map(tuple, tables.region_join(points, regions).select("region", "id").collect()))
+    want = sorted((r, i) for r, a, b, c, d in boxes if a is not None for i, x, y in spots if None not in (x, y) and x == x and a <= x <= c and b <= y <= d)
+    assert got == want and len(got) > 5000
+
+
+def test_projection_by_arrays(spark):
+    df = spark.createDataFrame([(float(x), float(y)) for x in range(200_000, 900_000, 90_001) for y in range(6_100_000, 7_700_000, 200_003)] + [(None, 1.0)], "x double, y double")
+    got = spatial.to_wgs84(df).withColumn("d", spatial.degrees(F.col("x"), F.col("y"))).collect()
+    assert all(abs(r["lon"] - r["d"]["lon"]) < 1e-12 and abs(r["lat"] - r["d"]["lat"]) < 1e-12 for r in got if r["x"] is not None)
+    x, y = spatial.metres(*(np.array([r[c] for r in got[:-1]]) for c in ("lon", "lat")))
+    assert max(abs(x - [r["x"] for r in got[:-1]])) < 1e-3 and max(abs(y - [r["y"] for r in got[:-1]])) < 1e-3
+
+
+def test_metre_boxes_hold_their_regions(spark):
+    """Boxes across the middle meridian, wide and high ones: points on and within the edges are within the metres."""
+    boxes = [(-5.0, 40.0, 33.0, 71.0), (11.5, 57.5, 12.5, 58.5), (14.0, 60.0, 16.0, 61.0), (15.0, 55.0, 15.0, 56.0), (8.0, 0.0, 22.0, 5.0), (17.0, 59.7, 18.0, 60.2)]
+    regions = spark.createDataFrame([(str(k), *b) for k, b in enumerate(boxes * 2)], "region string, minx double, miny double, maxx double, maxy double")
+    held = tables.metre_boxes(regions)
+    assert held.count() == 12
+    t = spark.range(0, 61).select((F.col("id") / 60).alias("t"))
+    spots = regions.crossJoin(t).crossJoin(t.withColumnRenamed("t", "u")).withColumns({"lon": F.expr("minx + (maxx - minx) * t"), "lat": F.expr("miny + (maxy - miny) * u")})
+    spots = spatial.to_metres(spots.select("region", "lon", "lat")).join(held.select("region", "_x0", "_y0", "_x1", "_y1"), "region")
+    assert spots.where("not (x between _x0 and _x1 and y between _y0 and _y1)").count() == 0
+
+
 def test_region_join_by_cells(spark, monkeypatch):
     pts = spark.createDataFrame([(i, 10 + i % 13 * 0.37, 55 + i % 7 * 0.61, "n" if i % 3 else None) for i in range(200)], "id int, lon double, lat double, sitename string")
     regs = spark.createDataFrame([("a", 10.0, 55.0, 11.5, 57.0), ("b", 11.0, 56.0, 14.0, 58.0), ("none", 1.0, 1.0, 2.0, 2.0)], "region string, minx double, miny double, maxx double, maxy double")
