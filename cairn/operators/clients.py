@@ -9,7 +9,8 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.sources.scratch import filesystem
@@ -98,3 +99,17 @@ def generate(prompts: DataFrame, client: Callable[[str], str], key: str, prompt:
     """(key, reply, error) of a text model for each prompt; at_once partitions are in flight, or as many as Spark has."""
     got = fetch(prompts, client, key, prompt, at_once, None, **retry)
     return got.select(key, F.col("body").alias("reply"), F.when(F.col("status") == "missing", "no response").otherwise(F.col("error")).alias("error"))
+
+
+def reply(client: Callable[[str], str], prompt: Column, **retry) -> Column:
+    """struct(reply, error) of a text model for each row's prompt, null for a null one; the row stays as it is, so nothing is joined back.
+
+    Asked once for each row, however often the column is named."""
+
+    @F.arrow_udf("struct<reply:string,error:string>")
+    def ask(prompts: pa.Array) -> pa.Array:
+        got = [(None, None) if p is None else call_with_retry(client, p, **retry) for p in prompts.to_pylist()]
+        rows = [None if p is None else {"reply": r, "error": e if e or r is not None else "no response"} for p, (r, e) in zip(prompts.to_pylist(), got)]
+        return pa.array(rows, pa.struct([("reply", pa.string()), ("error", pa.string())]))
+
+    return ask.asNondeterministic()(prompt)

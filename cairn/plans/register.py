@@ -724,9 +724,9 @@ def stub_describe(prompt: str) -> str:
 def score_sites(s, d):
     """The result row of each site with a description: caption by the client, scores and quality signals; missing and failed ones as the rules say."""
     f = _inputs(s, d).where(F.col("description").isNotNull() & (F.col("description") != ""))
-    asked = f.where("given <> ''").select("k", captions.text_prompt(F.col("given")).alias("prompt"))
-    replies = clients.generate(asked, stub_describe, "k", "prompt", None).select(F.col("k").cast("bigint").alias("k"), captions.flat_caption(F.col("reply")).alias("reply"), F.regexp_replace("error", "^[A-Za-z]+: ", "").alias("error"))
-    return quality.result_rows(f.join(replies, "k", "left"))
+    asked = f.withColumn("_r", clients.reply(stub_describe, F.when(F.col("given") != "", captions.text_prompt(F.col("given")))))
+    replies = asked.withColumns({"reply": captions.flat_caption(F.col("_r.reply")), "error": F.regexp_replace("_r.error", "^[A-Za-z]+: ", "")}).drop("_r")
+    return quality.result_rows(replies)
 
 
 @query("""select k, case when substr(uuid, 1, 1) not in ('0', 'f') then concat('{"@graph":[{"@id":"http://kulturarvsdata.se/raa/lamning/', uuid, '","ksam:itemTitle":"Site ', substr(uuid, 1, 4), '"}]}') end as body from sites where k % 5 = 0""")

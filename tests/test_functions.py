@@ -486,6 +486,17 @@ def test_slots():
     pace.close()
 
 
+def test_replies_stay_with_their_rows(spark):
+    def client(p):
+        if p == "bad":
+            raise ValueError(p)
+        return None if p == "none" else p.upper()
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "none"), (4, None), (1, "a")], "k int, p string")
+    got = df.withColumn("r", clients.reply(client, F.col("p"))).select("k", "r.reply", "r.error").collect()
+    assert [tuple(r) for r in got] == [(1, "A", None), (2, None, "ValueError: bad"), (3, None, "no response"), (4, None, None), (1, "A", None)]
+
+
 def test_fetch_resumed(spark, tmp_path):
     """A run that is killed half-way goes on: what the log has is asked once, failures once more by each run."""
     n, log, calls = 120, f"file://{tmp_path}/log", tmp_path / "calls"
