@@ -11,13 +11,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 PHRASE = 13
 SHARD_WORDS = 1 << 18  # words that one index holds
 SAMPLE = 8  # every so many positions, and each run's start, is kept for locating
-ITEM_BYTES = 4 << 20  # benchmark text sent to the workers at once; more goes in further passes
+ITEM_BYTES = 4 << 20  # benchmark text in one block: some 100 MB in a worker, with words and windows
+AT_ONCE = 2  # blocks that a pass over the documents takes along; more go in further passes
 #: A-Z to lower case; other ASCII that is no letter or digit to a space; the rest stays.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -195,15 +199,76 @@ def hits(bodies: list[bytes], phrases: Phrases) -> list[tuple[int, list[tuple[in
 SCHEMA = "doc_id bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
 
 
-def _pass(docs: DataFrame, items: list[tuple[str, bytes]], phrase: int) -> DataFrame:
-    """docs: doc_id, body and columns that are passed on."""
+def _pieces(item_bytes: int, phrase: int):
+    """Items of over item_bytes in pieces that share phrase - 1 words, so that each window lies in one."""
+
+    def run(batches):
+        for batch in batches:
+            names, bodies = [], []
+            for name, body in zip(batch["item"].to_pylist(), batch["body"].to_pylist()):
+                if len(body) <= item_bytes:
+                    names.append(name)
+                    bodies.append(body)
+                    continue
+                ws = words(body)
+                ends = np.cumsum([len(w) + 1 for w in ws])
+                lo = 0
+                while lo == 0 or lo + phrase - 1 < len(ws):
+                    hi = max(lo + phrase, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + item_bytes, "right")))
+                    names.append(name)
+                    bodies.append(b" ".join(ws[lo:hi]))
+                    lo = hi - phrase + 1
+                    if len(bodies) > 16:
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary())], ["item", "body"])
+                        names, bodies = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary())], ["item", "body"])
+
+    return run
+
+
+def join_spans(rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans [start, end) of rows, those that meet or overlap as one; by row and start."""
+    order = np.lexsort((start, rows))
+    rows, start, end = rows[order], start[order].astype(np.int64), end[order].astype(np.int64)
+    far = int(end.max()) + 1 if len(end) else 1
+    reach = np.maximum.accumulate(end + rows * far)
+    new = np.ones(len(rows), bool)
+    new[1:] = start[1:] + rows[1:] * far > reach[:-1]
+    lead = np.flatnonzero(new)
+    last = np.append(lead[1:], len(rows)) - 1 if len(lead) else lead
+    return rows[lead], start[lead], reach[last] - rows[lead] * far
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _span_lists(n: int, rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    rows, start, end = join_spans(rows, start, end)
+    edges = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=n))))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["start", "end"]))
+
+
+def merged_spans(lists: Column) -> Column:
+    """Of each row's lists of spans, those that meet or overlap as one."""
+
+    @F.arrow_udf("array<struct<start:int,end:int>>")
+    def merge(col: pa.Array) -> pa.Array:
+        inner = col.flatten()
+        spans = inner.flatten()
+        rows = np.repeat(np.repeat(np.arange(len(col)), pc.list_value_length(col).fill_null(0)), pc.list_value_length(inner).fill_null(0))
+        return _span_lists(len(col), rows, np.asarray(spans.field("start")), np.asarray(spans.field("end")))
+
+    return merge(lists)
+
+
+def _pass(docs: DataFrame, blocks: list[list[tuple[str, bytes]]], phrase: int) -> DataFrame:
+    """docs: doc_id, body and columns that are passed on. Each batch of documents meets all blocks of items."""
     kept = [c for c in docs.columns if c not in ("doc_id", "body")]
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in kept)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    shared = docs.sparkSession.sparkContext.broadcast(blocks)
 
     def run(batches):
-        known = Phrases(shared.value, phrase)
+        known = [Phrases(x, phrase) for x in shared.value]
         for batch in batches:
             ids, bodies = batch["doc_id"], batch["body"].to_pylist()
             lo = 0
@@ -212,41 +277,45 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], phrase: int) -> DataF
                 while hi < len(bodies) and (hi == lo or size + len(bodies[hi]) <= 8 << 20):
                     size += len(bodies[hi])
                     hi += 1
-                out = hits(bodies[lo:hi], known)
-                spans = [[{"start": a, "end": b} for a, b in x[1]] for x in out]
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([x[0] for x in out], pa.int64()), pa.array(spans, kind), pa.array([[known.names[k] for k in x[2]] for x in out], pa.list_(pa.string())), *[batch[c].slice(lo, hi - lo) for c in kept]], ["doc_id", "n_words", "spans", "items", *kept])
+                found = [hits(bodies[lo:hi], x) for x in known]
+                flat = np.array([(k, a, b) for one in found for k, x in enumerate(one) for a, b in x[1]], np.int64).reshape(-1, 3)
+                items = [sorted({x.names[i] for x, one in zip(known, found) for i in one[k][2]}) for k in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([x[0] for x in found[0]], pa.int64()), _span_lists(hi - lo, *flat.T), pa.array(items, pa.list_(pa.string())), *[batch[c].slice(lo, hi - lo) for c in kept]], ["doc_id", "n_words", "spans", "items", *kept])
                 lo = hi
 
     return docs.mapInArrow(run, SCHEMA + kinds)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, phrase: int = PHRASE, item_bytes: int = ITEM_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, phrase: int = PHRASE, item_bytes: int = ITEM_BYTES, at_once: int = AT_ONCE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, spans in words, items, then the columns in keep) of every document.
 
-    The benchmark is measured first. Up to item_bytes of it go to the workers in one pass without any
-    shuffle; a larger one goes in several blocks, whose hits are merged by document. Null and empty texts
-    have no words; items without words match nothing; an item_id that is null counts as ''; repeated
-    item rows count once; rows with the same doc_id stay as many rows."""
+    Repeated item rows count once, longer items are cut into pieces with an overlap, and what is left is measured.
+    Blocks of about item_bytes go to the workers, at_once of them in one pass without any shuffle; a larger
+    benchmark takes several passes, whose hits are merged by document. Null and empty texts have no words; items
+    without words match nothing; an item_id that is null counts as ''; rows with the same doc_id stay as many
+    rows, and of items with equal texts each is named. Empty tables give no rows, or rows without hits; other
+    columns are read only if they are kept, whatever their names."""
     bench = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(f"`{item_text_col}`").cast("string"), F.lit("")).cast("binary").alias("body"))
+    bench = staged(bench.distinct().mapInArrow(_pieces(item_bytes, phrase), "item string, body binary"), "benchmark")
     size = bench.agg(F.sum(F.octet_length("body") + F.octet_length("item") + 16).alias("n")).first()["n"] or 0
     n = max(1, -(-size // item_bytes))
     keep = keep or []
     kept = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)]
     plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("body"), *kept)
     named = [F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)]
-    if n == 1:
-        found = _pass(plain, [(r["item"], bytes(r["body"])) for r in bench.collect()], phrase)
-        return found.select("doc_id", "n_words", "spans", "items", *named)
     bench = bench.withColumn("part", F.pmod(F.xxhash64("item", "body"), F.lit(n)))
+    block = lambda k: [(r["item"], bytes(r["body"])) for r in bench.where(F.col("part") == k).collect()]
+    if n <= at_once:
+        found = _pass(plain, [block(k) for k in range(n)], phrase)
+        return found.select("doc_id", "n_words", "spans", "items", *named)
     plain = plain.withColumn("sha", F.sha2("body", 256))
     once = plain.select("doc_id", "sha", "body")
     parts = None
-    for k in range(n):
-        found = _pass(once, [(r["item"], bytes(r["body"])) for r in bench.where(F.col("part") == k).collect()], phrase)
+    for k in range(0, n, at_once):
+        found = staged(_pass(once, [block(i) for i in range(k, min(n, k + at_once))], phrase), "benchmark-hits")
         parts = found if parts is None else parts.unionByName(found)
-    merged = parts.groupBy("doc_id", "sha").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    step = "aggregate(spans, cast(array() as array<struct<start:int,end:int>>), (a, x) -> CASE WHEN size(a) > 0 AND x.start <= try_element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(named_struct('start', try_element_at(a, -1).start, 'end', greatest(try_element_at(a, -1).end, x.end)))) ELSE concat(a, array(x)) END)"
-    merged = merged.withColumn("spans", F.expr(step)).withColumnsRenamed({"doc_id": "of_id", "sha": "of_sha"})
+    merged = parts.groupBy("doc_id", "sha").agg(F.max("n_words").alias("n_words"), F.collect_set("spans").alias("lists"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    merged = merged.withColumn("spans", merged_spans(F.col("lists"))).withColumnsRenamed({"doc_id": "of_id", "sha": "of_sha"})
     rows = plain.drop("body").join(merged, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("sha") == F.col("of_sha")))
     return rows.select("doc_id", "n_words", "spans", "items", *named)
 

@@ -158,6 +158,30 @@ def test_language(spark):
 # ---- decontamination
 
 
+def test_many_equal_items_and_a_long_one(spark):
+    """A million rows of one item are one; an item of 20 MB goes in pieces, and passes are few."""
+    rnd = random.Random(6)
+    long = " ".join(f"v{rnd.randrange(10**7)}" for _ in range(2_300_000))
+    ws = long.split()
+    same = spark.range(1_000_000).select(F.lit("same").alias("item_id"), F.lit(" ".join(f"u{k}" for k in range(20))).alias("text"))
+    bench = same.unionByName(spark.createDataFrame([("long", long)], "item_id string, text string"))
+    cuts = [0, 5000, 900_001, 2_299_987]
+    docs = spark.createDataFrame([(k, f"x {' '.join(ws[c : c + 13])} y") for k, c in enumerate(cuts)] + [(10, " ".join(f"u{k}" for k in range(3, 16))), (11, " ".join(ws[:12]))], "doc_id bigint, text string")
+    got = {r["doc_id"]: ([tuple(x) for x in r["spans"]], r["items"]) for r in decontaminate.contamination(docs.coalesce(1), bench).collect()}
+    assert got == {**{k: ([(1, 14)], ["long"]) for k in range(len(cuts))}, 10: ([(0, 13)], ["same"]), 11: ([], [])}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30), st.integers(1, 9)), max_size=30))
+def test_spans_join(spans):
+    rows, start, end = (np.array(x, np.int64) for x in (zip(*[(r, a, a + n) for r, a, n in spans]) if spans else ([], [], [])))
+    want = []
+    for r in range(4):
+        cover = {k for q, a, n in spans if q == r for k in range(a, a + n)}
+        want += [(r, a, next(b for b in range(a, 99) if b not in cover)) for a in sorted(cover) if a - 1 not in cover]
+    assert list(zip(*(x.tolist() for x in decontaminate.join_spans(rows, start, end)))) == want
+
+
 def test_contamination(spark):
     items = prose(7, 30, 40, 60)
     items += ["only five words in here", "", None, items[0]]
@@ -186,8 +210,8 @@ def test_contamination(spark):
         return len(w), sum(hit), len(of), hashlib.sha256(",".join(sorted(of)).encode()).hexdigest(), sum(hit) > 0 and 20 * sum(hit) >= len(w)
 
     want = sorted(((i, *brute(t)) for i, t in [*enumerate(texts), (0, texts[0]), (None, "null id")]), key=str)
-    for limit in (decontaminate.ITEM_BYTES, 500):
-        got = decontaminate.verdicts(decontaminate.contamination(docs, bench, item_bytes=limit)).collect()
+    for limit, at_once in ((decontaminate.ITEM_BYTES, 2), (500, 2), (500, 1000), (60, 3)):
+        got = decontaminate.verdicts(decontaminate.contamination(docs, bench, item_bytes=limit, at_once=at_once)).collect()
         assert sorted(map(tuple, got), key=str) == want
     assert sum(r[2] > 0 for r in want) > 15
     assert decontaminate.contamination(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
