@@ -225,6 +225,14 @@ def metre_box(s, d):
     return view(s, d, "points").where(spatial.in_box(F.col("x"), F.col("y"), 300000, 6400000, 400000, 6500000)).select("id", "x", "y")
 
 
+@query("select id, x, y, sitename from points where x between 300000 and 340000 and y between 6400000 and 6440000")
+def clustered_box(s, d):
+    """A box of a layer that is stored along a curve through space, of which few row groups are read."""
+    path = scratch(s, "clustered")
+    layers.save_clustered(view(s, d, "points").select("id", "x", "y", "sitename"), path, "point", 16)
+    return layers.load_layer(s, path, "point", None).where(spatial.in_box(F.col("x"), F.col("y"), 300000.0, 6400000.0, 340000.0, 6440000.0)).select("id", "x", "y", "sitename")
+
+
 @query(LL + f""", h as (select id, {KM_SQL} as km from ll)
     select id, round(km, 6) as distance_km from h where km <= 20""")
 def radius_filter(s, d):
@@ -400,6 +408,15 @@ def column_profile(s, d):
     return tables.column_profile(view(s, d, "sites"), CATS)
 
 
+@query(f"""with v as ({CATS_SQL}), n as (select "column", value, count(*) as c from v group by all), t as (select count(*) as total from sites), r as (select *, row_number() over (partition by "column" order by c desc, value) as nth from n)
+    select "column", any_value(total) as "totalRecords", sum(c)::bigint as "nonNullRecords", count(*) as "uniqueValues", string_agg(concat(value, '=', c), ', ' order by c desc, value) as "values", 0.0::double as count_error from n, t group by "column" """)
+def sketch_profile(s, d):
+    """The columns' profile by sketches alone, which are exact for so few values."""
+    out = tables.sketch_profile(view(s, d, "sites"), CATS)
+    told = F.transform(F.array_sort("values", lambda a, b: F.when(a["count"] > b["count"], -1).when(a["count"] < b["count"], 1).when(a["value"] < b["value"], -1).otherwise(1)), lambda v: F.concat_ws("=", v["value"], v["count"].cast("string")))
+    return out.select("column", "totalRecords", "nonNullRecords", "uniqueValues", F.array_join(told, ", ").alias("values"), "count_error")
+
+
 @query("""select count(*) as source_total, count("generatedDescription") as matching, count("generatedDescription") as output_total, cast(0 as bigint) as violations from sites""")
 def subset_audit(s, d):
     f, path = view(s, d, "sites"), scratch(s, "subset")

@@ -41,6 +41,34 @@ def save_layer(df: DataFrame, path: str, layer: str) -> None:
     df.withColumn("layer", F.lit(layer)).write.partitionBy("layer").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
+def z_order(x: Column, y: Column, low: tuple[float, float], high: tuple[float, float]) -> Column:
+    """bigint: the place of (x, y) on the curve that goes through all cells of 65,536 by 65,536 between low and high, quarter by quarter; null first."""
+
+    def cell(c: Column, a: float, b: float) -> Column:
+        share = (c.cast("double") - a) * (65535 / (b - a) if b > a else 0.0)
+        return F.greatest(F.lit(0), F.least(F.lit(65535), F.floor(share))).cast("bigint")
+
+    def spread(v: Column) -> Column:
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = (v.bitwiseOR(F.shiftleft(v, shift))).bitwiseAND(F.lit(mask).cast("bigint"))
+        return v
+
+    both = spread(cell(x, low[0], high[0])).bitwiseOR(F.shiftleft(spread(cell(y, low[1], high[1])), 1))
+    return F.when(x.isNotNull() & y.isNotNull() & ~F.isnan(x.cast("double")) & ~F.isnan(y.cast("double")), both)
+
+
+def save_clustered(df: DataFrame, path: str, layer: str, files: int, x: str = "x", y: str = "y", row_group_bytes: int = 32 << 20) -> None:
+    """save_layer with rows near each other in space near each other in the files, which box filters on x and y then skip.
+
+    Rows are sorted along a curve through space: Spark samples splitters for the files, each of which is a stretch of it,
+    sorted, in row groups that know their least and greatest x and y. Rows without a place come first."""
+    b = df.agg(*[f(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias(n) for n, f, c in (("x0", F.min, x), ("y0", F.min, y), ("x1", F.max, x), ("y1", F.max, y))]).first()
+    low, high = ((b["x0"] or 0.0), (b["y0"] or 0.0)), ((b["x1"] or 0.0), (b["y1"] or 0.0))
+    keyed = df.withColumn("_z", z_order(F.col(x), F.col(y), low, high))
+    dealt = keyed.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z").withColumn("layer", F.lit(layer))
+    dealt.write.partitionBy("layer").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", row_group_bytes).mode("overwrite").parquet(path)
+
+
 def combine(parts: dict[str, DataFrame]) -> DataFrame:
     """Union by name of layers that share a schema, each with its name."""
     out = None

@@ -425,6 +425,64 @@ def test_layers(spark, tmp_path):
     assert layers.ensure_columns(a, {"description": "string", "ID": "int"}).columns == ["id", "geom_type", "description"]
 
 
+# ---- layout and sketches
+
+
+def test_box_reads_few_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(60_000).select("id", (F.rand(1) * 1000).alias("x"), (F.rand(2) * 1000).alias("y"), F.sha2(F.col("id").cast("string"), 512).alias("name"))
+    df = df.unionByName(spark.createDataFrame([(-1, None, 5.0, "a"), (-2, float("nan"), 5.0, "b")], "id bigint, x double, y double, name string"))
+    box, read = (200.0, 300.0, 260.0, 350.0), {}
+    for name, save in (("plain", lambda p: layers.save_layer(df.repartition(16), p, "l")), ("clustered", lambda p: layers.save_clustered(df, p, "l", 16, row_group_bytes=1 << 18))):
+        path = f"{tmp_path}/{name}"
+        save(path)
+        got = layers.load_layer(spark, path, "l", None).where(spatial.in_box(F.col("x"), F.col("y"), *box))
+        assert "GreaterThanOrEqual(x,200.0)" in got._jdf.queryExecution().toString()
+        read[name] = sorted(r["id"] for r in got.collect())
+        stats = []
+        for f in glob.glob(f"{path}/**/*.parquet", recursive=True):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                cols = {meta.schema.column(c).name: meta.row_group(g).column(c).statistics for c in range(meta.num_columns)}
+                stats.append(not cols["x"].has_min_max or not (cols["x"].max < box[0] or cols["x"].min > box[2] or cols["y"].max < box[1] or cols["y"].min > box[3]))
+        if name == "clustered":
+            assert len(stats) >= 16 and sum(stats) <= len(stats) / 4, (sum(stats), len(stats))
+        else:
+            assert all(stats)
+    assert read["plain"] == read["clustered"] and len(read["plain"]) > 100
+
+
+def test_z_order(spark):
+    rows = [(x, y) for x in range(4) for y in range(4)]
+    df = spark.createDataFrame(rows + [(None, 1), (9, 9)], "x int, y int").select("x", "y", layers.z_order(F.col("x"), F.col("y"), (0, 0), (3, 3)).alias("z")).collect()
+    at = {(r["x"], r["y"]): r["z"] for r in df}
+    assert [p for p in sorted(rows, key=at.get)][:8] == [(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (3, 0), (2, 1), (3, 1)]
+    assert at[None, 1] is None and at[9, 9] == at[3, 3]
+
+
+def test_sketches_keep_their_bounds(spark):
+    from cairn.plans.fixtures import view
+
+    f = view(spark, "/root/testdata/sf0.01", "features")
+    columns = [c for c in f.columns]
+    out = tables.sketch_profile(f, columns, top=5, tracked=1000)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    exact = {c: dict(f.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string")).count().collect()) for c in columns}
+    total = f.count()
+    for r in out.collect():
+        want = exact[r["column"]]
+        assert r["totalRecords"] == total and r["nonNullRecords"] == sum(want.values())
+        assert abs(r["uniqueValues"] - len(want)) <= r["unique_error"]
+        assert all(0 <= v["count"] - want[v["value"]] <= r["count_error"] for v in r["values"])
+        if len(want) <= 1000:
+            assert r["count_error"] == 0 and len(r["values"]) == min(5, len(want)) and [v["count"] for v in r["values"]] == sorted(want.values(), reverse=True)[:5]
+    empty = tables.sketch_profile(f.limit(0), columns[:2]).collect()
+    assert [(r["totalRecords"], r["uniqueValues"], r["values"]) for r in empty] == [(0, 0, [])] * 2
+
+
 # ---- clients
 
 
