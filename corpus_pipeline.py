@@ -6,14 +6,12 @@ documents that benchmark phrases contaminate go; secrets are replaced by a mark;
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import decontaminate, language, pieces, secrets, simhash
-from cairn.llm.common import clear_staged, fold, shared_dir, staged_so_far
+from cairn.llm.common import clear_staged, fold, staged, staged_so_far
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the rule's share of benchmark words; null and empty texts stay, and repeated rows are judged each."""
     others = [c for c in docs.columns if c != "doc_id"]
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=others)
     judged = decontaminate.verdicts(found, keep=others)
@@ -37,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; each secret in a text becomes a mark, and n_chars follows."""
+    """All documents, repeated rows too; each secret in a text becomes a mark, and n_chars follows. Null texts stay null, and texts without secrets as they are."""
     found = secrets.scan(docs, keep=[c for c in docs.columns if c != "doc_id"])
     clean = secrets.redact("coalesce(text, '')", "spans")
     changed = F.size("spans") > 0
@@ -48,7 +47,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token ids and their digests of every document left."""
+    """doc_id, token ids and their digests of every document left, a row for each row; null texts have no ids."""
     coded = pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.digests(coded, ids=True)
 
@@ -59,11 +58,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's table. What stages wrote before it is gone; it stays until clear_staged."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = staged_so_far()
     for name, stage in STAGES:
-        before = staged_so_far()
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
-        clear_staged(spark, before)  # what the stage wrote for itself; its own table stays
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        clear_staged(spark, before, last=True)  # the stage's input, and what it wrote for itself
     return docs
