@@ -78,11 +78,13 @@ def staged_so_far() -> int:
     return len(_made)
 
 
-def clear_staged(spark: SparkSession, keep: int = 0) -> None:
-    """Delete the tables that this session has staged, but for the first `keep`; results that read them must have been written before."""
+def clear_staged(spark: SparkSession, keep: int = 0, last: bool = False) -> None:
+    """Delete the tables that this session has staged, but for the first `keep` and, if so asked, the last; results that read them must have been written before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_made) > keep:
-        name = _made.pop()
+    spared = [_made.pop()] if last and len(_made) > keep else []
+    gone = [_made.pop() for _ in range(len(_made) - keep)]
+    _made.extend(spared)
+    for name in gone:
         spark.sql(f"DROP TABLE IF EXISTS `{name.rsplit('/', 1)[-1]}`")  # of those in buckets
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)

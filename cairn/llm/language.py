@@ -126,7 +126,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     """(doc_id, lang_pred, score) of every whole text, with the columns in keep; no shuffle.
 
     score: the language's posterior probability; of equal ones the first in order is taken. A text that is null or has no letter is `und` with score
-    0; so is every text if nothing was learned."""
+    0; so is every text if nothing was learned. Rows with the same or a null id stay as many rows, each judged by
+    its text. An empty table gives none; kept columns may have any names, those of the result too."""
     langs, matrix = model
     shared = docs.sparkSession.sparkContext.broadcast(matrix)
 

@@ -158,7 +158,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null and empty texts are one frame of padding. Documents with equal texts share one rebuilt payload.
     A chunk with more than `hot` references is joined in packs of about that many, by copies of the chunk that
-    serve COPY packs each, and the packs are then dealt out; so no task makes or joins all of its copies."""
+    serve COPY packs each, and the packs are then dealt out; so no task makes or joins all of its copies. Rows
+    with the same or a null doc_id stay as many rows; an empty table gives none; extra columns aren't read."""
     docs = texts(docs, id_col, text_col)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = staged(docs.mapInArrow(_names, "doc_id bigint, n_bytes bigint, pay binary, digests array<binary>"), "media-names")

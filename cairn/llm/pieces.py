@@ -249,7 +249,8 @@ def _model(data: bytes) -> PieceModel:
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, token_ids array<int>, decoded string) of every whole text; no shuffle.
 
-    Null and empty texts have no ids and decode to ''. Rows with the same id stay as many rows. The model
+    Null and empty texts have no ids and decode to ''. Rows with the same or a null id stay as many rows. A very
+    long text is encoded chunk by chunk. An empty table gives none; extra columns aren't read. The model
     file is read on the driver (at most MODEL_LIMIT bytes) and sent to the workers, so its path need not
     exist there."""
     with open(model_path, "rb") as f:

@@ -190,7 +190,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     """(doc_id, kept columns, base, spans): arrays of (start, kind, end), by start, then kind, an index of KINDS.
 
     base has the three patterns' spans; spans adds those of kind entropy that no base span covers. Null and
-    empty texts have none. Rows stay as they are, repeated ids too; no shuffle, no Python on executors."""
+    empty texts have none. Rows stay as they are, repeated and null ids too; no shuffle, no Python on executors.
+    Time and memory grow with a text, however long. An empty table gives none; other columns are read only if
+    they are kept, as kept_0, kept_1, …, so their names clash with none."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("scanned"), *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep or [])])
     base = ", ".join(bare(x) for x in (spans_of("scanned", ASSIGN, 0, 2, 6), spans_of("scanned", ACCESS, 1), spans_of("scanned", HEX, 2)))
     rows = rows.withColumn("base", F.expr(f"array_sort(concat({base}))"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, texts
@@ -232,10 +232,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT, id_
     return prints.join(owned, "fp").select("doc_id", "fp", "component_id")
 
 
+def _hashable(rows: DataFrame, name: str) -> Column:
+    """The column, or its JSON text where it holds what Spark has no hash of."""
+    kind = rows.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(name)) if "map<" in kind or "variant" in kind else F.col(name)
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One whole row of each component: that with the smallest doc_id, null last; of several, the one whose row hashes smallest.
 
-    Components are told apart by their fingerprints, so null and repeated ids are rows like others."""
+    Components are told apart by their fingerprints, so null and repeated ids are rows like others. Columns of
+    any kind are kept, under any names; an empty table gives none."""
     kept = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(docs.columns)]
     plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("body"), *kept)
     carried = [c for c in plain.columns if c != "body"]
@@ -248,7 +255,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT, id_col:
 
     # the row's number holds once the table is written
     rows = staged(plain.mapInArrow(run, f"{kinds}, fp bigint").withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*[f"kept_{i}" for i in range(len(kept))]).alias("hash"), "row")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*[_hashable(rows, f"kept_{i}") for i in range(len(kept))]).alias("hash"), "row")
     rooted = _rooted(rows.select("fp", rank.alias("rank")), hot)
     first = staged(rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row")), "simhash-first")
     # nearly as many as the rows: never to be broadcast, however small the table

@@ -1,13 +1,14 @@
 """The pipeline against a plain version of its stages."""
 
 import hashlib
+import os
 import re
 
 import corpus_pipeline
 import sentencepiece
 from pyspark.sql import functions as F
 
-from cairn.llm import simhash
+from cairn.llm import common, simhash
 
 from .test_operators import PATH
 from .test_secrets import redacted
@@ -109,3 +110,21 @@ def test_one_row_of_each_group(spark):
     linked = (simhash.fingerprint(a.encode()) ^ simhash.fingerprint((a + "!").encode())).bit_count() <= 4
     assert linked
     assert got == sorted([(None, c), (7, d), (9, e), (8, a + "!"), (12, b), (20, c[::-1]), (20, e[::-1])], key=str)
+
+
+def test_columns_of_any_kind(spark):
+    docs = spark.createDataFrame([(1, "some words of a text", {"a": 1}), (2, "some words of a text", None), (3, "quite another text here", {"b": 2})], "doc_id bigint, text string, m map<string,int>")
+    docs = docs.withColumn("n", F.array(F.struct("m"))).withColumn("v", F.parse_json(F.lit("[1]")))
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, DIR)
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 3]
+
+
+def test_nothing_is_left_behind(spark):
+    at = common.shared_dir(spark).removeprefix("file://")
+    common.clear_staged(spark)
+    before = set(os.listdir(at))
+    out = corpus_pipeline.run(spark, DIR)
+    left = set(os.listdir(at)) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline-sentencepiece") and out.count() > 0
+    common.clear_staged(spark)
+    assert set(os.listdir(at)) == before
