@@ -10,8 +10,8 @@ kept suffix of what precedes it.
 
 The counts grow with the corpus, so they pass through neither driver nor broadcast. Blocks of documents name
 their distinct words, then, one context length after another, their distinct (context, token) pairs whose
-context occurs often enough; buckets add the counts up, test the contexts and answer the blocks. Contexts are
-named by a hash, of which buckets compare 48 bits; words are told apart by their text.
+context occurs often enough; buckets add the counts up, test the contexts and answer the blocks. Contexts are named by a hash of 64 bits, the tokens behind one by 56;
+words are told apart by their text. A context with very many places has its pairs in many buckets: each adds its share, and the sum decides.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ DEPTH = 2  # symbols of the longest context
 SUPPORT = 2  # times that a context must occur
 DIVERGENCE = 0.05  # nats a place
 MASS = 10.0  # weight of the suffix's distribution in smoothing
-HOT = 1_000_000  # a context with more places is kept untested, and its pairs are dealt to many buckets
+HOT = 1_000_000  # places of a context from which on its pairs are dealt to many buckets, which each add their share to its test
+HOT_PARTS = -1  # in the place of a block: rows with such shares
 BLOCK_BYTES = 8 << 20
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
@@ -97,21 +98,46 @@ def _sum_words(table: pa.Table) -> pa.Table:
     return _answers(0, table["bucket"][0].as_py(), table["block"].to_pylist(), blobs, known, sum(total.values()))
 
 
-def narrow(keys: np.ndarray) -> bytes:
-    """The lower 48 bits of hashes, which tell a bucket's pairs and contexts apart."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+TOKEN_BYTES = 7  # of a token's hash, which tell the tokens behind one context apart
+STEPS = 2048.0  # to the nat: how finely blocks tell buckets the shares by the suffix
 
 
-def widen(data: bytes) -> np.ndarray:
-    keys = np.zeros((len(data) // 6, 8), np.uint8)
-    keys[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys in order, each once; a place of each; number of each place's key)."""
+    order = np.argsort(keys)  # of equal ones any may come first
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
+def tokens_out(h: np.ndarray) -> bytes:
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]).tobytes()
+
+
+def tokens_in(data: bytes) -> np.ndarray:
+    keys = np.zeros((len(data) // TOKEN_BYTES, 8), np.uint8)
+    keys[:, :TOKEN_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
     return keys.view("<u8").ravel()
 
 
+def counts_out(n: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Counts in a byte each; those of 255 and more beside them."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype(np.int64)
+
+
+def counts_in(small: bytes, large: np.ndarray) -> np.ndarray:
+    n = np.frombuffer(small, np.uint8).astype(np.int64)
+    n[n == 255] = large
+    return n
+
+
 class Block:
     """The symbols of a block's documents one after another, with what is known of each."""
 
-    def __init__(self, docs: pa.Table, answers: pa.Table, n_buckets: int, tokens: int, words: int, ends: int, support: int = SUPPORT, mass: float = MASS, hot: int = HOT):
+    def __init__(self, docs: pa.Table, answers: pa.Table, n_buckets: int, tokens: int, words: int, ends: int, support: int = SUPPORT, mass: float = MASS, hot: int = HOT, dropped: tuple[np.ndarray, ...] = ()):
         self.n_buckets, self.support, self.mass, self.hot = n_buckets, support, mass, hot
         size, words_, ids = tokenize(docs["body"])
         self.size = size + 1  # with END
@@ -124,6 +150,7 @@ class Block:
         self.h = np.empty(len(self.pos), np.uint64)
         self.h[first], self.h[last], self.h[inner] = START, END, names[ids]
         self.train = np.repeat(np.array(docs["train"].to_pylist(), bool), self.size + 1) if "train" in docs.column_names else None
+        self.dropped = dropped
         self.answers = {(a, b): c for a, b, c in zip(answers["level"].to_pylist(), answers["bucket"].to_pylist(), answers["blob"].to_pylist())}
         count = np.zeros(len(words_), np.int64)
         for k, own in grouped(place):
@@ -136,30 +163,43 @@ class Block:
         self.level, self.ending, self.times = 1, self.h, self.count
 
     def asked(self):
-        """(places, their pairs in order of bucket, context and hash, pair of each place, hash, context, is hot, bucket): what the next context length asks for."""
+        """What the next context length asks for: (places, pair of each place, order of the pairs by bucket and context, and
+        in that order a place of each pair, its context, is that hot, its bucket)."""
         at = np.flatnonzero(self.pos >= self.level)
         at = at[self.times[at - 1] >= self.support]
-        context = self.ending[at - 1]
-        pairs, first, pair = np.unique(_combine(context, self.h[at]), return_index=True, return_inverse=True)
-        context, hot = context[first], self.times[at[first] - 1] > self.hot
+        pairs, first, pair = distinct(_combine(self.ending[at - 1], self.h[at]))
+        context, hot = self.ending[at[first] - 1], self.times[at[first] - 1] > self.hot
         bucket = (np.where(hot, pairs, context) % np.uint64(self.n_buckets)).astype(np.int64)
-        order = np.lexsort((pairs, context, bucket))
-        return at, first, order, pair.ravel(), pairs[order], context[order], hot[order], bucket[order]
+        order = np.argsort(context, kind="stable")
+        narrow = bucket.astype(np.uint16) if self.n_buckets <= 1 << 16 else bucket
+        order = order[np.argsort(narrow[order], kind="stable")]
+        return at, pair, order, at[first][order], context[order], hot[order], bucket[order]
 
     def ask(self) -> list[tuple[int, bytes]]:
-        """Rows by bucket: pairs, contexts, whether they are hot, training counts, log share by the suffix."""
-        at, first, order, pair, pairs, context, hot, bucket = self.asked()
-        n = np.bincount(pair, self.train[at], len(pairs))[order].astype(np.int32)
-        logs = np.log(self.p[at[first]])[order].astype(np.float32)
-        return [(k, pack(narrow(pairs[own]), narrow(context[own]), hot[own].astype(np.int8), n[own], logs[own])) for k, own in grouped(bucket)]
+        """Rows by bucket: contexts with their numbers of pairs and whether they are hot; tokens, training counts and log shares by the suffix."""
+        at, pair, order, spot, context, hot, bucket = self.asked()
+        n = np.bincount(pair, self.train[at], len(order))[order].astype(np.int64)
+        logs = np.minimum(np.rint(-np.log(self.p[spot]) * STEPS), 65535).astype("<u2")
+        out = []
+        for k, own in grouped(bucket):
+            c = context[own]
+            lead = np.flatnonzero(np.concatenate((np.ones(1, bool), c[1:] != c[:-1])))
+            size = np.diff(np.append(lead, len(c)))
+            out.append((k, pack(c[lead], *counts_out(size), hot[own][lead].astype(np.int8), tokens_out(self.h[spot[own]]), *counts_out(n[own]), logs[own].tobytes())))
+        return out
 
     def learn(self) -> None:
         """Take in the answers for the next context length."""
-        at, _, order, pair, pairs, _, _, bucket = self.asked()
-        times, kept = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+        at, pair, order, _, context, hot, bucket = self.asked()
+        times, kept = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
         for k, own in grouped(bucket):
-            got = unpack(self.answers[self.level, k])
-            times[order[own]], kept[order[own]] = got[0], got[1] > 0
+            small, large, flags = unpack(self.answers[self.level, k])
+            c = context[own]
+            number = np.cumsum(np.concatenate((np.zeros(1, np.int64), c[1:] != c[:-1])))
+            times[order[own]] = counts_in(small, large)
+            kept[order[own]] = np.unpackbits(np.frombuffer(flags, np.uint8))[number] > 0
+        if len(self.dropped) >= self.level and len(self.dropped[self.level - 1]):  # hot ones that were tested as a whole
+            kept[order[hot & np.isin(context, self.dropped[self.level - 1])]] = False
         n, use = times[pair], kept[pair]
         ending = np.zeros_like(self.h)
         ending[1:] = _combine(self.ending[:-1], self.h[1:])
@@ -202,21 +242,48 @@ def gains(total: np.ndarray, p: np.ndarray, context: np.ndarray, mass: float) ->
 def _sum_pairs(level: int, support: int, divergence: float, mass: float):
     def run(table: pa.Table) -> pa.Table:
         got = [unpack(x) for x in table["blob"].to_pylist()]
-        pairs, context = (np.concatenate([widen(x[k]) for x in got]) for k in range(2))
-        hot, n, logs = (np.concatenate([x[k] for x in got]) for k in range(2, 5))
-        distinct, first, which = np.unique(pairs, return_index=True, return_inverse=True)
-        which = which.ravel()
-        total = np.bincount(which, n, len(distinct)).astype(np.int64)
-        number = np.unique(context[first], return_inverse=True)[1].ravel()
-        places, gain = gains(total, np.exp(logs[first].astype(np.float64)), number, mass)
-        kept = (hot[first] > 0) | ((places >= support) & (gain >= divergence * places))[number]
-        edge = np.cumsum([0, *[len(x[2]) for x in got]])
-        blobs = [pack(total[which[a:b]], kept[which[a:b]].astype(np.int8)) for a, b in zip(edge[:-1], edge[1:])]
-        return _answers(level, table["bucket"][0].as_py(), table["block"].to_pylist(), blobs)
+        sizes = [counts_in(x[1], x[2]) for x in got]
+        contexts, hot = (np.concatenate([x[k] for x in got]) for k in (0, 3))
+        context = np.repeat(contexts, np.concatenate(sizes))
+        hot_ = np.repeat(hot, np.concatenate(sizes)) > 0
+        n = np.concatenate([counts_in(x[5], x[6]) for x in got])
+        logs = np.concatenate([np.frombuffer(x[7], "<u2") for x in got]).astype(np.float64)
+        pairs, first, which = distinct(_combine(context, np.concatenate([tokens_in(x[4]) for x in got])))
+        total = np.bincount(which, n, len(pairs)).astype(np.int64)
+        names, spot, number = distinct(context[first])
+        places, gain = gains(total, np.exp(-logs[first] / STEPS), number, mass)
+        warm = hot_[first][spot]
+        kept = warm | ((places >= support) & (gain >= divergence * places))
+        edge, lead = np.cumsum([0, *[int(x.sum()) for x in sizes]]), np.cumsum([0, *[len(x) for x in sizes]])
+        of = kept[np.searchsorted(names, contexts)]
+        blobs = [pack(*counts_out(total[which[a:b]]), np.packbits(of[c:d]).tobytes()) for a, b, c, d in zip(edge[:-1], edge[1:], lead[:-1], lead[1:])]
+        blocks = table["block"].to_pylist()
+        if warm.any():  # these have pairs in other buckets too: what each adds to the test
+            own, c = total > 0, number
+            part = np.bincount(c[own], total[own] * (np.log(total[own] - 1 + mass * np.exp(-logs[first][own] / STEPS)) + logs[first][own] / STEPS), len(names))
+            blobs.append(pack(names[warm], places[warm].astype(np.int64), np.rint(part[warm] * 1000).astype(np.int64)))  # thousandths of a nat
+            blocks.append(HOT_PARTS)
+        return _answers(level, table["bucket"][0].as_py(), blocks, blobs)
 
     return run
 
 
+def _dropped(answers: DataFrame, level: int, support: int, divergence: float, mass: float) -> np.ndarray:
+    """Hot contexts that the test as a whole doesn't keep. There is at most one hot context for `hot` tokens, at 8 bytes each."""
+
+    def parts(batches):
+        for b in batches:
+            got = [unpack(x) for x in b["blob"].to_pylist()]
+            cols = [np.concatenate([np.zeros(0, t), *[x[k] for x in got]]) for k, t in enumerate((np.uint64, np.int64, np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1]), pa.array(cols[2] / 1000)], ["context", "places", "own"])
+
+    rows = answers.where((F.col("level") == level) & (F.col("block") == HOT_PARTS)).select("blob").mapInArrow(parts, "context bigint, places bigint, own double")
+    whole = rows.groupBy("context").agg(F.sum("places").alias("places"), F.sum("own").alias("own"))
+    gain = F.col("own") - F.col("places") * F.log(F.greatest(F.col("places") - 1 + mass, F.lit(1e-9)))
+    lost = whole.where((F.col("places") < support) | (gain < divergence * F.col("places"))).select("context").collect()
+    return np.array(sorted(r["context"] for r in lost), np.int64).view(np.uint64)
+
+
 OUT = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -258,8 +325,11 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     ends = bodies.where(train).count()
     tokens, words = sums["tokens"] + ends, sums["words"] + (ends > 0)
     given = (n_buckets, tokens, words, ends, support, mass, hot)
+    dropped: tuple[np.ndarray, ...] = ()
     for level in range(1, depth + 1):
-        named = by_block(blocks).cogroup(by_block(answers)).applyInArrow(_name_pairs(given, level), ASKED)
-        answers = answers.unionByName(staged(by_bucket(named).applyInArrow(_sum_pairs(level, support, divergence, mass), ANSWERS), "tree-pairs"))
-    out = by_block(blocks.drop("train")).cogroup(by_block(answers)).applyInArrow(_score(given, depth), OUT)
+        named = by_block(blocks).cogroup(by_block(answers)).applyInArrow(_name_pairs((*given, dropped), level), ASKED)
+        new = staged(by_bucket(named).applyInArrow(_sum_pairs(level, support, divergence, mass), ANSWERS), "tree-pairs")
+        dropped = (*dropped, _dropped(new, level, support, divergence, mass))
+        answers = answers.unionByName(new.where(F.col("block") >= 0))
+    out = by_block(blocks.drop("train")).cogroup(by_block(answers)).applyInArrow(_score((*given, dropped), depth), OUT)
     return out.withColumn("train_tokens", F.lit(tokens).cast("bigint"))

@@ -313,7 +313,7 @@ def brute_tree(docs, train, depth, support, divergence, mass):
     return out, kept
 
 
-@pytest.mark.parametrize(("support", "sizes"), [(2, {}), (4, {"block_bytes": 500}), (1, {"hot": 10**9})])
+@pytest.mark.parametrize(("support", "sizes"), [(2, {}), (4, {"block_bytes": 500}), (1, {"hot": 10**9}), (2, {"hot": 1, "block_bytes": 700}), (2, {"hot": 6, "block_bytes": 2000})], ids=["plain", "small blocks", "single places", "all hot", "some hot"])
 def test_tree_scores(spark, support, sizes):
     rnd = random.Random(2)
     texts = [*prose(11, 60, 40, 25), *EDGES]
@@ -335,12 +335,13 @@ def test_tokens_as_split(bodies):
     assert size.tolist() == [len(w) for w in want] and [words[i] for i in ids] == [x for w in want for x in w] and len(set(words)) == len(words)
 
 
-def test_hot_contexts_are_kept(spark):
-    docs = table(spark, prose(12, 60, 40, 8))
-    train = fold(F.col("doc_id"), 10) != 0
-    got = trees.score_documents(docs, train, hot=1).agg(F.sum("score")).first()[0]
-    want = trees.score_documents(docs, train, divergence=-1e9).agg(F.sum("score")).first()[0]
-    assert abs(got - want) < 1e-6 * abs(want)
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2000), max_size=50), st.lists(st.integers(0, 2**56 - 1), max_size=20), st.lists(st.integers(0, 9), max_size=60))
+def test_rows_of_pairs_are_packed_whole(n, tokens, keys):
+    assert trees.counts_in(*trees.counts_out(np.array(n, np.int64))).tolist() == n
+    assert trees.tokens_in(trees.tokens_out(np.array(tokens, np.uint64))).tolist() == tokens
+    once, first, number = trees.distinct(np.array(keys, np.uint64))
+    assert once.tolist() == sorted(set(keys)) and [keys[i] for i in first] == once.tolist() and [int(once[i]) for i in number] == keys
 
 
 def test_contexts_are_distributions():
