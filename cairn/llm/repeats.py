@@ -7,9 +7,10 @@ that start at anchors are dealt out, by their first units, and each brings the f
 1. Each block names its distinct anchors, by bucket of a hash; the buckets count and answer each block
    which of its anchors occur again anywhere. A window whose anchor occurs once is no repeat.
 2. Windows whose anchor has more than HOT occurrences get a longer one: n-grams of 8, then 22, then all 35
-   words (or bytes likewise), counted in the same way. So groups are bounded by longer prefixes.
+   words (or bytes likewise), counted in the same way, all longer ones in one pass. So groups are bounded by longer prefixes.
 3. Each block sends the stretches of text around its repeated anchors, grouped by anchor. The group orders
-   its windows exactly, over the text itself, and answers with ranges of window starts.
+   its windows exactly, over the text itself, and answers with ranges of window starts. Groups are dealt by weight: anchors with over
+   HOT / HEAVY occurrences are groups of their own, the others share groups by hash.
 4. Windows that occur more than HOT times as a whole are all alike: each block sends each one once with its
    places, and a Spark aggregate by the window's text settles them.
 5. Each block applies the ranges to its documents.
@@ -36,6 +37,7 @@ BLOCK_BYTES = 16 << 20  # of documents in one block
 BUCKET_BYTES = 16 << 20  # of documents whose anchors meet in one bucket, on average
 GROUP_BYTES = 4 << 20  # of documents whose repeated stretches would meet in one group if all repeat
 HOT = 100_000  # occurrences of an anchor whose group takes some 300 MB; beyond, its windows get a longer one
+HEAVY = 16  # an anchor with over HOT / HEAVY occurrences is a group of its own
 SEGMENT = 1 << 20  # units handled at once
 LATE = np.int64(2**63 - 1)  # a null doc_id comes after all others
 MULT = 0x9E3779B97F4A7C15
@@ -121,16 +123,28 @@ class Known:
             keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_keys(flags["keys"][i].as_py()) for i in own]])
             hot = np.concatenate([np.zeros(0, np.int8), *[unpack(flags["hot"][i].as_py())[0] for i in own]])
             order = np.argsort(keys)
-            self.levels.append((keys[order], hot[order] > 0))
+            self.levels.append((keys[order], hot[order]))
 
-    def find(self, level: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(occurs again, is hot) of keys."""
+    def state(self, level: int, key: np.ndarray) -> np.ndarray:
+        """Of keys: 0 if they occur once, 1, or 2 if they are heavy, or 3 if they are hot."""
         keys, hot = self.levels[level]
         if not len(keys):
-            return np.zeros(len(key), bool), np.zeros(len(key), bool)
+            return np.zeros(len(key), np.int8)
         where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        again = keys[where] == key
-        return again, again & hot[where]
+        return np.where(keys[where] == key, 1 + hot[where], 0)
+
+    def find(self, level: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(occurs again, is hot) of keys."""
+        state = self.state(level, key)
+        return state > 0, state == 3
+
+
+def _covered(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which of n windows lie in runs of them."""
+    cover = np.zeros(n + 1, np.int64)
+    np.add.at(cover, first, 1)
+    np.add.at(cover, last + 1, -1)
+    return np.cumsum(cover[:-1]) > 0
 
 
 def leveled(h: np.ndarray, unit: Unit, known: Known | None, upto: int):
@@ -143,10 +157,7 @@ def leveled(h: np.ndarray, unit: Unit, known: Known | None, upto: int):
             hot = known.find(level, key)[1]
             if not hot.any():
                 return
-            cover = np.zeros(len(h) - unit.window + 2, np.int64)
-            np.add.at(cover, first[hot], 1)
-            np.add.at(cover, last[hot] + 1, -1)
-            mask = np.cumsum(cover[:-1]) > 0
+            mask = _covered(len(h) - unit.window + 1, first[hot], last[hot])
 
 
 def _segments(units, unit: Unit):
@@ -215,30 +226,42 @@ def _ordered(table: pa.Table) -> list[tuple[int, bytes]]:
     return sorted((LATE if i is None else i, b) for i, b in zip(table["doc_id"].to_pylist(), table["body"].to_pylist()))
 
 
-def _name(unit: Unit, n_buckets: int, level: int):
-    """Rows by bucket: a block's distinct anchors of a level, and how often each occurs in it."""
+def _name(unit: Unit, n_buckets: int):
+    """Rows by bucket: a block's distinct anchors, and how often each occurs in it: the shortest, or where flags tell of hot ones, all longer ones of their windows."""
 
     def run(docs: pa.Table, flags: pa.Table | None) -> pa.Table:
-        known = Known(flags, level) if flags is not None else None
-        found = [np.zeros(0, np.uint64)]
+        known = Known(flags, 1) if flags is not None else None
+        levels = range(1) if known is None else range(1, len(unit.grams))
+        found = {k: [np.zeros(0, np.uint64)] for k in levels}
         for body in docs["body"].to_pylist():
             for _, h in _segments(unit.split(body), unit):
-                found += [key for k, *_, key in leveled(h, unit, known, level + 1) if k == level]
-        keys, counts = np.unique(np.concatenate(found), return_counts=True)
-        bucket = ((keys * np.uint64(n_buckets)) >> np.uint64(48)).astype(np.int64)  # keys are sorted, so buckets are
-        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        spans = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))[: len(first)]
-        counts = np.minimum(counts, 2**31).astype(np.uint32)
-        return pa.table({"bucket": pa.array(bucket[first], pa.int32()), "block": pa.array([docs["block"][0].as_py() if len(first) else 0] * len(first), pa.int32()), "keys": pa.array([pack_keys(keys[a:b]) for a, b in spans], pa.binary()), "counts": pa.array([pack(counts[a:b]) for a, b in spans], pa.binary())})
+                first, last, _, key = runs(h, unit.window, unit.grams[0])
+                if known is None:
+                    found[0].append(key)
+                    continue
+                hot = known.find(0, key)[1]
+                if hot.any():
+                    mask = _covered(len(h) - unit.window + 1, first[hot], last[hot])
+                    for k in levels:
+                        found[k].append(runs(h, unit.window, unit.grams[k], mask)[3])
+        out: list[tuple] = []
+        for k in levels:
+            keys, counts = np.unique(np.concatenate(found[k]), return_counts=True)
+            bucket = ((keys * np.uint64(n_buckets)) >> np.uint64(48)).astype(np.int64)  # keys are sorted, so buckets are
+            lead = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
+            counts = np.minimum(counts, 2**31).astype(np.uint32)
+            out += [(k, int(bucket[a]), pack_keys(keys[a:b]), pack(counts[a:b])) for a, b in zip(lead.tolist(), [*lead[1:].tolist(), len(keys)])]
+        block = docs["block"][0].as_py() if out else 0
+        return pa.table({"level": pa.array([x[0] for x in out], pa.int32()), "bucket": pa.array([x[1] for x in out], pa.int32()), "block": pa.array([block] * len(out), pa.int32()), "keys": pa.array([x[2] for x in out], pa.binary()), "counts": pa.array([x[3] for x in out], pa.binary())})
 
     return run
 
 
-def _answer(hot: int, level: int):
-    """Rows by block: its anchors that occur again, and which are hot."""
+def _answer(hot: int, heavy: int):
+    """Rows by block: its anchors that occur again, and which are heavy (1) or hot (2)."""
 
     def run(table: pa.Table) -> pa.Table:
-        blocks = table["block"].to_pylist()
+        blocks, level = table["block"].to_pylist(), table["level"][0].as_py()
         keys = [unpack_keys(x) for x in table["keys"].to_pylist()]
         counts = np.concatenate([unpack(x)[0] for x in table["counts"].to_pylist()]).astype(np.int64)
         place = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
@@ -248,8 +271,8 @@ def _answer(hot: int, level: int):
         first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
         total = np.repeat(np.add.reduceat(c, first), np.diff(np.append(first, len(k))))
         again = np.flatnonzero(total > 1)
-        order, over = order[again], (total[again] > hot).astype(np.int8)
-        out = [(blocks[p], pack_keys(keys[order[mine]]), pack(over[mine]), int(over[mine].sum())) for p, mine in grouped(place[order])]  # each row's keys stay sorted
+        order, over = order[again], np.where(total[again] > hot, 2, total[again] > heavy).astype(np.int8)
+        out = [(blocks[p], pack_keys(keys[order[mine]]), pack(over[mine]), int((over[mine] == 2).sum())) for p, mine in grouped(place[order])]  # each row's keys stay sorted
         return pa.table({"level": pa.array([level] * len(out), pa.int32()), "block": pa.array([x[0] for x in out], pa.int32()), "keys": pa.array([x[1] for x in out], pa.binary()), "hot": pa.array([x[2] for x in out], pa.binary()), "n_hot": pa.array([x[3] for x in out], pa.int64())})
 
     return run
@@ -270,20 +293,20 @@ def _stretches(unit: Unit, n_groups: int, levels: int):
                 units = unit.split(body)
                 for lo, h in _segments(units, unit):
                     for level, first, last, at, key in leveled(h, unit, known, levels):
-                        again, hot = known.find(level, key)
-                        hit = np.flatnonzero(again & ~hot)
+                        state = known.state(level, key)
+                        hit = np.flatnonzero((state == 1) | (state == 2))
                         n = len(hit)
                         if n:
-                            rows.append((key[hit] * np.uint64(4) + np.uint64(level), np.full(n, doc, np.int64), np.full(n, row, np.int32), (first[hit] + lo).astype(np.int64), (at - first)[hit].astype(np.int32)))
+                            rows.append((key[hit] * np.uint64(4) + np.uint64(level), state[hit] == 2, np.full(n, doc, np.int64), np.full(n, row, np.int32), (first[hit] + lo).astype(np.int64), (at - first)[hit].astype(np.int32)))
                             bodies += [unit.join(units, a, b) for a, b in zip((first[hit] + lo).tolist(), (last[hit] + lo + unit.window).tolist())]
         out: list[tuple] = []
         if rows:
-            key, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
-            for grp, own in grouped((_mix(key) % np.uint64(n_groups)).astype(np.int64)):
+            key, heavy, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
+            for grp, own in grouped(np.where(heavy, n_groups + key.astype(np.int64), (_mix(key) % np.uint64(n_groups)).astype(np.int64))):
                 text = [bodies[i] for i in own.tolist()]
                 out.append((grp, pack(key[own], doc[own], row[own], start[own], off[own], np.array([len(x) for x in text], np.int64), b"".join(text))))
         block = docs["block"][0].as_py() if out else 0
-        return pa.table({"grp": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
+        return pa.table({"grp": pa.array([x[0] for x in out], pa.int64()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
 
     return run
 
@@ -427,7 +450,7 @@ def _apply(unit: Unit):
     return run
 
 
-ANCHORS = "bucket int, block int, keys binary, counts binary"
+ANCHORS = "level int, bucket int, block int, keys binary, counts binary"
 
 
 def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -442,17 +465,18 @@ def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, block
     def by_block(df: DataFrame):
         return df.repartition(n_blocks, "block").groupBy("block")
 
-    flags, levels, crowded = None, 0, True
-    while crowded and levels < len(unit.grams):
-        name_ = _name(unit, n_buckets, levels)
-        if flags is None:
-            named = by_block(blocks).applyInArrow(lambda docs: name_(docs, None), ANCHORS)  # noqa: B023
-        else:
-            named = by_block(blocks).cogroup(by_block(flags)).applyInArrow(name_, ANCHORS)
-        new = staged(named.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(_answer(hot, levels), FLAGS), f"{name}-flags")
-        flags, levels = new if flags is None else flags.unionByName(new), levels + 1
-        crowded = bool(new.where("n_hot > 0").limit(1).count())
-    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups, levels), "grp int, block int, blob binary")
+    def counted(named: DataFrame) -> DataFrame:
+        met = named.repartition(n_buckets, "bucket").groupBy("bucket", "level")
+        return staged(met.applyInArrow(_answer(hot, max(1, hot // HEAVY)), FLAGS), f"{name}-flags")
+
+    name_ = _name(unit, n_buckets)
+    flags, levels = counted(by_block(blocks).applyInArrow(lambda docs: name_(docs, None), ANCHORS)), 1
+    crowded = bool(flags.where("n_hot > 0").limit(1).count())
+    if crowded and len(unit.grams) > 1:
+        longer = counted(by_block(blocks).cogroup(by_block(flags)).applyInArrow(name_, ANCHORS))
+        flags, levels = flags.unionByName(longer), len(unit.grams)
+        crowded = bool(longer.where(f"n_hot > 0 and level = {levels - 1}").limit(1).count())
+    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups, levels), "grp bigint, block int, blob binary")
     found = staged(sent.repartition(n_groups, "grp").groupBy("grp").applyInArrow(_settle(unit), FOUND), f"{name}-found")
     ranges = found.withColumn("least", F.lit(None).cast("bigint"))
     if crowded:

@@ -65,10 +65,10 @@ def bytes_brute(rows, w=50):
     return sorted(out, key=str)
 
 
-SIZES = [{}, {"hot": 3, "block_bytes": 900, "segment": 16}, {"hot": 1, "block_bytes": 4000, "segment": 64}]
+SIZES = [{}, {"hot": 3, "block_bytes": 900, "segment": 16}, {"hot": 1, "block_bytes": 4000, "segment": 64}, {"hot": 40, "block_bytes": 2000}]
 
 
-@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot"])
+@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot", "heavy"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_substrings(spark, seed, sizes):
     rows = corpus(seed)
@@ -77,7 +77,7 @@ def test_substrings(spark, seed, sizes):
     assert sorted(map(tuple, got), key=str) == words_brute(rows)
 
 
-@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot"])
+@pytest.mark.parametrize("sizes", SIZES, ids=["plain", "small", "hot", "heavy"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_suffixes(spark, seed, sizes):
     rows = corpus(seed)
@@ -174,7 +174,7 @@ def test_rows_are_no_more_than_anchors():
     rnd = random.Random(1)
     for n_buckets in (10, 100, 100_000):
         docs = pa.table({"doc_id": [1], "body": [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)).encode()], "block": pa.array([0], pa.int32())})
-        named = _name(unit, n_buckets, 0)(docs, None)
+        named = _name(unit, n_buckets)(docs, None)
         keys = sum(len(unpack_keys(x)) for x in named["keys"].to_pylist())
         assert named.num_rows <= min(n_buckets, keys) and sum(map(len, named["keys"].to_pylist())) <= 6 * keys + 8 * named.num_rows
 
