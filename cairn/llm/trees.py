@@ -8,8 +8,8 @@ places always diverges from anything). Its distribution is smoothed with that of
 sums up to 1 over the known tokens and the unknown one, as the root's does. A token is scored from the longest
 kept suffix of what precedes it.
 
-The counts grow with the corpus, so they pass through neither driver nor broadcast. Blocks of documents name
-their distinct words, then, one context length after another, their distinct (context, token) pairs whose
+The counts grow with the corpus, so they pass through neither driver nor broadcast. Blocks of documents are written once as
+numbers of their words. They name their distinct words, then, one context length after another, their distinct (context, token) pairs whose
 context occurs often enough; buckets add the counts up, test the contexts and answer the blocks. Contexts are named by a hash of 64 bits, the tokens behind one by 56;
 words are told apart by their text. A context with very many places has its pairs in many buckets: each adds its share, and the sum decides.
 """
@@ -63,16 +63,40 @@ def _placed(words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return h, order, (h[order] % np.uint64(n)).astype(np.int64)
 
 
+class Coded:
+    """A block's documents as numbers of its words: what all passes but the first read."""
+
+    def __init__(self, blob: bytes):
+        self.size, ids, joined, train, doc, known = unpack(blob)
+        self.ids, self.train, self.words = ids.astype(np.int64), train > 0, joined.split(b" ") if joined else []
+        self.doc = pa.array(doc, mask=known == 0)
+
+    @staticmethod
+    def row(docs: pa.Table) -> pa.Table:
+        size, words, ids = tokenize(docs["body"])
+        train, doc = np.array(docs["train"].to_pylist(), np.int8), docs["doc_id"].combine_chunks()
+        known = np.asarray(doc.is_valid()).astype(np.int8)
+        blob = pack(size.astype(np.int64), ids.astype(np.uint32), b" ".join(words), train, np.asarray(doc.fill_null(0)).astype(np.int64), known)
+        return pa.table({"block": docs["block"][:1], "coded": pa.array([blob], pa.binary())})
+
+
+CODED = "block int, coded binary"
+
+
 def _name_words(n_buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        size, words, ids = tokenize(table["body"])
-        counts = np.bincount(ids, np.repeat(np.array(table["train"].to_pylist(), bool), size), len(words)).astype(np.int64)
-        _, order, place = _placed(words, n_buckets)
-        block, out = table["block"][0].as_py(), []
-        for k, own in grouped(place):
-            own = order[own]
-            out.append((k, pack(b" ".join([words[i] for i in own.tolist()]), counts[own])))
-        return pa.table({"bucket": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
+    """Rows by bucket: a block's distinct words, and how often training documents have each."""
+
+    def run(batches):
+        for batch in batches:
+            for block, blob in zip(batch["block"].to_pylist(), batch["coded"].to_pylist()):
+                own_ = Coded(blob)
+                counts = np.bincount(own_.ids, np.repeat(own_.train, own_.size), len(own_.words)).astype(np.int64)
+                _, order, place = _placed(own_.words, n_buckets)
+                out = []
+                for k, own in grouped(place):
+                    own = order[own]
+                    out.append((k, pack(b" ".join([own_.words[i] for i in own.tolist()]), counts[own])))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([block] * len(out), pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["bucket", "block", "blob"])
 
     return run
 
@@ -139,7 +163,8 @@ class Block:
 
     def __init__(self, docs: pa.Table, answers: pa.Table, n_buckets: int, tokens: int, words: int, ends: int, support: int = SUPPORT, mass: float = MASS, hot: int = HOT, dropped: tuple[np.ndarray, ...] = ()):
         self.n_buckets, self.support, self.mass, self.hot = n_buckets, support, mass, hot
-        size, words_, ids = tokenize(docs["body"])
+        own = Coded(docs["coded"][0].as_py())
+        size, words_, ids, self.doc = own.size, own.words, own.ids, own.doc
         self.size = size + 1  # with END
         first = np.cumsum(self.size + 1) - self.size - 1
         self.pos = np.arange(int((self.size + 1).sum())) - np.repeat(first, self.size + 1)
@@ -149,7 +174,7 @@ class Block:
         names, order, place = _placed(words_, n_buckets)
         self.h = np.empty(len(self.pos), np.uint64)
         self.h[first], self.h[last], self.h[inner] = START, END, names[ids]
-        self.train = np.repeat(np.array(docs["train"].to_pylist(), bool), self.size + 1) if "train" in docs.column_names else None
+        self.train = np.repeat(own.train, self.size + 1)
         self.dropped = dropped
         self.answers = {(a, b): c for a, b, c in zip(answers["level"].to_pylist(), answers["bucket"].to_pylist(), answers["blob"].to_pylist())}
         count = np.zeros(len(words_), np.int64)
@@ -295,7 +320,7 @@ def _score(given: tuple, depth: int):
         for _ in range(depth):
             block.learn()
         n_known = block.sums((block.count > 0).astype(np.int64))
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array(block.size, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(block.sums(np.log10(block.share))), "score": pa.array(block.sums(np.log10(block.p)))})
+        return pa.table({"doc_id": block.doc, "n_tokens": pa.array(block.size, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(block.sums(np.log10(block.share))), "score": pa.array(block.sums(np.log10(block.p)))})
 
     return run
 
@@ -320,16 +345,17 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     def by_bucket(df: DataFrame):
         return df.repartition(n_buckets, "bucket").groupBy("bucket")
 
-    answers = staged(by_bucket(by_block(blocks).applyInArrow(_name_words(n_buckets), ASKED)).applyInArrow(_sum_words, ANSWERS), "tree-words")
+    coded = staged(by_block(blocks).applyInArrow(Coded.row, CODED), "tree-tokens")
+    answers = staged(by_bucket(coded.mapInArrow(_name_words(n_buckets), ASKED)).applyInArrow(_sum_words, ANSWERS), "tree-words")
     sums = answers.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     ends = bodies.where(train).count()
     tokens, words = sums["tokens"] + ends, sums["words"] + (ends > 0)
     given = (n_buckets, tokens, words, ends, support, mass, hot)
     dropped: tuple[np.ndarray, ...] = ()
     for level in range(1, depth + 1):
-        named = by_block(blocks).cogroup(by_block(answers)).applyInArrow(_name_pairs((*given, dropped), level), ASKED)
+        named = by_block(coded).cogroup(by_block(answers)).applyInArrow(_name_pairs((*given, dropped), level), ASKED)
         new = staged(by_bucket(named).applyInArrow(_sum_pairs(level, support, divergence, mass), ANSWERS), "tree-pairs")
         dropped = (*dropped, _dropped(new, level, support, divergence, mass))
         answers = answers.unionByName(new.where(F.col("block") >= 0))
-    out = by_block(blocks.drop("train")).cogroup(by_block(answers)).applyInArrow(_score((*given, dropped), depth), OUT)
+    out = by_block(coded).cogroup(by_block(answers)).applyInArrow(_score((*given, dropped), depth), OUT)
     return out.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
