@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, in_blocks, staged, texts, total_bytes
+from .common import block_count, bucketed, in_blocks, staged, texts, total_bytes
 from .repeats import MULT, _mix, grouped, pack, unpack
 
 DEPTH = 2  # symbols of the longest context
@@ -345,7 +345,8 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     def by_bucket(df: DataFrame):
         return df.repartition(n_buckets, "bucket").groupBy("bucket")
 
-    coded = staged(by_block(blocks).applyInArrow(Coded.row, CODED), "tree-tokens")
+    # in buckets by block: the passes read it where it lies, and only the answers are sent to it
+    coded = bucketed(by_block(blocks).applyInArrow(Coded.row, CODED), "tree_tokens", "block")
     answers = staged(by_bucket(coded.mapInArrow(_name_words(n_buckets), ASKED)).applyInArrow(_sum_words, ANSWERS), "tree-words")
     sums = answers.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     ends = bodies.where(train).count()
@@ -353,9 +354,9 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     given = (n_buckets, tokens, words, ends, support, mass, hot)
     dropped: tuple[np.ndarray, ...] = ()
     for level in range(1, depth + 1):
-        named = by_block(coded).cogroup(by_block(answers)).applyInArrow(_name_pairs((*given, dropped), level), ASKED)
+        named = coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_name_pairs((*given, dropped), level), ASKED)
         new = staged(by_bucket(named).applyInArrow(_sum_pairs(level, support, divergence, mass), ANSWERS), "tree-pairs")
         dropped = (*dropped, _dropped(new, level, support, divergence, mass))
         answers = answers.unionByName(new.where(F.col("block") >= 0))
-    out = by_block(coded).cogroup(by_block(answers)).applyInArrow(_score((*given, dropped), depth), OUT)
+    out = coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score((*given, dropped), depth), OUT)
     return out.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
