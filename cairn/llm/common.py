@@ -63,14 +63,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """df as a staged table in buckets by a key: joins on the key read it without an exchange."""
+def bucketed(df: DataFrame, name: str, key: str, n: int | None = None, compression: str = "none") -> DataFrame:
+    """df as a staged table in n buckets by a key: joins and groups on the key read it without an exchange."""
     spark = df.sparkSession
-    table, n = f"{name}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, n = f"{name}_{uuid.uuid4().hex}", n or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{shared_dir(spark)}/{table}"
     _made.append(path)
     with _tidy(spark):
-        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).option("compression", "none").saveAsTable(table)
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).option("compression", compression).saveAsTable(table)
     return spark.table(table)
 
 

@@ -1,6 +1,7 @@
 """Exact repeated windows of a corpus: what substring and suffix-array dedup share.
 
-Documents lie in blocks by a hash of id and text. Every window of W units is known by an anchor, the n-gram
+Documents lie in blocks by a hash of id and text, written once in buckets by block, so that no later pass
+exchanges them. Every window of W units is known by an anchor, the n-gram
 in it that hashes smallest, so equal windows have equal anchors at equal places: of all suffixes only those
 that start at anchors are dealt out, by their first units, and each brings the few units before it.
 
@@ -10,9 +11,10 @@ that start at anchors are dealt out, by their first units, and each brings the f
    words (or bytes likewise), counted in the same way, all longer ones in one pass. So groups are bounded by longer prefixes.
 3. Each block sends the stretches of text around its repeated anchors, grouped by anchor. The group orders
    its windows exactly, over the text itself, and answers with ranges of window starts. Groups are dealt by weight: anchors with over
-   HOT / HEAVY occurrences are groups of their own, the others share groups by hash.
-4. Windows that occur more than HOT times as a whole are all alike: each block sends each one once with its
-   places, and a Spark aggregate by the window's text settles them.
+   HOT / HEAVY occurrences are groups of their own, the others share groups by hash. Equal stretches of a
+   group are ordered once.
+4. Windows that occur more than HOT times as a whole are all alike: in the same pass each block sends each one
+   once with its places, and a Spark aggregate by the window's text settles them.
 5. Each block applies the ranges to its documents.
 
 A block's rows for buckets and groups are no more than its anchors, and short ones aren't compressed, so
@@ -31,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, in_blocks, staged, texts, total_bytes
+from .common import block_count, bucketed, in_blocks, staged, texts, total_bytes
 
 BLOCK_BYTES = 16 << 20  # of documents in one block
 BUCKET_BYTES = 16 << 20  # of documents whose anchors meet in one bucket, on average
@@ -113,15 +115,17 @@ def runs(h: np.ndarray, window: int, gram: int, mask: np.ndarray | None = None)
 
 
 class Known:
-    """Repeated anchors of a block: their keys, sorted, by level, and which of them are hot."""
+    """Repeated anchors of a block, or only the hot ones: their keys, sorted, by level, and which of them are hot."""
 
-    def __init__(self, flags: pa.Table, levels: int):
+    def __init__(self, flags: pa.Table, levels: int, only_hot: bool = False):
         self.levels = []
         level = np.array(flags["level"].to_pylist(), np.int64)
         for k in range(levels):
             own = np.flatnonzero(level == k).tolist()
             keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_keys(flags["keys"][i].as_py()) for i in own]])
             hot = np.concatenate([np.zeros(0, np.int8), *[unpack(flags["hot"][i].as_py())[0] for i in own]])
+            if only_hot:
+                keys, hot = keys[hot == 2], hot[hot == 2]
             order = np.argsort(keys)
             self.levels.append((keys[order], hot[order]))
 
@@ -230,10 +234,10 @@ def _name(unit: Unit, n_buckets: int):
     """Rows by bucket: a block's distinct anchors, and how often each occurs in it: the shortest, or where flags tell of hot ones, all longer ones of their windows."""
 
     def run(docs: pa.Table, flags: pa.Table | None) -> pa.Table:
-        known = Known(flags, 1) if flags is not None else None
+        known = Known(flags, 1, only_hot=True) if flags is not None else None
         levels = range(1) if known is None else range(1, len(unit.grams))
         found = {k: [np.zeros(0, np.uint64)] for k in levels}
-        for body in docs["body"].to_pylist():
+        for body in docs["body"].to_pylist() if known is None or len(known.levels[0][0]) else ():
             for _, h in _segments(unit.split(body), unit):
                 first, last, _, key = runs(h, unit.window, unit.grams[0])
                 if known is None:
@@ -281,12 +285,19 @@ def _answer(hot: int, heavy: int):
 FLAGS = "level int, block int, keys binary, hot binary, n_hot bigint"
 
 
+SENT = "grp bigint, block int, blob binary, text binary, n bigint, first bigint"
+
+
 def _stretches(unit: Unit, n_groups: int, levels: int):
-    """Rows by group of anchors: a block's stretches of windows whose anchor occurs again but isn't hot."""
+    """Rows by group of anchors: a block's stretches of windows whose anchor occurs again but isn't hot.
+
+    And a row with text for each window of the block that is hot as a whole: how often and where it starts, its
+    least document. These go to negative groups, by text and block, as nothing needs them together there."""
 
     def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         bodies: list[bytes] = []
+        seen: dict[bytes, list] = {}
         if flags.num_rows:
             known = Known(flags, levels)
             for row, (doc, body) in enumerate(_ordered(docs)):
@@ -299,14 +310,28 @@ def _stretches(unit: Unit, n_groups: int, levels: int):
                         if n:
                             rows.append((key[hit] * np.uint64(4) + np.uint64(level), state[hit] == 2, np.full(n, doc, np.int64), np.full(n, row, np.int32), (first[hit] + lo).astype(np.int64), (at - first)[hit].astype(np.int32)))
                             bodies += [unit.join(units, a, b) for a, b in zip((first[hit] + lo).tolist(), (last[hit] + lo + unit.window).tolist())]
+                        if level + 1 == len(unit.grams):
+                            hot = np.flatnonzero(state == 3)
+                            for a, k in zip((first[hot] + lo).tolist(), key[hot].tolist()):
+                                one = seen.setdefault(unit.join(units, a, a + unit.window), [k, 0, doc, array("q"), array("q"), array("q"), array("q")])
+                                one[1] += 1
+                                one[2] = min(one[2], doc)
+                                if one[3] and one[3][-1] == row and one[5][-1] == a - 1:
+                                    one[5][-1] = a  # the run of starts goes on
+                                else:
+                                    for x, v in zip(one[3:], (row, a, a, doc)):
+                                        x.append(v)
         out: list[tuple] = []
+        block = docs["block"][0].as_py() if rows or seen else 0
         if rows:
             key, heavy, doc, row, start, off = (np.concatenate(x) for x in zip(*rows))
             for grp, own in grouped(np.where(heavy, n_groups + key.astype(np.int64), (_mix(key) % np.uint64(n_groups)).astype(np.int64))):
                 text = [bodies[i] for i in own.tolist()]
-                out.append((grp, pack(key[own], doc[own], row[own], start[own], off[own], np.array([len(x) for x in text], np.int64), b"".join(text))))
-        block = docs["block"][0].as_py() if out else 0
-        return pa.table({"grp": pa.array([x[0] for x in out], pa.int64()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
+                out.append((grp, pack(key[own], doc[own], row[own], start[own], off[own], np.array([len(x) for x in text], np.int64), b"".join(text)), None, None, None))
+        for text, (k, n, first, *places) in seen.items():
+            out.append((-1 - (k + block) % n_groups, pack(*[np.array(x, np.int64) for x in places]), text, n, int(first)))
+        grp, blob, text, n, first = zip(*out) if out else [()] * 5
+        return pa.table({"grp": pa.array(grp, pa.int64()), "block": pa.array([block] * len(out), pa.int32()), "blob": pa.array(blob, pa.binary()), "text": pa.array(text, pa.binary()), "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.int64())})
 
     return run
 
@@ -327,7 +352,7 @@ def descend(root: np.ndarray, label: Callable[[np.ndarray, int], np.ndarray], st
     label(suffixes, step): their labels. Groups that agree in a label only grow longer; the others are split,
     and suffixes left alone are done with. branch(step, sizes of the groups split, sizes of what they split into,
     their number each) is told of every split."""
-    order = radix_order(np.unique(root, return_inverse=True)[1], np.zeros(len(root), np.int64)) if len(root) else np.zeros(0, np.int64)
+    order = radix_order(root - root.min(), np.zeros(len(root), np.int64)) if len(root) else np.zeros(0, np.int64)
     live, out, done = order, np.full(len(root), -1, np.int64), 0
     change = np.ones(len(live), bool)
     change[1:] = root[live][1:] != root[live][:-1]
@@ -357,13 +382,15 @@ def descend(root: np.ndarray, label: Callable[[np.ndarray, int], np.ndarray], st
     return out
 
 
-FOUND = "block int, blob binary"
+FOUND = "block int, blob binary, text binary, n bigint, first bigint"
 
 
 def _settle(unit: Unit):
-    """Rows by block: (row, first, last) of window starts to remove."""
+    """Rows by block: (row, first, last) of window starts to remove. Rows of windows that are hot as a whole stay as they are."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table["grp"][0].as_py() < 0:
+            return table.select(["block", "blob", "text", "n", "first"])
         blocks = table["block"].to_pylist()
         got = [unpack(x) for x in table["blob"].to_pylist()]
         key, doc, row, start, off, size = (np.concatenate([x[k] for x in got]) for k in range(6))
@@ -371,48 +398,33 @@ def _settle(unit: Unit):
         ends = np.cumsum(size)
         whole = b"".join(x[6] for x in got)
         del got
-        stretches = [whole[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
+        anchor = np.unique(key, return_inverse=True)[1]
+        number: dict[tuple, int] = {}  # equal stretches, with the same anchor at the same place, are ordered once
+        alike = np.array([number.setdefault((k, o, whole[a:b]), len(number)) for k, o, a, b in zip(anchor.tolist(), off.tolist(), (ends - size).tolist(), ends.tolist())], np.int64)
         del whole
-        c, s, g = unit.order(stretches, np.unique(key, return_inverse=True)[1], off.astype(np.int64), unit.window)
+        lead = np.unique(alike, return_index=True)[1]
+        c, s, g = unit.order([x[2] for x in number], anchor[lead], off[lead].astype(np.int64), unit.window)
+        del number
         if unit.anywhere:
-            gone = np.bincount(g)[g] > 1
+            limit = (np.bincount(g, np.bincount(alike)[c])[g] > 1).astype(np.int64)
         else:
-            least = np.full(int(g.max()) + 1, LATE)
-            np.minimum.at(least, g, doc[c])
-            gone = least[g] < doc[c]
-        c, s = c[gone], s[gone]  # by stretch, starts rising
-        breaks = np.flatnonzero((c[1:] != c[:-1]) | (s[1:] != s[:-1] + 1)) + 1
-        edge, till = np.append(np.zeros(min(1, len(c)), np.int64), breaks), np.append(breaks, np.full(min(1, len(c)), len(c))) - 1  # none where nothing goes
-        who, lo, hi = c[edge], s[edge] + start[c[edge]], s[till] + start[c[till]]
+            low, least = np.full(len(lead), LATE), np.full(int(g.max()) + 1, LATE)
+            np.minimum.at(low, alike, doc)
+            np.minimum.at(least, g, low[c])
+            limit = least[g]
+        # runs of windows of a stretch with the same limit; each of the equal stretches compares itself with them
+        edge = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (limit[1:] != limit[:-1]))))
+        lo, hi, limit = s[edge], s[np.append(edge[1:], len(c)) - 1], limit[edge]
+        n_runs = np.bincount(c[edge], minlength=len(lead))
+        n = n_runs[alike]
+        who = np.repeat(np.arange(len(alike)), n)
+        run_ = np.arange(len(who)) + np.repeat((np.cumsum(n_runs) - n_runs)[alike] - (np.cumsum(n) - n), n)
+        gone = limit[run_] > 0 if unit.anywhere else limit[run_] < doc[who]
+        who, run_ = who[gone], run_[gone]
+        lo, hi = lo[run_] + start[who], hi[run_] + start[who]
         out = [(b, pack(row[who[sel]], lo[sel], hi[sel])) for b, sel in grouped(of[who])]
-        return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary())})
-
-    return run
-
-
-def _crowded(unit: Unit, levels: int):
-    """A row for each window of the block that is hot as a whole: its text, how often and where it starts, its least document."""
-
-    def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
-        seen: dict[bytes, list] = {}
-        known = Known(flags, levels) if flags.num_rows else None
-        for row, (doc, body) in enumerate(_ordered(docs) if known else ()):
-            units = unit.split(body)
-            for lo, h in _segments(units, unit):
-                for level, first, _, _, key in leveled(h, unit, known, levels):
-                    if level + 1 == len(unit.grams):
-                        for a in (first[known.find(level, key)[1]] + lo).tolist():
-                            one = seen.setdefault(unit.join(units, a, a + unit.window), [0, doc, array("q"), array("q"), array("q"), array("q")])
-                            one[0] += 1
-                            one[1] = min(one[1], doc)
-                            if one[2] and one[2][-1] == row and one[4][-1] == a - 1:
-                                one[4][-1] = a  # the run of starts goes on
-                            else:
-                                for x, v in zip(one[2:], (row, a, a, doc)):
-                                    x.append(v)
-        places = [pack(*[np.array(x, np.int64) for x in one[2:]]) for one in seen.values()]
-        block = docs["block"][0].as_py() if seen else 0
-        return pa.table({"text": pa.array(list(seen), pa.binary()), "block": pa.array([block] * len(seen), pa.int32()), "n": pa.array([x[0] for x in seen.values()], pa.int64()), "first": pa.array([int(x[1]) for x in seen.values()], pa.int64()), "blob": pa.array(places, pa.binary())})
+        none = [None] * len(out)
+        return pa.table({"block": pa.array([x[0] for x in out], pa.int32()), "blob": pa.array([x[1] for x in out], pa.binary()), "text": pa.array(none, pa.binary()), "n": pa.array(none, pa.int64()), "first": pa.array(none, pa.int64())})
 
     return run
 
@@ -460,10 +472,10 @@ def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, block
     size = total_bytes(bodies)
     n_blocks = block_count(spark, size, block_bytes)
     n_buckets, n_groups = max(1, -(-size // BUCKET_BYTES)), max(1, -(-size // GROUP_BYTES))
-    blocks = in_blocks(bodies, n_blocks)
+    blocks = bucketed(in_blocks(bodies, n_blocks), f"{name}_docs", "block", n_blocks, "zstd")
 
     def by_block(df: DataFrame):
-        return df.repartition(n_blocks, "block").groupBy("block")
+        return (df if df is blocks else df.repartition(n_blocks, "block")).groupBy("block")
 
     def counted(named: DataFrame) -> DataFrame:
         met = named.repartition(n_buckets, "bucket").groupBy("bucket", "level")
@@ -476,11 +488,11 @@ def remove_repeats(docs: DataFrame, unit: Unit, name: str, hot: int = HOT, block
         longer = counted(by_block(blocks).cogroup(by_block(flags)).applyInArrow(name_, ANCHORS))
         flags, levels = flags.unionByName(longer), len(unit.grams)
         crowded = bool(longer.where(f"n_hot > 0 and level = {levels - 1}").limit(1).count())
-    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups, levels), "grp bigint, block int, blob binary")
+    sent = by_block(blocks).cogroup(by_block(flags)).applyInArrow(_stretches(unit, n_groups, levels), SENT)
     found = staged(sent.repartition(n_groups, "grp").groupBy("grp").applyInArrow(_settle(unit), FOUND), f"{name}-found")
-    ranges = found.withColumn("least", F.lit(None).cast("bigint"))
+    ranges = found.where("text is null").select("block", "blob", F.lit(None).cast("bigint").alias("least"))
     if crowded:
-        many = staged(by_block(blocks).cogroup(by_block(flags)).applyInArrow(_crowded(unit, levels), "text binary, block int, n bigint, first bigint, blob binary"), f"{name}-crowded")
+        many = found.where("text is not null")
         # a row for each text; written, so that Spark may split the join's share of a text that all blocks have
         totals = staged(many.groupBy("text").agg(F.min("first").alias("least"), F.sum("n").alias("total")), f"{name}-totals")
         ranges = ranges.unionByName(many.join(totals, "text").where("total > 1").select("block", "blob", "least"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm import substrings, suffixes
 from cairn.llm.common import in_blocks, texts
-from cairn.llm.repeats import _name, pack, pack_keys, radix_order, unpack, unpack_keys
+from cairn.llm.repeats import _name, _settle, _stretches, pack, pack_keys, radix_order, unpack, unpack_keys
 
 SCHEMA = "doc_id bigint, text string, kept_0 int, block string"
 
@@ -179,6 +179,60 @@ def test_rows_are_no_more_than_anchors():
         assert named.num_rows <= min(n_buckets, keys) and sum(map(len, named["keys"].to_pylist())) <= 6 * keys + 8 * named.num_rows
 
 
+@pytest.mark.parametrize("module", [substrings, suffixes], ids=["words", "bytes"])
+def test_equal_stretches_are_ordered_once(module):
+    """Two hundred copies in ten blocks are one stretch for the order; every copy is settled by its own document."""
+    asked, order = [], substrings.subtrees if module is substrings else suffixes.radix_groups
+
+    def counted(texts_, *rest):
+        asked.append(len(texts_))
+        return order(texts_, *rest)
+
+    unit = substrings.Unit(4, (2, 3, 4), None, None, None, b"", counted, module is substrings)
+    text, other = (b"a b c d e f", b"z b c d e y") if module is substrings else (b"abcdef", b"zbcdey")
+
+    def blob(docs, t):
+        n = len(docs)
+        return pack(np.full(n, 7, np.uint64), np.array(docs, np.int64), np.arange(n, dtype=np.int32), np.full(n, 5, np.int64), np.full(n, 2, np.int32), np.full(n, len(t), np.int64), t * n)
+
+    blobs = [blob(range(20 * b + 1, 20 * b + 21), text) for b in range(10)] + [blob([0], other)]
+    table = pa.table({"grp": [0] * 11, "block": pa.array(range(11), pa.int32()), "blob": pa.array(blobs, pa.binary()), "text": pa.array([None] * 11, pa.binary()), "n": pa.array([None] * 11, pa.int64()), "first": pa.array([None] * 11, pa.int64())})
+    found = _settle(unit)(table)
+    assert asked == [2]
+    got = {}
+    for b, x in zip(found["block"].to_pylist(), found["blob"].to_pylist()):
+        for row, lo, hi in zip(*unpack(x)):
+            got.setdefault((b, int(row)), set()).update(range(int(lo), int(hi) + 1))
+    if module is substrings:  # windows "b c d e" of all, the others of the copies
+        assert got == {(b, r): {5, 6, 7} for b in range(10) for r in range(20)} | {(10, 0): {6}}
+    else:  # the first copy keeps what document 0 doesn't have
+        assert got == {(b, r): {5, 6, 7} for b in range(10) for r in range(20)} | {(0, 0): {6}}
+
+
+def test_hot_windows_go_in_the_same_pass():
+    """Stretches and the rows of hot windows come from one reading of a block."""
+    unit = suffixes.Unit(50, (50,), suffixes._split, suffixes._hashes, suffixes._join, b"", suffixes.radix_groups, False)
+    docs = pa.table({"doc_id": [3, 1, 2], "body": [b"x" * 60, b"x" * 52, bytes(range(60))], "block": pa.array([4] * 3, pa.int32())})
+    named = _name(unit, 1)(docs, None)
+    keys, counts = unpack_keys(named["keys"][0].as_py()), unpack(named["counts"][0].as_py())[0]
+    hot = np.where(counts > 3, 2, 0).astype(np.int8)  # all others occur again in some other block
+    flags = pa.table({"level": pa.array([0], pa.int32()), "block": pa.array([4], pa.int32()), "keys": pa.array([pack_keys(keys)], pa.binary()), "hot": pa.array([pack(hot)], pa.binary()), "n_hot": [int((hot == 2).sum())]})
+    rows = _stretches(unit, 8, 1)(docs, flags).to_pylist()
+    crowded = [r for r in rows if r["text"] is not None]
+    assert [(r["text"], r["first"], r["block"]) for r in crowded] == [(b"x" * 50, 1, 4)] and crowded[0]["grp"] < 0
+    assert [x.tolist() for x in unpack(crowded[0]["blob"])] == [[0, 2], [0, 0], [2, 10], [1, 3]]
+    assert sum(len(unpack(r["blob"])[0]) for r in rows if r["text"] is None) == 11  # the windows of document 2
+
+
+@pytest.mark.parametrize("hot", [3, 100_000])
+def test_documents_are_not_exchanged_again(spark, hot):
+    """The passes read the documents in buckets by block; only what is told about them is exchanged."""
+    df = spark.createDataFrame(corpus(4), SCHEMA)
+    plan = suffixes.dedup_suffixes(df, hot=hot)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning(block" in x]
+    assert len(exchanges) == 1 and "Bucketed: true" in plan
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert substrings.report(substrings.dedup_substrings(none)).count() == 0
