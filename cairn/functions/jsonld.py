@@ -119,13 +119,13 @@ def _filled(label: Column, text: Column) -> Column:
 
 
 def _context(known: Column, main: Column) -> Column:
-    return pointed(known, _id(field(main, "ksam:context")))
+    return let(_id(field(main, "ksam:context")), lambda at: F.when(at.isNotNull(), pointed(known, at)))
 
 
 def _places(context: Column) -> Column:
     """Labelled place names of the context entity; empty without one."""
     given = F.filter(F.array(*[F.struct(F.lit(n).alias("label"), value(context, f).alias("text")) for n, f in PLACES]), lambda x: x["text"] != "")
-    return F.transform(given, lambda x: _filled(x["label"], x["text"]))
+    return F.when(context.isNotNull(), F.transform(given, lambda x: _filled(x["label"], x["text"]))).otherwise(F.array().cast("array<string>"))
 
 
 def places(g: Column, main: Column) -> Column:
@@ -138,7 +138,7 @@ def _lists(main: Column) -> Column:
     return F.struct(*[refs(main, name).alias(f"l{i}") for i, (name, _) in enumerate(LISTS)])
 
 
-def _parts(known: Column, main: Column, lists: Column) -> Column:
+def _parts(known: Column, main: Column, lists: Column, context: Column) -> Column:
     def ones(*rows: tuple[str, Column, str | None]) -> Column:
         all_ = F.array(*[F.struct(F.lit(name).cast("string").alias("field"), F.lit(label).alias("label"), c.alias("text")) for label, c, name in rows])
         return F.transform(F.filter(all_, lambda x: x["text"] != ""), lambda x: F.struct(x["field"].alias("field"), _filled(x["label"], x["text"]).alias("text")))
@@ -146,7 +146,7 @@ def _parts(known: Column, main: Column, lists: Column) -> Column:
     def many(i: int) -> Column:
         return F.transform(_contents(known, lists[f"l{i}"], LISTS[i][1]), lambda x: F.struct(x["type"].alias("field"), _filled(x["type"], x["text"]).alias("text")))
 
-    line = F.array(F.struct(F.lit("geographic").alias("field"), F.array_join(let(_context(known, main), _places), " | ").alias("text")))
+    line = F.array(F.struct(F.lit("geographic").alias("field"), F.array_join(_places(context), " | ").alias("text")))
     return F.concat(
         ones(("Title", plain(main, "ksam:itemTitle"), None), ("Class", value(main, "ksam:itemClassName"), None)), many(0), F.filter(line, lambda x: x["text"] != ""), many(1), many(2),
         ones(("Organization", value(main, "ksam:serviceOrganization"), "organization"), ("Build Date", plain(main, "ksam:buildDate"), "buildDate"), ("Last Changed", plain(main, "ksam:lastChangedDate"), "lastChanged"), ("URL", plain(main, "ksam:url"), "url")),
@@ -155,16 +155,25 @@ def _parts(known: Column, main: Column, lists: Column) -> Column:
 
 def parts(g: Column, main: Column) -> Column:
     """array<struct<field, text>> of a description, in its fixed order; field is null for title and class."""
-    return let(index(g), lambda known: let(_lists(main), lambda lists: _parts(known, main, lists)))
+    return let(index(g), lambda known: let(_lists(main), lambda lists: let(_context(known, main), lambda context: _parts(known, main, lists, context))))
+
+
+def _main_at(known: Column, prefix: str) -> Column:
+    """The main entity's place in the graph, from 0; null without one."""
+    return F.array_min(F.transform(F.filter(known["ids"], lambda x: F.startswith(x["id"], F.lit(prefix))), lambda x: x["at"]))
 
 
 def _read(document: Column, prefix: str, use) -> Column:
-    """use(index, main entity, lists) of a document."""
-    return let(index(_graph(document)), lambda known: let(main_entity(known["entities"], prefix), lambda main: let(_lists(main), lambda lists: use(known, main, lists))))
+    """use(index, main entity's place, main entity, lists, context) of a document."""
+
+    def placed(known: Column, nth: Column) -> Column:
+        return let(F.get(known["entities"], nth), lambda main: let(_lists(main), lambda lists: let(_context(known, main), lambda context: use(known, nth, main, lists, context))))
+
+    return let(index(_graph(document)), lambda known: let(_main_at(known, prefix), lambda nth: placed(known, nth)))
 
 
-def _description(known: Column, main: Column, lists: Column) -> Column:
-    text = F.array_join(F.transform(_parts(known, main, lists), lambda x: x["text"]), "\n\n")
+def _description(known: Column, nth: Column, main: Column, lists: Column, context: Column) -> Column:
+    text = F.array_join(F.transform(_parts(known, main, lists, context), lambda x: x["text"]), "\n\n")
     found = let(text, lambda t: F.when(t == "", "No description available").otherwise(t))
     return F.when(known.isNull(), "No data available").when(main.isNull(), "Main entity not found").otherwise(found)
 
@@ -203,27 +212,27 @@ def enrichment(body: Column, prefix: str = SITE_PREFIX) -> Column:
 
     def of(document: Column) -> Column:
         top = field(document, "@graph")
-        lost = top.isNotNull() & ~(is_list(top) | is_object(top) | (F.schema_of_variant(top) == "STRING"))
 
-        def record(known: Column, main: Column, lists: Column) -> Column:
+        def record(known: Column, nth: Column, main: Column, lists: Column, context: Column) -> Column:
             def wrong() -> Column:
                 out = misplaced(field(main, "ksam:itemClassName")) | misplaced(field(main, "ksam:serviceOrganization"))
                 for i, (_, content) in enumerate(LISTS):
                     targets = F.transform(F.coalesce(lists[f"l{i}"], F.array().cast("array<string>")), lambda x: pointed(known, x))
                     out = out | F.exists(targets, _astray(content))
-                context = let(_context(known, main), lambda e: F.exists(F.array(*[misplaced(field(e, f)) for _, f in PLACES]), lambda x: x))
-                return out | F.coalesce(context, F.lit(False))
+                places = context.isNotNull() & F.exists(F.array(*[misplaced(field(context, f)) for _, f in PLACES]), lambda x: x)
+                return out | F.coalesce(places, F.lit(False))
 
             bare = lambda e: ~is_object(e) & ~is_list(e) & (F.schema_of_variant(e) != "STRING")
-            nth = F.coalesce(F.array_position(F.transform(known["entities"], lambda e: F.startswith(_id(e), F.lit(prefix))), True), F.lit(0))
-            ahead = lambda n: F.slice(known["entities"], F.lit(1), F.when(n > 0, n - 1).otherwise(F.size(known["entities"])).cast("int"))
-            nameless = let(nth, lambda n: F.exists(ahead(n), lambda e: is_object(e) & field(e, "@id").isNotNull() & _id(e).isNull()))
+            lost = known.isNull() & top.isNotNull() & ~(is_object(top) | (F.schema_of_variant(top) == "STRING"))
+            ahead = F.slice(known["entities"], F.lit(1), F.coalesce(nth, F.size(known["entities"])))
+            nameless = F.exists(ahead, lambda e: is_object(e) & field(e, "@id").isNotNull() & _id(e).isNull())
             unread = F.exists(known["entities"], bare) & main.isNotNull()
-            bad = lost | F.coalesce(nameless, F.lit(False)) | F.coalesce(unread, F.lit(False)) | (main.isNotNull() & F.coalesce(wrong(), F.lit(False)))
+            odd = (F.size(known["ids"]) < F.size(known["entities"])) & (F.coalesce(nameless, F.lit(False)) | F.coalesce(unread, F.lit(False)))  # entities with an id as text are objects
+            bad = lost | F.coalesce(odd, F.lit(False)) | (main.isNotNull() & F.coalesce(wrong(), F.lit(False)))
 
             def fields(bad_: Column) -> Column:
                 ok = main.isNotNull() & ~bad_
-                return F.struct(F.when(ok, keywords(main)).alias("itemKeyword"), F.when(ok, plain(main, "ksam:itemTitle")).alias("itemTitle"), F.when(ok, _description(known, main, lists)).alias("description"), bad_.alias("error"))
+                return F.struct(F.when(ok, keywords(main)).alias("itemKeyword"), F.when(ok, plain(main, "ksam:itemTitle")).alias("itemTitle"), F.when(ok, _description(known, nth, main, lists, context)).alias("description"), bad_.alias("error"))
 
             return let(F.coalesce(bad, F.lit(False)), fields)
 

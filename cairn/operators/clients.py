@@ -8,12 +8,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.sources.scratch import filesystem
+from cairn.sources.scratch import filesystem, scratch
 
 from .pace import Pace
 
@@ -47,15 +46,14 @@ def fetch(requests: DataFrame, client: Callable[[str], str | None], key: str, ar
     def run(batches):
         lease = pace.leases() if pace else None
         for b in batches:
-            out = []
-            for k, a in zip(b["k"], b["a"]):
-                body, error = (None, "no argument") if a is None else call_with_retry(client, a, slot=lease, **retry)
-                out.append((k, "error" if error else "ok" if body is not None else "missing", body, error))
-            yield pd.DataFrame(out, columns=["k", "status", "body", "error"])
+            got = [(None, "no argument") if a is None else call_with_retry(client, a, slot=lease, **retry) for a in b["a"].to_pylist()]
+            status = ["error" if error else "ok" if body is not None else "missing" for body, error in got]
+            columns = [b["k"], *[pa.array(c, pa.string()) for c in (status, [body for body, _ in got], [error for _, error in got])]]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "status", "body", "error"])
 
     rows = requests.select(F.col(key).cast("string").alias("k"), F.col(argument).cast("string").alias("a"))
     dealt = rows.repartition(partitions, "k") if partitions else rows
-    return dealt.mapInPandas(run, "k string, status string, body string, error string").withColumnRenamed("k", key)
+    return dealt.mapInArrow(run, "k string, status string, body string, error string").withColumnRenamed("k", key)
 
 
 def fetch_once(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, path: str, **how) -> DataFrame:
@@ -64,26 +62,41 @@ def fetch_once(requests: DataFrame, client: Callable[[str], str | None], key: st
     return requests.sparkSession.read.parquet(path)
 
 
-def fetch_resumed(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, log: str, batch: int = 10_000, again: tuple[str, ...] = ("error",), **how) -> DataFrame:
-    """fetch with a log of answers at a path, to which each batch is appended: a run that was killed goes on where it stopped.
+def fetch_resumed(requests: DataFrame, client: Callable[[str], str | None], key: str, argument: str, log: str, batch: int = 10_000, again: tuple[str, ...] = ("error",), partitions: int | None = 1, **how) -> DataFrame:
+    """fetch with a log of answers at a path, which grows task by task: a run that was killed goes on where it stopped.
 
-    Before each batch the requests that the log has answered are left out, those but with a status in `again`, which
+    The requests that the log has answered are left out once, those but with a status in `again`, which
     are asked once more by a new run. A task's answers are in the log as soon as the task is done, so only what was in flight
-    when a run was killed is asked twice. One row for each key: ok before missing before error. Batches are by a
-    hash of the key, about `batch` requests each; keys should be distinct, null ones are left out."""
+    when a run was killed is asked twice, about `batch` requests. With a number of partitions, what waits is dealt out by a
+    hash of the key and asked batch by batch; without one, all is one job, of tasks that each ask one core's share of
+    a batch. Either way requests and log are read two or three times, however many batches there are. One row for each
+    key: ok before missing before error. Keys should be distinct, null ones are left out."""
     spark = requests.sparkSession
-    asked = requests.where(F.col(key).isNotNull())
+    waiting = requests.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_key"), F.col(argument).cast("string").alias("_argument"))
     fs, at = filesystem(spark, log)
     schema = f"`{key}` string, status string, body string, error string"
     logged = lambda: spark.read.schema(schema).parquet(log) if fs.exists(at) else spark.createDataFrame([], schema)
-    answered = logged().where(~F.col("status").isin(*again)) if again else logged()
-    left = lambda df, done: df.join(done.select(F.col(key).alias("_done")), F.col(key).cast("string") == F.col("_done"), "left_anti")
-    waiting = left(asked, answered).count()
-    batches = max(1, -(-waiting // batch))
-    for n in range(batches if waiting else 0):
-        own = left(asked.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(batches)) == n), logged().where(~F.col("status").isin(*again)) if again else logged())
+    if fs.exists(at):
+        answered = logged().where(~F.col("status").isin(*again)) if again else logged()
+        waiting = waiting.join(answered.select(F.col(key).alias("_done")), F.col("_key") == F.col("_done"), "left_anti")
+
+    def ask(own: DataFrame) -> None:
+        got = fetch(own, client, "_key", "_argument", partitions, **how).withColumnRenamed("_key", key)
         # the second algorithm moves a task's file to the table when the task commits
-        fetch(own, client, key, argument, **how).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("append").parquet(log)
+        got.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("append").parquet(log)
+
+    batches = -(-waiting.count() // batch)
+    if batches and partitions is None:
+        ask(waiting.repartition(batches * min(batch, spark.sparkContext.defaultParallelism), "_key"))
+    elif batches:
+        folder = scratch(spark, "waiting")
+        waiting.withColumn("_batch", F.pmod(F.xxhash64("_key"), F.lit(batches))).repartition("_batch").write.partitionBy("_batch").parquet(folder)
+        store, _ = filesystem(spark, folder)
+        for n in range(batches):
+            own = f"{folder}/_batch={n}"
+            if store.exists(filesystem(spark, own)[1]):  # a hash may leave a batch empty
+                ask(spark.read.schema("_key string, _argument string").parquet(own))
+        store.delete(filesystem(spark, folder)[1], True)
     rank = F.when(F.col("status") == "ok", 0).when(F.col("status") == "missing", 1).otherwise(2)
     best = logged().groupBy(key).agg(F.min(F.struct(rank.alias("r"), "status", "body", "error")).alias("b"))
     return best.select(key, "b.status", "b.body", "b.error")

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from cairn.functions import captions, jsonld, quality, spatial, text
@@ -600,6 +601,63 @@ def test_fetch_resumed(spark, tmp_path):
     assert clients.fetch_resumed(none, killed, "id", "uuid", f"file://{tmp_path}/none", **how).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, None])
+def test_fetch_resumed_reads_once(spark, tmp_path, monkeypatch, partitions):
+    """However many batches there are, requests and log are read a few times; each request is asked once."""
+    n, log = 60, f"file://{tmp_path}/log"
+    seen, called, read = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), []
+
+    @F.udf("int")
+    def noted(i):
+        seen.add(1)
+        return i
+
+    def client(u):
+        called.add(1)
+        return u.upper()
+
+    parquet = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *paths, **how: (read.append(paths), parquet(self, *paths, **how))[1])
+    df = spark.createDataFrame([(i, f"u{i}") for i in range(n)], "id int, uuid string").withColumn("id", noted.asNondeterministic()("id"))
+    how = {"batch": 5, "partitions": partitions, "per_second": None}
+    clients.fetch_resumed(df.where("uuid < 'u3'"), client, "id", "uuid", log, **how)
+    half = called.value
+    assert 0 < half < n
+    got = clients.fetch_resumed(df, client, "id", "uuid", log, **how)
+    assert seen.value <= 6 * n and read.count((log,)) <= 4
+    assert {r["id"]: (r["status"], r["body"]) for r in got.collect()} == {str(i): ("ok", f"U{i}") for i in range(n)}
+    assert called.value == n
+
+
+def test_fetch_resumed_in_one_job(spark, tmp_path):
+    """Without a number of partitions too, a run that is killed half-way loses only what was in flight."""
+    n, log, calls = 200, f"file://{tmp_path}/log", tmp_path / "calls"
+    calls.mkdir()
+    df = spark.range(n).selectExpr("cast(id as string) as id", "concat('u', id) as uuid")
+
+    def tell(u):
+        with open(calls / str(os.getpid()), "a") as f:
+            f.write(u + "\n")
+        return u.upper()
+
+    asked = lambda: Counter(line for f in calls.iterdir() for line in f.read_text().splitlines())
+
+    def killed(u):
+        if sum(asked().values()) >= 120:
+            raise KeyboardInterrupt("killed")
+        return tell(u)
+
+    how = {"batch": 20, "partitions": None, "per_second": None}
+    with pytest.raises(Exception):
+        clients.fetch_resumed(df, killed, "id", "uuid", log, **how)
+    before, kept = sum(asked().values()), spark.read.parquet(log).count()
+    assert before - kept <= 60  # four tasks of about five requests, by a hash
+    assert clients.fetch_resumed(df, tell, "id", "uuid", log, **how).where("status = 'ok'").count() == n
+    assert sum(asked().values()) == n + before - kept
+    few = df.where("id < '103'")
+    assert clients.fetch_resumed(few, str.upper, "id", "uuid", f"file://{tmp_path}/few", batch=1, per_second=None).count() == few.count()  # some batches are empty
+
+
 def test_results_of_a_failing_client(spark):
     rows = [(1, "A", "in", "Synlig ovan mark", "5 m", "A cairn.", None), (2, "B", "in", None, None, None, "refused"), (3, "C", "", None, None, None, None)]
     df = spark.createDataFrame(rows, "k int, description string, given string, placement string, description_sv string, reply string, error string")
